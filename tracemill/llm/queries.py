@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing
+from . import chat, decontamination, mixing, neardup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,22 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(chat.format_conversations(rows.unionByName(chat.trick_conversation(spark)))))
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op5_chat": op5_chat}
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items, in windows of ten words."""
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items")
+
+
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' near-duplicate components at 85 in 100 of five-word shingles."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), 85)
+
+
+QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op5_chat": op5_chat,
+    "op7_decontamination": op7_decontamination,
+    "op8_neardup": op8_neardup,
+}
 
 ORACLE_SQL = {}
