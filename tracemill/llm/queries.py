@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, mixing, neardup
+from . import chat, decontamination, mixing, neardup, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 50-byte strings that start in a document of smaller doc_id."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and the trick conversation, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -36,6 +41,7 @@ def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op4_substrings": op4_substrings,
     "op5_chat": op5_chat,
     "op7_decontamination": op7_decontamination,
     "op8_neardup": op8_neardup,
