@@ -91,7 +91,7 @@ def _all_fingerprints(rows: DataFrame, lengths: list[int], keep: list[str]) -> D
 
 def _context(array: Column, at: Column, k: int, side: int) -> Column:
     """The words from `side` before `at` to `side` after the gram, null outside the text."""
-    return F.array(*[F.get(array, at + j) for j in range(-side, k + side)])
+    return F.transform(F.sequence(at - side, at + (k + side - 1)), lambda i: F.get(array, i))
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
@@ -108,7 +108,9 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, n: int = 10) -> Da
         k, _ = _lengths(m)
         part = (
             fingerprints(items.filter(F.col("n") == m), m, ["item_id", "words"])
-            .select("item_id", "words", F.explode("chosen").alias("c"))
+            # explode would infer a filter on the whole chain of expressions below it, explode_outer does not
+            .select("item_id", "words", F.explode_outer("chosen").alias("c"))
+            .filter("c is not null")
             .select(
                 F.col("c.n").alias("n"),
                 F.col("c.gram").alias("gram"),
@@ -127,17 +129,21 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, n: int = 10) -> Da
     own = settle(
         own.groupBy("n", "gram", "theirs").agg(F.collect_set("item").alias("items")).withColumn("context", F.monotonically_increasing_id())
     )
-    side = own.select("n", "gram", "theirs", "context")
+    # The entry (0, 0) is met by the one that carries each document's word count.
+    entry = documents.sparkSession.range(1).select(
+        F.lit(0).alias("n"), F.lit(0).cast("long").alias("gram"), F.array().cast("array<string>").alias("theirs"), F.lit(-1).cast("long").alias("context")
+    )
+    side = own.select("n", "gram", "theirs", "context").unionByName(entry)
     side = F.broadcast(side) if small(side, BROADCAST_FINGERPRINTS) else side
 
     docs = _with_words(plain, "doc_id")
     marks = _all_fingerprints(docs, lengths, ["doc_id", "words"])
     # The first entry of each document carries its word count through the join.
     whole = F.array(F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("gram"), F.size("words").alias("at"))).cast(NONE)
-    rows = marks.select("doc_id", "words", F.explode(F.concat(whole, F.col("chosen"))).alias("c")).select(
+    rows = marks.select("doc_id", "words", F.explode_outer(F.concat(whole, F.col("chosen"))).alias("c")).select(
         "doc_id", "words", F.col("c.n").alias("n"), F.col("c.gram").alias("gram"), F.col("c.at").alias("at")
     )
-    met = rows.join(side, ["n", "gram"], "left").filter((F.col("n") == 0) | F.col("context").isNotNull())
+    met = rows.join(side, ["n", "gram"])
     # Which words of the item's context stand at the same place in the document, as a string of 0 and 1.
     k = F.floor((F.col("n") + 1) / 2).cast("int")
     side_words = F.col("n") - k
@@ -152,12 +158,13 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, n: int = 10) -> Da
         met.select("doc_id", "n", "at", "context", F.concat_ws("", same).alias("same"))
         .select("doc_id", "n", "at", "context", left.alias("left"), middle.alias("middle"), right.alias("right"), k.alias("k"))
         .select("doc_id", "n", "at", "context", (F.col("at") - F.col("left")).alias("start"), (F.col("left") + F.col("k") + F.col("right")).alias("length"), "middle")
-        .filter("n = 0 or (middle and length >= n)")
+        # A filter here would be pushed into the join, which then leaves compiled code; so it is a condition.
+        .withColumn("ok", (F.col("n") > 0) & F.col("middle") & (F.col("length") >= F.col("n")))
         .groupBy("doc_id")
         .agg(
             F.max(F.when(F.col("n") == 0, F.col("at"))).cast("long").alias("n_words"),
-            F.collect_set(F.when(F.col("n") > 0, F.struct("start", (F.col("start") + F.col("length")).alias("end")))).alias("spans"),
-            F.collect_set("context").alias("contexts"),
+            F.collect_set(F.when(F.col("ok"), F.struct("start", (F.col("start") + F.col("length")).alias("end")))).alias("spans"),
+            F.collect_set(F.when(F.col("ok"), F.col("context"))).alias("contexts"),
         )
     )
     hits = settle(hits)
