@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, mixing, neardup, substrings
+from . import chat, decontamination, html_text, mixing, neardup, quality, substrings, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives, normalised and read back."""
+    return warc.read_archives(warc.archive(table(spark, sf_dir, "pages")))
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of 50-byte strings that start in a document of smaller doc_id."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
@@ -28,6 +33,11 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(chat.format_conversations(rows.unionByName(chat.trick_conversation(spark)))))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored for quality."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items, in windows of ten words."""
     found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -39,12 +49,20 @@ def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), 85)
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_warc": op2_warc,
     "op4_substrings": op4_substrings,
     "op5_chat": op5_chat,
+    "op6_quality": op6_quality,
     "op7_decontamination": op7_decontamination,
     "op8_neardup": op8_neardup,
+    "op10_html": op10_html,
 }
 
 ORACLE_SQL = {}
