@@ -1,9 +1,63 @@
-"""The corpus pipeline; its stages follow."""
+"""The corpus pipeline: quality, near duplicates, repeated passages, benchmark passages, mix.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as
+the next one's docs. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tracemill.llm import decontamination, mixing, neardup, quality, substrings
+from tracemill.llm.storage import settle, without
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, learnt from the labelled ones among docs, accepts."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = quality.classify(docs, labels)
+    return without(docs, settle(found.filter("predicted = 0").select("doc_id"))).select(*docs.columns)
+
+
+def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (0.8 of five-word shingles) the document of smallest doc_id."""
+    found = neardup.near_duplicates(docs, 80)
+    return without(docs, settle(found.filter("not kept").select("doc_id"))).select(*docs.columns)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that a document of smaller doc_id has; n_chars follows the text."""
+    found = substrings.clean_texts(docs)
+    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no ten words in a row with a benchmark item."""
+    found = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without(docs, settle(found.filter("contaminated").select("doc_id"))).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with how often, and their sources' sizes and targets."""
+    found = mixing.mix(docs).filter("copies > 0").select("doc_id", "size", "source_size", "target", "copies", "taken")
+    return docs.join(found, "doc_id")
+
+
+STAGES = [
+    ("quality", good),
+    ("near_duplicates", different),
+    ("repeated_passages", unrepeated),
+    ("decontamination", unseen),
+    ("mixing", mixed),
+]
+
+#: SQL expresses neither the classifier nor the random mix; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = settle(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

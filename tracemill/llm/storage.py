@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Ids up to which a table of ids is broadcast to what it selects from; beyond, the join shuffles.
+BROADCAST_IDS = 500_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,3 +38,9 @@ def settle(df: DataFrame) -> DataFrame:
 def small(df: DataFrame, most_rows: int) -> bool:
     """Whether df has at most that many rows; counts no further."""
     return df.limit(most_rows + 1).count() <= most_rows
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not among ids (settled, one column doc_id); a null doc_id stays."""
+    ids = ids.select("doc_id").filter("doc_id is not null").distinct()
+    return docs.join(F.broadcast(ids) if small(ids, BROADCAST_IDS) else ids, "doc_id", "left_anti")

@@ -66,6 +66,7 @@ class Anchors:
     first: np.ndarray
     gram: np.ndarray
     key: np.ndarray
+    order: np.ndarray
 
     def context(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the contexts of runs k start and end: all the bytes that their strings can reach."""
@@ -131,7 +132,7 @@ def anchors(table: pa.Table) -> Anchors:
     place = np.empty(len(by), dtype=np.int64)
     place[by] = np.arange(len(by))
     first = first[by]
-    return Anchors(data, offsets, ids[order], at, low, high, row, place[inverse], first, gram[first], key[first])
+    return Anchors(data, offsets, ids[order], at, low, high, row, place[inverse], first, gram[first], key[first], order)
 
 
 def _packed(gram: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -340,11 +341,12 @@ def _removed(own: Anchors, flags: np.ndarray, masks: dict[int, bytes], buckets:
     return np.cumsum(edges[:-1]) > 0
 
 
-def _results(buckets: int):
+def _results(buckets: int, carry: pa.Schema | None):
+    """carry: other columns of the documents to return beside the text, in place of the digest."""
+
     def results(key: tuple, docs: pa.Table, replies: pa.Table) -> pa.Table:
-        schema = RESULT
         if not docs.num_rows:
-            return schema.empty_table()
+            return (RESULT if carry is None else pa.schema([*carry, ("text", pa.string())])).empty_table()
         own = anchors(docs)
         flagged = {b: x for b, x in zip(replies.column("bucket").to_pylist(), replies.column("flags").to_pylist(), strict=True) if x}
         masks = {b: x for b, x in zip(replies.column("bucket").to_pylist(), replies.column("masks").to_pylist(), strict=True) if x}
@@ -359,6 +361,10 @@ def _results(buckets: int):
         total, spans = np.concatenate(([0], np.cumsum(gone))), np.concatenate(([0], np.cumsum(begins)))
         a, b = own.offsets[:-1], own.offsets[1:]
         kept = [own.data[s:e][~gone[s:e]].tobytes() if total[e] > total[s] else own.data[s:e].tobytes() for s, e in zip(a, b, strict=True)]
+        if carry is not None:
+            texts = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())
+            rest = [docs.column(c).take(pa.array(own.order)).combine_chunks().cast(carry.field(c).type) for c in carry.names]
+            return pa.table([*rest, texts], names=[*carry.names, "text"])
         return pa.table(
             [
                 pa.array(own.ids, pa.int64(), mask=own.ids == _LAST),
@@ -368,7 +374,7 @@ def _results(buckets: int):
                 pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
                 pa.array(kept, pa.binary()),
             ],
-            schema=schema,
+            schema=RESULT,
         )
 
     return results
@@ -379,28 +385,48 @@ RESULT = pa.schema(
 )
 
 
-def remove_repeats(
-    documents: DataFrame, group_bytes: int = GROUP_BYTES, bucket_contexts: int = BUCKET_CONTEXTS, hot: int = HOT
-) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
-    plain = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(1, -(-size // group_bytes))
-    buckets = max(1, -(-2 * size // (SPAN * bucket_contexts)))
-    dealt = plain.withColumn("grp", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1))), F.lit(groups)))
-    requests = dealt.groupBy("grp").applyInArrow(_requests(buckets), "bucket long, grp long, keys binary, docs binary")
+def _replied(dealt: DataFrame, buckets: int, hot: int) -> DataFrame:
+    """All replies to the groups: of contexts (flags) and of pieces (masks)."""
 
     def replied(key: tuple, table: pa.Table) -> pa.Table:
         return _replies(key, table, hot)
 
+    dealt = dealt.select("doc_id", "text", "grp")
+    requests = dealt.groupBy("grp").applyInArrow(_requests(buckets), "bucket long, grp long, keys binary, docs binary")
     replies = settle(requests.groupBy("bucket").applyInArrow(replied, "grp long, bucket long, flags binary"))
     contexts = (
         dealt.groupBy("grp").cogroup(replies.groupBy("grp"))
         .applyInArrow(_contexts(buckets), "bucket long, grp long, bytes binary, shape binary, docs binary")
     )
     masks = settle(contexts.groupBy("bucket").applyInArrow(_sorted_bucket, "grp long, bucket long, masks binary"))
-    both = replies.withColumn("masks", F.lit(None).cast("binary")).unionByName(masks.withColumn("flags", F.lit(None).cast("binary")))
-    return (
-        dealt.groupBy("grp").cogroup(both.groupBy("grp"))
-        .applyInArrow(_results(buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return replies.withColumn("masks", F.lit(None).cast("binary")).unionByName(masks.withColumn("flags", F.lit(None).cast("binary")))
+
+
+def _dealt(documents: DataFrame, group_bytes: int, bucket_contexts: int) -> tuple[DataFrame, int]:
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    groups, buckets = max(1, -(-size // group_bytes)), max(1, -(-2 * size // (SPAN * bucket_contexts)))
+    return documents.withColumn("grp", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1))), F.lit(groups))), buckets
+
+
+def remove_repeats(
+    documents: DataFrame, group_bytes: int = GROUP_BYTES, bucket_contexts: int = BUCKET_CONTEXTS, hot: int = HOT
+) -> DataFrame:
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
+    plain = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    dealt, buckets = _dealt(plain, group_bytes, bucket_contexts)
+    return dealt.groupBy("grp").cogroup(_replied(dealt, buckets, hot).groupBy("grp")).applyInArrow(
+        _results(buckets, None), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    )
+
+
+def clean_texts(documents: DataFrame) -> DataFrame:
+    """The documents, all columns, with what is left of their texts; of a code point that lost some of its
+    bytes the others go too."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    dealt, buckets = _dealt(documents, GROUP_BYTES, BUCKET_CONTEXTS)
+    rest = documents.drop("text")
+    found = dealt.groupBy("grp").cogroup(_replied(dealt, buckets, HOT).groupBy("grp")).applyInArrow(
+        _results(buckets, to_arrow_schema(rest.schema)), rest.schema.add("text", "string")
     )
+    return found.select(*documents.columns)
