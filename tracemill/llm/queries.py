@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, html_text, mixing, neardup, quality, substrings, warc
+from . import chat, decontamination, fingerprints, html_text, licenses, mixing, neardup, quality, substrings, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.archive(table(spark, sf_dir, "pages")))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of all documents and of their edited texts, and their likeness."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of 50-byte strings that start in a document of smaller doc_id."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
@@ -49,6 +54,11 @@ def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), 85)
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses of all documents, stated or inherited from a license file of their directory."""
+    return licenses.scan(licenses.placed(table(spark, sf_dir, "documents")), "doc_id")
+
+
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages."""
     return html_text.extract(table(spark, sf_dir, "pages"))
@@ -57,11 +67,13 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
+    "op3_fingerprints": op3_fingerprints,
     "op4_substrings": op4_substrings,
     "op5_chat": op5_chat,
     "op6_quality": op6_quality,
     "op7_decontamination": op7_decontamination,
     "op8_neardup": op8_neardup,
+    "op9_licenses": op9_licenses,
     "op10_html": op10_html,
 }
 
