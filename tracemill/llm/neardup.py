@@ -8,7 +8,8 @@ by maximum, and two sets agree in a register about as often as their Jaccard sim
 2. Classes whose registers agree in all of a band's are candidates. A bucket of candidates is not
    expanded into pairs: its members are joined to one centre, the verified ones become components, and
    buckets that still hold several components get the member whose registers agree with most others as
-   the next centre. What is left apart after that is compared between components, in blocks.
+   the next centre. What is left apart after that is compared between components: small buckets by a
+   join, larger ones in blocks of bounded size.
 3. A candidate pair's similarity is estimated jointly, by the likelihood of how many registers are
    larger, smaller and equal; pairs over three standard deviations below the threshold are dropped.
 4. The rest are verified on their full sets, and verified links give components.
@@ -40,8 +41,9 @@ M = BANDS * ROWS
 B, A, Q = 1.2, 20.0, 254
 #: Ids up to which a table of ids is broadcast to the documents; beyond, the join shuffles.
 BROADCAST_IDS = 500_000
-#: Members of a bucket that are compared as one block with another such block.
-BLOCK = 1024
+#: Members of a bucket up to which all its pairs of different components are joined, and members of a block
+#: that is compared with another such block in larger ones.
+FEW, BLOCK = 16, 1024
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(0, 2**32, M, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -158,9 +160,8 @@ def _likely(threshold: float):
 def _central(group: pd.DataFrame) -> pd.DataFrame:
     """Of one bucket's block, the member whose registers agree with most others', for each register."""
     x = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, M)
-    score = np.zeros(len(x))
-    for i in range(M):
-        score += np.bincount(x[:, i], minlength=256)[x[:, i]]
+    cell = x + 256 * np.arange(M)
+    score = np.bincount(cell.ravel(), minlength=256 * M)[cell].sum(axis=1).astype(float)
     best = group.iloc[[int(np.lexsort((group["id"].to_numpy(), -score))[0])]]
     return pd.DataFrame({"key": best["key"], "center": best["id"], "score": score.max() / len(x)})
 
@@ -246,17 +247,21 @@ def _links(plain: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     tested = settle(crowd.filter("id <> center").select(F.least("id", "center").alias("u"), F.greatest("id", "center").alias("v")).distinct())
     links = verified(tested)
 
+    # In a bucket of two all is tested.
+    larger = crowd.filter("members > 2")
+
     def apart() -> DataFrame:
         """The members of buckets that still hold several components, with these."""
         labels = components(links)
-        now = crowd.select("key", "id", "members").join(labels, F.col("id") == F.col("node"), "left").select("key", "id", "members", F.coalesce("component", "id").alias("component"))
+        now = larger.select("key", "id", "members").join(labels, F.col("id") == F.col("node"), "left").select("key", "id", "members", F.coalesce("component", "id").alias("component"))
         split = now.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
         return settle(now.join(split, "key", "left_semi").join(side, "id"))
 
-    left = apart()
+    rest = apart()
     for _ in range(2):
+        left = rest.filter(F.col("members") > FEW)
         if left.isEmpty():
-            return links
+            break
         block = F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / BLOCK))
         central = left.withColumn("block", block).groupBy("key", "block").applyInPandas(
             lambda g: _central(g), "key long, center long, score double"
@@ -271,7 +276,15 @@ def _links(plain: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         pairs = settle(pairs.join(tested, ["u", "v"], "left_anti"))
         tested = settle(tested.union(pairs))
         links = settle(links.union(verified(pairs)))
-        left = apart()
+        rest = apart()
+    if rest.isEmpty():
+        return links
+    some = rest.filter(F.col("members") <= FEW).select("key", "id", "component", "n")
+    met = some.alias("a").join(some.alias("b"), "key").filter("a.id < b.id and a.component <> b.component")
+    near = met.filter(F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
+    pairs = settle(near.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct().join(tested, ["u", "v"], "left_anti"))
+    links = settle(links.union(verified(pairs)))
+    left = rest.filter(F.col("members") > FEW)
     if left.isEmpty():
         return links
     # What is left: each block of a bucket meets each other block once.
