@@ -1,7 +1,6 @@
 """Document fingerprints by invertible Bloom lookup sketches, in Spark expressions.
 
-A text is the set of its paragraphs' digests (cut at line ends and, as many texts are one line, after
-sentence marks). A sketch is a row of cells in three parts; a digest goes into one cell of each part, and a
+A text is the set of its paragraphs' digests; a paragraph is a line that is not blank. A sketch is a row of cells in three parts; a digest goes into one cell of each part, and a
 cell holds the count, the exclusive or of its digests and that of their check sums. Subtracting two
 versions' sketches cancels what they share; peeling cells that hold one digest then recovers those that
 differ, and their numbers give the likeness: the shared digests over all.
@@ -40,7 +39,7 @@ REST = f"struct<cells:array<{CELL}>,plus:int,minus:int>"
 
 def digests(text: Column) -> Column:
     """The distinct digests of a text's paragraphs."""
-    parts = F.filter(F.transform(F.split(text, r"\n+|(?<=[.!?])\s+"), lambda x: F.trim(x)), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     return F.array_distinct(F.transform(parts, lambda x: F.xxhash64(x)))
 
 
@@ -139,13 +138,18 @@ def _block(digest: Column, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(digest, F.lit(2)), blocks).cast("int")
 
 
+def _few(digest: Column, blocks: Column) -> Column:
+    """As _block, for few blocks, from bits that no cell uses."""
+    return F.pmod(F.shiftrightunsigned(digest, 48), blocks.cast("bigint"))
+
+
 def _in_row(a: Column, b: Column) -> Column:
     """The differences of two sets of digests, block by block inside the row."""
     blocks = _blocks(a, b)
     # Bound to a struct first: an expression that a lambda names twice is worked out twice.
     dealt = F.transform(
         F.sequence(F.lit(0), blocks - 1),
-        lambda g: F.struct(F.filter(a, lambda d: _block(d, blocks) == g).alias("a"), F.filter(b, lambda d: _block(d, blocks) == g).alias("b")),
+        lambda g: F.struct(F.filter(a, lambda d: _few(d, blocks) == g).alias("a"), F.filter(b, lambda d: _few(d, blocks) == g).alias("b")),
     )
     each = F.transform(dealt, lambda s: differences(s["a"], s["b"]))
     zero = F.struct(F.lit(0).alias("plus"), F.lit(0).alias("minus"), F.lit(0).alias("tries")).cast(COUNTS)

@@ -210,7 +210,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     return (
         sketched.drop("sketch")
         .join(named, same, "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
 
