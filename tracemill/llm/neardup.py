@@ -9,7 +9,8 @@ by maximum, and two sets agree in a register about as often as their Jaccard sim
    expanded into pairs: its members are joined to one centre, the verified ones become components, and
    buckets that still hold several components get the member whose registers agree with most others as
    the next centre. What is left apart after that is compared between components: small buckets by a
-   join, larger ones in blocks of bounded size.
+   join, larger ones in blocks of bounded size. Shingles that none of the others has bound what a member
+   can share, so most pairs that cannot link are left out without being made, and no link is lost.
 3. A candidate pair's similarity is estimated jointly, by the likelihood of how many registers are
    larger, smaller and equal; pairs over three standard deviations below the threshold are dropped.
 4. The rest are verified on their full sets, and verified links give components.
@@ -173,14 +174,14 @@ def _across(threshold: float):
         """Likely pairs of different components between the two blocks of a group, which may be one."""
         group = group.sort_values("id").reset_index(drop=True)
         x = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, M)
-        ids, comp, size = (group[c].to_numpy() for c in ("id", "component", "n"))
+        ids, comp, size, common = (group[c].to_numpy() for c in ("id", "component", "n", "common"))
         side = group["side"].to_numpy()
         one = (group["left"] == group["right"]).to_numpy()
         found = []
         for i in range(len(x)):
             at = np.flatnonzero((comp != comp[i]) & (ids > ids[i]) & (one | (side != side[i])))
-            # sizes alone bound the similarity
-            at = at[np.minimum(size[at], size[i]) >= (threshold - 1e-9) * np.maximum(size[at], size[i])]
+            most = np.minimum(common[at], common[i])
+            at = at[most >= (threshold - 1e-9) * (size[at] + size[i] - most)]
             if len(at):
                 est = estimate((x[i] > x[at]).sum(1), (x[i] < x[at]).sum(1), np.full(len(at), size[i]), size[at])
                 found += [(ids[i], ids[k]) for k in at[est >= low]]
@@ -257,7 +258,22 @@ def _links(plain: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         split = now.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
         return settle(now.join(split, "key", "left_semi").join(side, "id"))
 
+    # Of the members of such buckets, how many shingles some other one has too: no link can share more.
     rest = apart()
+    held = sets.join(rest.select("id").distinct(), "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
+    alone = held.groupBy("shingle").agg(F.count("*").alias("c"), F.min("id").alias("id")).filter("c = 1").groupBy("id").agg(F.count("*").alias("alone"))
+    common = settle(
+        rest.select("id", "n").distinct().join(alone, "id", "left").select("id", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"), "n")
+    )
+    common = settle(common.filter(100 * F.col("common") >= percent * F.col("n")).select("id", "common"))
+
+    def able(rows: DataFrame) -> DataFrame:
+        """Of apart's rows, those that may still link across components."""
+        rows = rows.join(common, "id")
+        split = rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
+        return settle(rows.join(split, "key", "left_semi"))
+
+    rest = able(rest)
     for _ in range(2):
         left = rest.filter(F.col("members") > FEW)
         if left.isEmpty():
@@ -276,12 +292,13 @@ def _links(plain: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         pairs = settle(pairs.join(tested, ["u", "v"], "left_anti"))
         tested = settle(tested.union(pairs))
         links = settle(links.union(verified(pairs)))
-        rest = apart()
+        rest = able(apart())
     if rest.isEmpty():
         return links
-    some = rest.filter(F.col("members") <= FEW).select("key", "id", "component", "n")
+    some = rest.filter(F.col("members") <= FEW).select("key", "id", "component", "n", "common")
     met = some.alias("a").join(some.alias("b"), "key").filter("a.id < b.id and a.component <> b.component")
-    near = met.filter(F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
+    most = F.least("a.common", "b.common")
+    near = met.filter(100 * most >= percent * (F.col("a.n") + F.col("b.n") - most))
     pairs = settle(near.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct().join(tested, ["u", "v"], "left_anti"))
     links = settle(links.union(verified(pairs)))
     left = rest.filter(F.col("members") > FEW)
@@ -293,9 +310,11 @@ def _links(plain: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("own"), o).alias("left"), F.greatest(F.col("own"), o).alias("right")))
     spread = (
         left.withColumn("blocks", blocks).withColumn("own", own)
-        .select("key", "id", "component", "n", "sketch", F.col("own").alias("side"), F.explode(meet).alias("m"))
-        .select("key", "id", "component", "n", "sketch", "side", "m.left", "m.right")
+        .select("key", "id", "component", "n", "common", "sketch", F.col("own").alias("side"), F.explode(meet).alias("m"))
+        .select("key", "id", "component", "n", "common", "sketch", "side", "m.left", "m.right")
     )
-    pairs = spread.groupBy("key", "left", "right").applyInPandas(_across(threshold), "u long, v long").distinct()
+    # Few bytes but much work: keep the tasks apart.
+    tasks = int(plain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = spread.repartition(tasks, "key", "left", "right").groupBy("key", "left", "right").applyInPandas(_across(threshold), "u long, v long").distinct()
     pairs = settle(pairs.join(tested, ["u", "v"], "left_anti"))
     return settle(links.union(verified(pairs)))
