@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import chat, decontamination, fingerprints, html_text, licenses, mixing, neardup, quality, substrings, warc
+from .sql import ORACLE_SQL  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,4 +78,4 @@ QUERIES = {
     "op10_html": op10_html,
 }
 
-ORACLE_SQL = {}
+
