@@ -1,14 +1,14 @@
 """License scan: sparse TF-IDF cosine to statement templates, then inheritance along directories.
 
 Each file's whole text is cut into statements (line ends, sentence marks); the whole text is one more unit.
-A unit's vector has the count of a token times its inverse document frequency among the templates (a token
-of no template weighs most and counts in the norm only). Each unit has the license of
+A unit's vector has the count of a token times its inverse document frequency among the templates (a fifth
+of it for common words; a token of no template weighs most and counts in the norm only). Each unit has the license of
 its best template, if the cosine is STATEMENT or more (of equal ones the first by name); per file those of
 all its units are kept, the best as its own.
 
-Only units that hold a token of some template's heavy part are scored: what is left of a template without
-its heavy part has a norm below STATEMENT, so no cosine of STATEMENT is possible without it. That drops no
-match.
+Only units that hold a token of some template's telling part are scored: what is left of a template without
+that part has a norm below the threshold, so no cosine of the threshold is possible without it. That drops
+no match. What is left holds the common words first.
 
 A file is a license file if its name says so and it has a license, or if its whole text has a cosine of
 FILE. Other files without a license take that of the license file in the nearest directory above (of
@@ -57,6 +57,9 @@ TEMPLATES = [
     ("Proprietary", "All rights reserved"),
 ]
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+#: Words that say little.
+COMMON = frozenset("a all and any are be by for free from in into is it of on or permitted person provided released source subject terms that the this to under use with without work".split())
+COMMON_WEIGHT = 0.2
 CUT = r"\n+|(?<=[.!?;])\s+"
 LICENSE_NAME = r"(?i)^(licen[cs]e|copying|notice|unlicense)(\.[a-z]+)?$"
 
@@ -65,7 +68,7 @@ def _vectors(templates: list[tuple[str, str]]) -> tuple[list[tuple[int, str, dic
     """The templates' unit vectors, the tokens' weights, and that of a token of no template."""
     counts = [(i, name, Counter(re.findall(TOKEN, text.lower()))) for i, (name, text) in enumerate(templates)]
     df = Counter(t for _, _, c in counts for t in c)
-    idf = {t: math.log((1 + len(counts)) / (1 + n)) + 1 for t, n in df.items()}
+    idf = {t: (math.log((1 + len(counts)) / (1 + n)) + 1) * (COMMON_WEIGHT if t in COMMON else 1) for t, n in df.items()}
     out = []
     for i, name, c in counts:
         raw = {t: n * idf[t] for t, n in c.items()}
@@ -75,11 +78,12 @@ def _vectors(templates: list[tuple[str, str]]) -> tuple[list[tuple[int, str, dic
 
 
 def heavy_tokens(vectors: list[tuple[int, str, dict[str, float]]], least: float) -> list[str]:
-    """Tokens of which a unit must hold one for a cosine of least with any template."""
+    """Tokens of which a unit must hold one for a cosine of least with any template: any part of a template may
+    be left out whose squares add up to less than least squared; here common words go first, then light ones."""
     needed = set()
     for _, _, vector in vectors:
         rest = 0.0
-        for token, x in sorted(vector.items(), key=lambda kv: (kv[1], kv[0])):
+        for token, x in sorted(vector.items(), key=lambda kv: (kv[0] not in COMMON, kv[1], kv[0])):
             rest += x * x
             if rest >= least * least - 1e-9:
                 needed.add(token)
