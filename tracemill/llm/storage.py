@@ -24,14 +24,14 @@ def shared_folder(spark: SparkSession) -> str:
 def settle(df: DataFrame) -> DataFrame:
     """Writes df once and returns the written table.
 
-    What follows reads files that survive a lost executor, and no later action computes df again. The
-    collector then frees the shuffle files of what went into df, which otherwise stay until the driver
-    happens to collect its garbage.
+    What follows reads files that survive a lost executor, and no later action computes df again. Before,
+    the collector frees the shuffle files of what was settled earlier, which otherwise stay until the driver
+    happens to collect its garbage (right after a write its listeners still hold the plan).
     """
     spark = df.sparkSession
+    spark.sparkContext._jvm.System.gc()
     path = f"{shared_folder(spark)}/table"
     df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
