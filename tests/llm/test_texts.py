@@ -18,7 +18,7 @@ def documents(seed: int = 3, count: int = 90):
     rnd = random.Random(seed)
     vocabulary = ["the", "of", "Zug", "déjà", "ñu", "x1", "and", "qui"] + [f"w{i}" for i in range(300)]
     words = lambda n: [rnd.choice(vocabulary) for _ in range(n)]
-    base, shared = [words(60) for _ in range(6)], words(30)
+    base, shared = [words(60) for _ in range(6)], [" ".join(words(30))]
     out = []
     for i in range(count):
         kind = rnd.random()
