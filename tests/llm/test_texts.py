@@ -197,6 +197,30 @@ def test_sketches_tell_the_shared_paragraphs(table, rows, in_row, monkeypatch):
         assert prints.setdefault(text, x.fingerprint) == x.fingerprint and prints.setdefault(edited, x.edited_fingerprint) == x.edited_fingerprint
 
 
+def fine_units(text):
+    """The pieces of texts without very long ones."""
+    return {y for y in (z.strip(" ") for z in re.split(r"\n+|(?<=[.!?])\s+", text)) if y}
+
+
+@pytest.mark.parametrize("in_row", [320, 4])
+def test_one_line_texts_are_like_their_own_edit(spark, in_row, monkeypatch):
+    monkeypatch.setattr(fingerprints, "IN_ROW", in_row)
+    rnd = random.Random(8)
+    words = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    lines = [" ".join(words(6) + rnd.choice(".!?") for _ in range(40)), " ".join(words(5) + "." for _ in range(30)), words(400), words(500), "".join(chr(0x4E00 + rnd.randrange(5000)) for _ in range(3000)), ""]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprints.fingerprints(docs).collect()}
+    for i, text in enumerate(lines[:-1]):
+        after = lines[i - 1]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        if i < 2:
+            a, b, c = fine_units(text), fine_units(edited), fine_units(after)
+            assert got[i].fine_edited == pytest.approx(len(a & b) / len(a | b)) and got[i].fine_next == pytest.approx(len(a & c) / len(a | c) if a | c else 1.0)
+        assert got[i].fine_edited > 0.2 and got[i].fine_next < 0.05
+    assert got[len(lines) - 1].fine_edited == 1.0
+
+
 def test_mix_meets_targets(table, rows):
     got = mixing.mix(table).collect()
     assert len(got) == len(rows)

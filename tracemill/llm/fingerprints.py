@@ -11,6 +11,10 @@ and where that fails they are made again twice as large, up to the largest of SI
 cannot resolve has its digests compared as they are.) Texts with very many paragraphs have their digests
 dealt to blocks by a grouping instead of inside the row, so the work stays linear.
 
+near_edited and near_next are over paragraphs. Many texts have one line or few, so fine_edited and fine_next are
+the same over smaller pieces: lines are also cut after sentence marks, and what is longer than LONG then at places
+that the SPAN characters before them tell, so that equal passages are cut alike wherever they stand.
+
 Defined cases: a null text is empty; an empty text has no paragraph, and two such are alike (1.0); repeated
 paragraphs count once; repeated rows are rows of their own, each other's next; a null doc_id comes last; a
 single document is its own next; an empty table gives no rows; extra columns are not looked at.
@@ -30,6 +34,8 @@ WRITTEN, SIZES, ROUNDS = 4, (5, 12, 30), 7
 BLOCK = 4
 #: Digests of both versions up to which blocks are dealt inside the row.
 IN_ROW = 320
+#: Where texts are cut finely; characters from which a piece is cut again, at about every EVERY-th place, by SPAN of them.
+CUT, LONG, EVERY, SPAN = r"\n+|(?<=[.!?])\s+", 256, 64, 8
 #: Documents of a range that one window goes through, on average, and ranges at most (they only get longer).
 RANGE_ROWS, RANGES = 2048, 10_000
 
@@ -43,6 +49,28 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda x: F.xxhash64(x)))
 
 
+def _parts(piece: Column) -> Column:
+    """A long piece, cut where the characters before say so."""
+
+    def cut(chars: Column) -> Column:
+        size = F.size(chars)
+        before = lambda i: F.slice(chars, F.greatest(i - SPAN + 1, F.lit(1)), F.lit(SPAN))
+        ends = F.filter(F.sequence(F.lit(1), size), lambda i: (i == size) | (F.pmod(F.xxhash64(before(i)), F.lit(EVERY)) == 0))
+        start = lambda e, k: F.when(k == 0, F.lit(0)).otherwise(F.get(e, k - 1))
+        return F.transform(
+            F.array(ends), lambda e: F.transform(e, lambda end, k: F.array_join(F.slice(chars, start(e, k) + 1, end - start(e, k)), ""))
+        )[0]
+
+    return F.transform(F.array(F.split(piece, "")), cut)[0]
+
+
+def fine_digests(text: Column) -> Column:
+    """The distinct digests of a text's smaller pieces."""
+    parts = F.filter(F.transform(F.split(text, CUT), lambda x: F.trim(x)), lambda x: x != "")
+    pieces = F.flatten(F.transform(parts, lambda x: F.when(F.length(x) <= LONG, F.array(x)).otherwise(_parts(x))))
+    return F.array_distinct(F.transform(pieces, lambda x: F.xxhash64(x)))
+
+
 def _place(digest: Column, part: int, width: int) -> Column:
     """The cell of a part that a digest goes into."""
     return F.pmod(F.shiftrightunsigned(digest, 16 * part), F.lit(width)).cast("int") + part * width
@@ -215,25 +243,33 @@ def with_next(documents: DataFrame) -> DataFrame:
     )
 
 
+#: The likenesses, each of two sets of digests.
+PAIRS = {"near_edited": ("own", "new"), "near_next": ("own", "other"), "fine_edited": ("fine_own", "fine_new"), "fine_next": ("fine_own", "fine_other")}
+
+
 def fingerprints(documents: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
+    fine_edited, fine_next."""
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), n - half), F.col("next").substr(F.lit(1), half))
+    sides = [f(F.col(text)).alias(kind + name) for kind, f in (("", digests), ("fine_", fine_digests)) for name, text in (("own", "text"), ("other", "next"))]
+    held = [side + name for side in ("", "fine_") for name in ("own", "other")]
     told = settle(
         with_next(documents)
-        .select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), digests(F.col("text")).alias("own"), digests(F.col("next")).alias("other"))
-        .select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "other", digests(F.col("edited")).alias("new"))
+        .select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), *sides)
+        .select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *held, digests(F.col("edited")).alias("new"), fine_digests(F.col("edited")).alias("fine_new"))
         .select("*", written(F.col("own")).alias("fingerprint"), written(F.col("new")).alias("edited_fingerprint"), F.monotonically_increasing_id().alias("row"))
     )
     whole = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"]
-    long = F.size("own") + F.greatest(F.size("new"), F.size("other")) > IN_ROW
-    size = F.size("own")
-    pairs = F.array(F.struct(F.col("own").alias("a"), F.col("new").alias("b")), F.struct(F.col("own").alias("a"), F.col("other").alias("b")))
+    long = F.greatest(*[F.size(a) + F.size(b) for a, b in PAIRS.values()]) > IN_ROW
+    pairs = F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in PAIRS.values()])
+    sizes = [F.size("own").alias("size"), F.size("fine_own").alias("fine_size")]
+    likeness = [_likeness(F.col("fine_size" if name.startswith("fine") else "size"), F.get("d", F.lit(p))).alias(name) for p, name in enumerate(PAIRS)]
     short = (
         told.filter(~long)
-        .select(*whole, size.alias("size"), F.transform(pairs, lambda p: _in_row(p["a"], p["b"])).alias("d"))
-        .select(*whole, _likeness(F.col("size"), F.get("d", F.lit(0))).alias("near_edited"), _likeness(F.col("size"), F.get("d", F.lit(1))).alias("near_next"))
+        .select(*whole, *sizes, F.transform(pairs, lambda p: _in_row(p["a"], p["b"])).alias("d"))
+        .select(*whole, *likeness)
     )
     return short.unionByName(_long(told.filter(long), whole))
 
@@ -241,10 +277,10 @@ def fingerprints(documents: DataFrame) -> DataFrame:
 def _long(told: DataFrame, whole: list[str]) -> DataFrame:
     """As for the short ones, with the digests dealt to blocks by a grouping."""
     rows = None
-    for pair, other in ((0, "new"), (1, "other")):
-        for side in ("own", other):
+    for pair, (own, other) in enumerate(PAIRS.values()):
+        for side in (own, other):
             part = told.select(
-                "row", F.lit(pair).alias("pair"), _blocks(F.col("own"), F.col(other)).alias("blocks"), F.lit(side == "own").alias("mine"), F.explode_outer(side).alias("d")
+                "row", F.lit(pair).alias("pair"), _blocks(F.col(own), F.col(other)).alias("blocks"), F.lit(side == own).alias("mine"), F.explode_outer(side).alias("d")
             )
             rows = part if rows is None else rows.unionByName(part)
     sides = (
@@ -254,13 +290,14 @@ def _long(told: DataFrame, whole: list[str]) -> DataFrame:
     counted = sides.select("row", "pair", differences(F.col("a"), F.col("b")).alias("x")).groupBy("row").agg(
         *[
             F.coalesce(F.sum(F.when(F.col("pair") == p, F.col("x")[c])), F.lit(0)).cast("int").alias(f"{c}{p}")
-            for p in (0, 1)
+            for p in range(len(PAIRS))
             for c in ("plus", "minus")
         ]
     )
-    joined = told.select("row", *whole, F.size("own").alias("size")).join(counted, "row", "left")
+    joined = told.select("row", *whole, *[F.size(own).alias(f"size{p}") for p, (own, _) in enumerate(PAIRS.values())]).join(counted, "row", "left")
     near = []
-    for p, name in ((0, "near_edited"), (1, "near_next")):
+    for p, name in enumerate(PAIRS):
+        size = F.col(f"size{p}")
         plus, minus = (F.coalesce(F.col(f"{c}{p}"), F.lit(0)) for c in ("plus", "minus"))
-        near.append(F.when(F.col("size") + minus == 0, F.lit(1.0)).otherwise((F.col("size") - plus) / (F.col("size") + minus)).alias(name))
+        near.append(F.when(size + minus == 0, F.lit(1.0)).otherwise((size - plus) / (size + minus)).alias(name))
     return joined.select(*whole, *near)
