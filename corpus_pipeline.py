@@ -23,7 +23,12 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (0.8 of five-word shingles) the document of smallest doc_id."""
     found = neardup.near_duplicates(docs, 80)
-    return without(docs, settle(found.filter("not kept").select("doc_id"))).select(*docs.columns)
+    left = without(docs, settle(found.filter("not kept").select("doc_id"))).select(*docs.columns)
+    # Rows that share a doc_id are all kept; of those with the same text one stays.
+    repeated = settle(left.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    one = left.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("o"))
+    return without(left, repeated).select(*docs.columns).unionByName(one.select("doc_id", "text", "o.*"))
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +45,10 @@ def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with how often, and their sources' sizes and targets."""
-    found = mixing.mix(docs).filter("copies > 0").select("doc_id", "size", "source_size", "target", "copies", "taken")
-    return docs.join(found, "doc_id")
+    # By row and not by doc_id, which may be null or repeated.
+    rows = settle(docs.withColumn("mix_row", F.monotonically_increasing_id()))
+    found = mixing.mix(rows, row="mix_row").filter("copies > 0").select("mix_row", "size", "source_size", "target", "copies", "taken")
+    return rows.join(found, "mix_row").drop("mix_row")
 
 
 STAGES = [

@@ -29,3 +29,22 @@ def test_stages_hand_on_documents(spark, sf_dir, tmp_path):
         assert 0 < docs.count() <= before
         before = docs.count()
     assert set(columns) < set(docs.columns) and docs.filter("copies <= 0").isEmpty()
+
+
+def test_stages_take_null_and_repeated_ids(spark, sf_dir):
+    words = lambda i, n: " ".join(f"w{i}x{j}" for j in range(n))
+    rows = [(None if i % 3 == 0 else i, words(i, 5 + i % 7), "en", "ab"[i % 2], i) for i in range(60)]
+    rows += [(1, words(1, 6), "en", "b", 1)] * 3 + [(2, words(100, 9), "en", "a", 2), (2, words(101, 9), "en", "a", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.different(spark, docs, sf_dir)
+    assert sorted(map(str, left.collect())) == sorted(map(str, docs.distinct().collect()))
+    got = corpus_pipeline.mixed(spark, docs, sf_dir).collect()
+    size = {s: sum(len(r[1].split()) for r in rows if r[3] == s) for s in "ab"}
+    for source, share in (("a", 1), ("b", 2)):
+        own = [r for r in got if r.source == source]
+        target = min(3 * size[source], sum(size.values()) * share / 3)
+        assert own[0].target == pytest.approx(target) and abs(sum(r.taken for r in own) - target) <= 6 + 1e-6
+    assert all(r.size == len(r.text.split()) and r.taken == r.size * r.copies for r in got)
+    assert any(r.doc_id is None for r in got)
+    for r in got:
+        assert sum(x[:5] == r[:5] for x in got) <= sum(x == tuple(r[:5]) for x in rows)

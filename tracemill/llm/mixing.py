@@ -76,18 +76,18 @@ def _chance(doc: Column, other: Column, seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(doc, other, F.lit(seed)), 11) / F.lit(float(2**53))
 
 
-ITEM = "struct<key:bigint,doc_id:bigint,size:bigint,base:bigint,p:double>"
-DONE = "struct<doc_id:bigint,size:bigint,copies:bigint>"
+ITEM = "struct<key:bigint,doc_id:bigint,size:bigint,base:bigint,p:double,row:bigint>"
+DONE = "struct<doc_id:bigint,size:bigint,copies:bigint,row:bigint>"
 
 
 def _fold(items: Column, seed: int) -> Column:
     """Folds a block's documents; returns struct(left: the fractional one or null, done: the integral ones)."""
 
     def finished(x: Column, p: Column) -> Column:
-        return F.struct(x["doc_id"].alias("doc_id"), x["size"].alias("size"), (x["base"] + p.cast("long")).alias("copies"))
+        return F.struct(x["doc_id"].alias("doc_id"), x["size"].alias("size"), (x["base"] + p.cast("long")).alias("copies"), x["row"].alias("row"))
 
     def kept(x: Column, p: Column) -> Column:
-        return F.struct(x["key"].alias("key"), x["doc_id"].alias("doc_id"), x["size"].alias("size"), x["base"].alias("base"), p.alias("p"))
+        return F.struct(x["key"].alias("key"), x["doc_id"].alias("doc_id"), x["size"].alias("size"), x["base"].alias("base"), p.alias("p"), x["row"].alias("row"))
 
     def step(state: Column, y: Column) -> Column:
         x, tiny = state["left"], 1e-9
@@ -116,10 +116,18 @@ def _fold(items: Column, seed: int) -> Column:
     return F.aggregate(items, start, step)
 
 
-def mix(documents: DataFrame, cap: float = 3.0, seed: int = 0) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken."""
+def mix(documents: DataFrame, cap: float = 3.0, seed: int = 0, row: str | None = None) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, taken.
+
+    row names a column of unique numbers in a settled table, which is handed through and, with the text, tells
+    rows without a doc_id or with the same one apart.
+    """
+    number = F.lit(None).cast("long") if row is None else F.col(row)
+    salt = F.lit(None).cast("long") if row is None else F.xxhash64("text", F.when(F.col("doc_id").isNull(), number))
     sized = settle(
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"))
+        documents.select(
+            F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), number.alias("row"), salt.alias("salt")
+        )
     )
     sources = settle(
         ranked(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))).withColumn(
@@ -133,13 +141,13 @@ def mix(documents: DataFrame, cap: float = 3.0, seed: int = 0) -> DataFrame:
     drawn = (
         sized.alias("d")
         .join(side.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-        .select("sid", "n", "doc_id", "size", F.floor(share + 1e-12).alias("base"), share.alias("f"))
+        .select("sid", "n", "doc_id", "size", "row", "salt", F.floor(share + 1e-12).alias("base"), share.alias("f"))
         .withColumn("p", F.when(F.col("size") > 0, F.greatest(F.lit(0.0), F.col("f") - F.col("base"))).otherwise(0.0))
         .withColumn("p", F.when(F.col("p") < 1e-9, 0.0).otherwise(F.col("p")))
-        .withColumn("key", F.xxhash64("doc_id", F.lit(seed)))
+        .withColumn("key", F.xxhash64("doc_id", "salt", F.lit(seed)))
     )
-    whole = drawn.filter("p = 0").select("sid", "doc_id", "size", F.col("base").alias("copies"))
-    item = F.struct("key", "doc_id", "size", "base", "p").cast(ITEM)
+    whole = drawn.filter("p = 0").select("sid", "doc_id", "size", F.col("base").alias("copies"), "row")
+    item = F.struct("key", "doc_id", "size", "base", "p", "row").cast(ITEM)
     level, results, depth = drawn.filter("p > 0").select("sid", "n", item.alias("item")), [whole], 0
     most = sources.agg(F.max("n")).first()[0] or 0
     while most:
@@ -151,14 +159,14 @@ def mix(documents: DataFrame, cap: float = 3.0, seed: int = 0) -> DataFrame:
             .select("sid", F.col("blocks").alias("n"), _fold(F.col("items"), seed + depth).alias("r"))
         )
         level = settle(level.select("sid", "n", "r.left", "r.done"))
-        results.append(level.select("sid", F.explode("done").alias("x")).select("sid", "x.doc_id", "x.size", "x.copies"))
+        results.append(level.select("sid", F.explode("done").alias("x")).select("sid", "x.doc_id", "x.size", "x.copies", "x.row"))
         most = 0 if most <= BLOCK else -(-most // BLOCK)
         if not most:
             x = F.col("left")
             last = x["p"] >= 0.5
             results.append(
                 level.filter("left is not null").select(
-                    "sid", x["doc_id"].alias("doc_id"), x["size"].alias("size"), (x["base"] + last.cast("long")).alias("copies")
+                    "sid", x["doc_id"].alias("doc_id"), x["size"].alias("size"), (x["base"] + last.cast("long")).alias("copies"), x["row"].alias("row")
                 )
             )
         level = level.filter("left is not null").select("sid", "n", F.col("left").alias("item"))
@@ -167,5 +175,6 @@ def mix(documents: DataFrame, cap: float = 3.0, seed: int = 0) -> DataFrame:
     for more in results[1:]:
         rows = rows.unionByName(more)
     return rows.join(side, "sid").select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"),
+        *([] if row is None else [F.col("row").alias(row)]),
     )
