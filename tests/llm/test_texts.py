@@ -103,6 +103,25 @@ def test_register_estimates_follow_the_similarity():
     assert (merged == neardup.registers(pool)).all()
 
 
+@pytest.mark.parametrize("threshold", [0.85, 0.8])
+def test_estimates_lose_no_more_than_bands(threshold):
+    import numpy as np
+    from math import lgamma
+
+    m = neardup.M
+    larger, smaller = (x.ravel() for x in np.meshgrid(np.arange(m + 1), np.arange(m + 1)))
+    larger, smaller = larger[larger + smaller <= m], smaller[larger + smaller <= m]
+    equal, log_b = m - larger - smaller, np.log(neardup.B)
+    for nv in (1.0, 0.95, 0.9, threshold + 0.001):
+        u = 1 / (1 + nv)
+        up, down = (-np.log1p(-x * (neardup.B - 1) / neardup.B) / log_b for x in (u - (1 - u) * threshold, 1 - u - u * threshold))
+        gamma = np.array([lgamma(i + 1) for i in range(m + 1)])
+        chance = np.exp(gamma[m] - gamma[larger] - gamma[smaller] - gamma[equal] + larger * np.log(up) + smaller * np.log(down) + equal * np.log(1 - up - down))
+        found = neardup.estimate(larger, smaller, np.full(len(larger), 1.0), np.full(len(larger), nv))
+        bands = (1 - (1 - up - down) ** neardup.ROWS) ** neardup.BANDS
+        assert chance.sum() == pytest.approx(1) and chance[found < neardup.least_estimate(threshold)].sum() <= bands
+
+
 def removed(rows, length=50):
     first, texts = {}, {r[0]: (r[1] or "").encode() for r in rows}
     for i, b in texts.items():

@@ -12,10 +12,11 @@ by maximum, and two sets agree in a register about as often as their Jaccard sim
    join, larger ones in blocks of bounded size. Shingles that none of the others has bound what a member
    can share, so most pairs that cannot link are left out without being made, and no link is lost.
 3. A candidate pair's similarity is estimated jointly, by the likelihood of how many registers are
-   larger, smaller and equal; pairs over three standard deviations below the threshold are dropped.
+   larger, smaller and equal; pairs over five standard deviations (and 0.02) below the threshold are dropped.
 4. The rest are verified on their full sets, and verified links give components.
 
-Bands are sized so that a pair at the threshold shares none with a probability of about 3e-6.
+A pair at the threshold shares no band with a probability of about 3e-6 at 0.85 and 2e-4 at 0.80, and its
+estimate is dropped with one of at most 5e-7; together at most 4e-6 and 3e-4.
 
 Defined cases: null and wordless texts have an empty set and no link; fewer than five words are one
 shingle; rows that share a doc_id are rows of their own with that id's component (equal rows link); a
@@ -141,7 +142,7 @@ def estimate(larger: np.ndarray, smaller: np.ndarray, nu: np.ndarray, nv: np.nda
 
 
 def least_estimate(threshold: float) -> float:
-    return threshold - 3 * float(np.sqrt(threshold * (1 - threshold) / M)) - 0.02
+    return threshold - 5 * float(np.sqrt(threshold * (1 - threshold) / M)) - 0.02
 
 
 def _likely(threshold: float):
