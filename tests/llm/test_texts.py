@@ -295,6 +295,15 @@ def test_licenses_are_stated_or_inherited(spark):
     assert got[8][:2] == ("CC-BY-NC-4.0", "own") and got[9] == (None, "none", None)
 
 
+def test_licenses_are_scored_by_plain_tf_idf(spark):
+    said = [("to any person obtaining a copy of this software", 0.705), ("Permission is hereby granted, free of charge, to any person", 0.732), ("This project is released under the MIT license", 0.720)]
+    files = spark.createDataFrame([(i, f"p{i}/a", t) for i, (t, _) in enumerate(said)] + [(9, "q/a", "zzz " * 3000 + "the the license")], "id long, path string, text string")
+    got = {r.id: r for r in licenses.scan(files, "id").collect()}
+    assert got[9].license is None
+    for i, (_, score) in enumerate(said):
+        assert got[i].license == "MIT" and got[i].score == pytest.approx(score, abs=6e-4)
+
+
 def test_heavy_tokens_lose_no_match():
     import math
     from collections import Counter

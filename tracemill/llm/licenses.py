@@ -1,14 +1,14 @@
 """License scan: sparse TF-IDF cosine to statement templates, then inheritance along directories.
 
 Each file's whole text is cut into statements (line ends, sentence marks); the whole text is one more unit.
-A unit's vector has the count of a token times its inverse document frequency among the templates (a fifth
-of it for common words; a token of no template weighs most and counts in the norm only). Each unit has the license of
+A unit's vector has the count of a token times its inverse document frequency among the templates (a token
+of no template weighs most and counts in the norm only). Each unit is scored inside its row and has the license of
 its best template, if the cosine is STATEMENT or more (of equal ones the first by name); per file those of
 all its units are kept, the best as its own.
 
 Only units that hold a token of some template's telling part are scored: what is left of a template without
 that part has a norm below the threshold, so no cosine of the threshold is possible without it. That drops
-no match. What is left holds the common words first.
+no match. What is left holds the light words first.
 
 A file is a license file if its name says so and it has a license, or if its whole text has a cosine of
 FILE. Other files without a license take that of the license file in the nearest directory above (of
@@ -57,9 +57,6 @@ TEMPLATES = [
     ("Proprietary", "All rights reserved"),
 ]
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
-#: Words that say little.
-COMMON = frozenset("a all and any are be by for free from in into is it of on or permitted person provided released source subject terms that the this to under use with without work".split())
-COMMON_WEIGHT = 0.2
 CUT = r"\n+|(?<=[.!?;])\s+"
 LICENSE_NAME = r"(?i)^(licen[cs]e|copying|notice|unlicense)(\.[a-z]+)?$"
 
@@ -68,7 +65,7 @@ def _vectors(templates: list[tuple[str, str]]) -> tuple[list[tuple[int, str, dic
     """The templates' unit vectors, the tokens' weights, and that of a token of no template."""
     counts = [(i, name, Counter(re.findall(TOKEN, text.lower()))) for i, (name, text) in enumerate(templates)]
     df = Counter(t for _, _, c in counts for t in c)
-    idf = {t: (math.log((1 + len(counts)) / (1 + n)) + 1) * (COMMON_WEIGHT if t in COMMON else 1) for t, n in df.items()}
+    idf = {t: math.log((1 + len(counts)) / (1 + n)) + 1 for t, n in df.items()}
     out = []
     for i, name, c in counts:
         raw = {t: n * idf[t] for t, n in c.items()}
@@ -79,11 +76,11 @@ def _vectors(templates: list[tuple[str, str]]) -> tuple[list[tuple[int, str, dic
 
 def heavy_tokens(vectors: list[tuple[int, str, dict[str, float]]], least: float) -> list[str]:
     """Tokens of which a unit must hold one for a cosine of least with any template: any part of a template may
-    be left out whose squares add up to less than least squared; here common words go first, then light ones."""
+    be left out whose squares add up to less than least squared; here light ones go first."""
     needed = set()
     for _, _, vector in vectors:
         rest = 0.0
-        for token, x in sorted(vector.items(), key=lambda kv: (kv[0] not in COMMON, kv[1], kv[0])):
+        for token, x in sorted(vector.items(), key=lambda kv: (kv[1], kv[0])):
             rest += x * x
             if rest >= least * least - 1e-9:
                 needed.add(token)
@@ -94,41 +91,69 @@ def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({TOKEN})"), F.lit(1))
 
 
+def _squares(tokens: Column) -> Column:
+    """The sum of the squares of how often each token is there, by runs of the sorted tokens."""
+    start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("sum"))
+
+    def step(s: Column, t: Column) -> Column:
+        # (n + 1)^2 - n^2 = 2n + 1
+        run = F.when(s["last"].eqNullSafe(t), s["run"]).otherwise(F.lit(0).cast("bigint"))
+        return F.struct(t.alias("last"), (run + 1).alias("run"), (s["sum"] + 2 * run + 1).alias("sum"))
+
+    return F.aggregate(F.array_sort(tokens), start, step, lambda s: s["sum"])
+
+
+def _scores(units: DataFrame, vectors: list[tuple[int, str, dict[str, float]]], idf: dict[str, float], other: float) -> DataFrame:
+    """units (with unit) with name and score of the best template, where that is min(STATEMENT, FILE) or more."""
+    least, words = min(STATEMENT, FILE), sorted(idf)
+
+    def by(values: dict[str, float], t: Column) -> Column:
+        pairs = [x for kv in sorted(values.items()) for x in (F.lit(kv[0]), F.lit(float(kv[1])))]
+        return F.coalesce(F.try_element_at(F.create_map(*pairs), t), F.lit(0.0))
+
+    def total(value) -> Column:
+        return F.aggregate("counts", F.lit(0.0), lambda a, c: a + value(c))
+
+    def bound(rows: DataFrame, name: str, value: Column) -> DataFrame:
+        """Adds a column that is worked out once, before any filter on it (a plain one moves into the filters)."""
+        return rows.select("*", F.explode(F.array(value)).alias(name))
+
+    tokens = bound(units, "tokens", _tokens(F.col("unit"))).drop("unit")
+    split = bound(tokens, "known", F.filter("tokens", lambda t: t.isin(words)))
+    split = bound(split, "strange", _squares(F.filter("tokens", lambda t: ~t.isin(words)))).drop("tokens")
+    counted = bound(split, "counts", F.transform(F.array_distinct("known"), lambda v: F.struct(v.alias("t"), F.size(F.filter("known", lambda k: k == v)).alias("n"))))
+    normed = bound(counted.drop("known"), "mine", total(lambda c: F.pow(c["n"] * by(idf, c["t"]), F.lit(2.0))))
+    normed = normed.withColumn("square", F.col("mine") + F.col("strange") * F.lit(other * other))
+    # The part that templates know bounds the cosine.
+    able = normed.filter(F.col("mine") >= (least * least - 1e-5) * F.col("square")).filter("square > 0")
+    best = F.array_min(
+        F.array(
+            *[
+                F.struct(
+                    (-F.round(total(lambda c, v=v: c["n"] * by({t: x * idf[t] for t, x in v.items()}, c["t"])) / F.sqrt(F.greatest("square", F.lit(1.0))), 6)).alias("minus"),
+                    F.lit(name).alias("name"),
+                )
+                for _, name, v in vectors
+            ]
+        )
+    )
+    scored = bound(able, "b", best).withColumn("name", F.col("b.name")).withColumn("score", -F.col("b.minus"))
+    return scored.filter(F.col("score") >= least).select(*[c for c in units.columns if c != "unit"], "name", "score")
+
+
 def scan(files: DataFrame, key: str, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """files has key, path and text. Per key: key, path, license, score, basis (own, inherited or none),
     from_path (the license file inherited from), licenses (all of its own, sorted, comma-joined)."""
-    spark = files.sparkSession
     vectors, idf, other = _vectors(templates or TEMPLATES)
     heavy = heavy_tokens(vectors, min(STATEMENT, FILE))
     pattern = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(t) for t in heavy) + r")(?![a-z0-9])"
-    # As many rows as the templates have tokens.
-    postings = spark.createDataFrame(
-        [(t, i, name, x) for i, name, v in vectors for t, x in sorted(v.items())], "token string, template int, name string, x double"
-    )
-    weights = spark.createDataFrame(sorted(idf.items()), "token string, idf double")
-
     plain = files.select(F.col(key).alias("key"), "path", "text")
     found = plain.filter(F.col("text").rlike(pattern))
     statements = found.select("key", "path", F.explode_outer(F.split("text", CUT)).alias("unit"), F.lit(False).alias("whole"))
     units = statements.unionByName(found.select("key", "path", F.col("text").alias("unit"), F.lit(True).alias("whole")))
-    units = units.filter(F.col("unit").rlike(pattern)).select("key", "path", "whole", "unit").withColumn("row", F.monotonically_increasing_id())
-    # A unit is what it says: equal ones of a file count once, and the many equal lines of a corpus are scored once.
-    said = settle(units.select("key", "path", "whole", F.sha2("unit", 256).alias("id"), "unit"))
-    distinct = said.groupBy("id").agg(F.first("unit").alias("unit"))
-    counted = distinct.select("id", F.explode_outer(_tokens(F.col("unit"))).alias("token")).groupBy("id", "token").count()
-    weighed = settle(
-        counted.join(F.broadcast(weights), "token", "left").select("id", "token", (F.col("count") * F.coalesce("idf", F.lit(other))).alias("w"))
-    )
-    norms = weighed.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = weighed.join(F.broadcast(postings), "token").groupBy("id", "template", "name").agg(F.sum(F.col("w") * F.col("x")).alias("dot"))
-    scored = settle(
-        dots.join(norms, "id").select("id", "name", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
-        .filter(F.col("score") >= min(STATEMENT, FILE))
-        .groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("name").alias("name"))).alias("b"))
-        .select("id", "b.name", (-F.col("b.minus")).alias("score"))
-    )
+    units = units.filter(F.col("unit").rlike(pattern)).select("key", "path", "whole", "unit")
     least = F.when(F.col("whole"), F.lit(FILE)).otherwise(F.lit(STATEMENT))
-    hits = said.select("key", "path", "whole", "id").join(scored, "id").filter(F.col("score") >= least)
+    hits = _scores(units, vectors, idf, other).filter(F.col("score") >= least)
     best = F.struct(F.col("score").alias("score"), F.col("name").alias("name"))
     own = settle(
         hits.groupBy("key").agg(
