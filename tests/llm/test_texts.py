@@ -295,6 +295,19 @@ def test_licenses_are_stated_or_inherited(spark):
     assert got[8][:2] == ("CC-BY-NC-4.0", "own") and got[9] == (None, "none", None)
 
 
+def test_wrapped_headers_are_found(spark):
+    code = "\n".join(f"x{i} = call{i}(y{i})" for i in range(300))
+    gpl = "{0}This program is free software: you can redistribute it and/or modify\n{0}it under the terms of the GNU General Public License as published by\n{0}the Free Software Foundation, either version {1} of the License, or\n{0}(at your option) any later version.\n"
+    bsd = "{0}Redistribution and use in source and binary forms, with or without\n{0}modification, are permitted provided that the following conditions are\n{0}met:\n"
+    mit = "{0}Permission is hereby granted, free of charge, to any person\n{0}obtaining a copy of this software and associated\n{0}documentation files\n"
+    texts = [(bsd.format("# ") + code, "BSD-3-Clause"), (gpl.format(" * ", 3) + code, "GPL-3.0"), (code + "\n" + gpl.format("// ", 2) + code, "GPL-2.0"), (mit.format("-- ") + code, "MIT"), (code, None)]
+    files = [(i, f"p{i}/a.py", text) for i, (text, _) in enumerate(texts)]
+    files += [(10, "q/LICENSE", bsd.format("") + "\n1. Redistributions of source code must retain the above copyright notice,\nthis list of conditions and the following disclaimer.\n"), (11, "q/b.py", code)]
+    got = {r.id: (r.license, r.basis) for r in licenses.scan(spark.createDataFrame(files, "id long, path string, text string"), "id").collect()}
+    assert [got[i][0] for i in range(len(texts))] == [name for _, name in texts]
+    assert got[10] == ("BSD-3-Clause", "own") and got[11] == ("BSD-3-Clause", "inherited")
+
+
 def test_licenses_are_scored_by_plain_tf_idf(spark):
     said = [("to any person obtaining a copy of this software", 0.705), ("Permission is hereby granted, free of charge, to any person", 0.732), ("This project is released under the MIT license", 0.720)]
     files = spark.createDataFrame([(i, f"p{i}/a", t) for i, (t, _) in enumerate(said)] + [(9, "q/a", "zzz " * 3000 + "the the license")], "id long, path string, text string")

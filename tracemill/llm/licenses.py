@@ -1,6 +1,8 @@
 """License scan: sparse TF-IDF cosine to statement templates, then inheritance along directories.
 
-Each file's whole text is cut into statements (line ends, sentence marks); the whole text is one more unit.
+Each file's whole text is cut into statements (line ends, sentence marks); the whole text is one more unit. So
+are, with comment marks left out, its paragraphs and each WINDOWS lines in a row, for wrapped statements. The
+notices are templates of their own, with their own weights, so they change no statement's score.
 A unit's vector has the count of a token times its inverse document frequency among the templates (a token
 of no template weighs most and counts in the norm only). Each unit is scored inside its row and has the license of
 its best template, if the cosine is STATEMENT or more (of equal ones the first by name); per file those of
@@ -56,6 +58,23 @@ TEMPLATES = [
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0"),
     ("Proprietary", "All rights reserved"),
 ]
+_GNU = "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version"
+#: The licenses' own notices and the heads of their texts.
+NOTICES = [
+    *[(f"GPL-{v}.0", _GNU.format("program", "General", v)) for v in (2, 3)],
+    *[(f"LGPL-{v}", _GNU.format(what, "Lesser General", n)) for v, n in (("2.1", "2.1"), ("3.0", "3")) for what in ("library", "program")],
+    ("AGPL-3.0", _GNU.format("program", "Affero General", 3)),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
+]
+#: Lines in a row that are a unit, and what a line may begin with when it is a comment.
+WINDOWS = (2, 3, 4, 6, 8)
+MARKS = r"(?m)^[ \t]*(?://+!?|/\*+!?|\*+/?|#+|--+|;+|%+|<!--|\"\"\")?[ \t\r]*"
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 CUT = r"\n+|(?<=[.!?;])\s+"
 LICENSE_NAME = r"(?i)^(licen[cs]e|copying|notice|unlicense)(\.[a-z]+)?$"
@@ -141,19 +160,38 @@ def _scores(units: DataFrame, vectors: list[tuple[int, str, dict[str, float]]],
     return scored.filter(F.col("score") >= least).select(*[c for c in units.columns if c != "unit"], "name", "score")
 
 
+def _units(text: Column) -> Column:
+    """The statements of a text, its paragraphs, and its lines in windows."""
+    bare = F.regexp_replace(text, MARKS, "")
+
+    def windows(lines: Column, count: int) -> Column:
+        starts = F.when(F.size(lines) > 1, F.sequence(F.lit(1), F.size(lines) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(lines, i, F.lit(count)), " "))
+
+    lines = F.filter(F.split(bare, "\n"), lambda x: x != "")
+    rows = F.transform(F.array(lines), lambda x: F.flatten(F.array(*[windows(x, n) for n in WINDOWS])))[0]
+    # Marks of empty comment lines are gone, so these part paragraphs; a text of one is the whole text.
+    return F.concat(F.split(text, CUT), F.split(bare, r"\n\s*\n"), rows)
+
+
 def scan(files: DataFrame, key: str, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """files has key, path and text. Per key: key, path, license, score, basis (own, inherited or none),
     from_path (the license file inherited from), licenses (all of its own, sorted, comma-joined)."""
-    vectors, idf, other = _vectors(templates or TEMPLATES)
-    heavy = heavy_tokens(vectors, min(STATEMENT, FILE))
-    pattern = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(t) for t in heavy) + r")(?![a-z0-9])"
     plain = files.select(F.col(key).alias("key"), "path", "text")
-    found = plain.filter(F.col("text").rlike(pattern))
-    statements = found.select("key", "path", F.explode_outer(F.split("text", CUT)).alias("unit"), F.lit(False).alias("whole"))
-    units = statements.unionByName(found.select("key", "path", F.col("text").alias("unit"), F.lit(True).alias("whole")))
-    units = units.filter(F.col("unit").rlike(pattern)).select("key", "path", "whole", "unit")
     least = F.when(F.col("whole"), F.lit(FILE)).otherwise(F.lit(STATEMENT))
-    hits = _scores(units, vectors, idf, other).filter(F.col("score") >= least)
+    hits = None
+    for some in [templates] if templates else [TEMPLATES, NOTICES]:
+        vectors, idf, other = _vectors(some)
+        heavy = heavy_tokens(vectors, min(STATEMENT, FILE))
+        pattern = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(t) for t in heavy) + r")(?![a-z0-9])"
+        found = plain.filter(F.col("text").rlike(pattern))
+        units = (
+            found.select("key", "path", F.explode(_units(F.col("text"))).alias("unit"), F.lit(False).alias("whole"))
+            .unionByName(found.select("key", "path", F.col("text").alias("unit"), F.lit(True).alias("whole")))
+            .filter(F.col("unit").rlike(pattern)).select("key", "path", "whole", "unit")
+        )
+        more = _scores(units, vectors, idf, other).filter(F.col("score") >= least)
+        hits = more if hits is None else hits.unionByName(more)
     best = F.struct(F.col("score").alias("score"), F.col("name").alias("name"))
     own = settle(
         hits.groupBy("key").agg(
