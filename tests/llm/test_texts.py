@@ -90,6 +90,32 @@ def test_near_duplicates_are_the_components_of_all_links(spark, table, rows, per
     assert any(find(i) != i for i in own)
 
 
+def test_a_hot_bucket_of_near_texts_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "FEW", 2)
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    rnd = random.Random(12)
+    base, rows = [f"b{i}" for i in range(120)], []
+    for i in range(150):
+        w = list(base)
+        for _ in range(rnd.randint(1, 7)):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    own, parent = sets(rows), list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in own:
+        for b in range(a):
+            if 100 * len(own[a] & own[b]) >= 85 * len(own[a] | own[b]):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: find(i) for i in own} and 5 < len(set(got.values())) < 140
+
+
 def test_register_estimates_follow_the_similarity():
     import numpy as np
 

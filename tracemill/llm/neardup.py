@@ -9,8 +9,9 @@ by maximum, and two sets agree in a register about as often as their Jaccard sim
    expanded into pairs: its members are joined to one centre, the verified ones become components, and
    buckets that still hold several components get the member whose registers agree with most others as
    the next centre. What is left apart after that is compared between components: small buckets by a
-   join, larger ones in blocks of bounded size. Shingles that none of the others has bound what a member
-   can share, so most pairs that cannot link are left out without being made, and no link is lost.
+   join, larger ones in blocks of bounded size, each pair in the first band that it shares. Shingles that none
+   of the others has, and counts of shingles in cells, bound what two sets can share: documents that can
+   link with none are left out before a row a bucket is made, pairs before they are, and no link is lost.
 3. A candidate pair's similarity is estimated jointly, by the likelihood of how many registers are
    larger, smaller and equal; pairs over five standard deviations (and 0.02) below the threshold are dropped.
 4. The rest are verified on their full sets, and verified links give components.
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytehash
@@ -46,6 +47,8 @@ BROADCAST_IDS = 500_000
 #: Members of a bucket up to which all its pairs of different components are joined, and members of a block
 #: that is compared with another such block in larger ones.
 FEW, BLOCK = 16, 1024
+#: Cells in which a set's shingles are counted, for a bound on what two sets share.
+CELLS = 256
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(0, 2**32, M, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -159,30 +162,51 @@ def _likely(threshold: float):
     return likely
 
 
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of a set fall into each of CELLS cells by hash."""
+    for batch in batches:
+        lists = batch.column("shingles")
+        values, ends = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
+        count = [np.bincount(values[a:b] & (CELLS - 1), minlength=CELLS).astype(np.int32).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        yield pa.record_batch([batch.column("id"), pa.array(count, pa.binary())], ["id", "cells"])
+
+
 def _central(group: pd.DataFrame) -> pd.DataFrame:
     """Of one bucket's block, the member whose registers agree with most others', for each register."""
     x = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, M)
     cell = x + 256 * np.arange(M)
     score = np.bincount(cell.ravel(), minlength=256 * M)[cell].sum(axis=1).astype(float)
     best = group.iloc[[int(np.lexsort((group["id"].to_numpy(), -score))[0])]]
-    return pd.DataFrame({"key": best["key"], "center": best["id"], "score": score.max() / len(x)})
+    return pd.DataFrame({"key": best["key"], "center": best["id"], "home": best["component"], "score": score.max() / len(x)})
 
 
 def _across(threshold: float):
     low = least_estimate(threshold)
 
     def across(group: pd.DataFrame) -> pd.DataFrame:
-        """Likely pairs of different components between the two blocks of a group, which may be one."""
+        """Likely pairs of different components between the two blocks of a group, which may be one.
+
+        Left out are pairs that cannot share enough: by what each shares with any other at most, and by how many
+        shingles each has in a cell; and pairs that an earlier band brings together as well.
+        """
         group = group.sort_values("id").reset_index(drop=True)
         x = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, M)
+        cells = np.frombuffer(b"".join(group["cells"]), np.int32).reshape(-1, CELLS)
         ids, comp, size, common = (group[c].to_numpy() for c in ("id", "component", "n", "common"))
-        side = group["side"].to_numpy()
-        one = (group["left"] == group["right"]).to_numpy()
+        side, band = group["side"].to_numpy(), int(group["band"].iloc[0])
+        one = bool((group["left"] == group["right"]).iloc[0])
         found = []
-        for i in range(len(x)):
-            at = np.flatnonzero((comp != comp[i]) & (ids > ids[i]) & (one | (side != side[i])))
+        for i in range(len(x) - 1):
+            # Rows are sorted by id, and ids are unique.
+            at = i + 1 + np.flatnonzero((comp[i + 1 :] != comp[i]) & (one | (side[i + 1 :] != side[i])))
             most = np.minimum(common[at], common[i])
             at = at[most >= (threshold - 1e-9) * (size[at] + size[i] - most)]
+            if len(at):
+                most = np.minimum(cells[at], cells[i]).sum(axis=1)
+                at = at[most >= (threshold - 1e-9) * (size[at] + size[i] - most)]
+            if len(at) and band:
+                met = (x[at, : band * ROWS] == x[i, : band * ROWS]).reshape(len(at), band, ROWS).all(axis=2).any(axis=1)
+                at = at[~met]
             if len(at):
                 est = estimate((x[i] > x[at]).sum(1), (x[i] < x[at]).sum(1), np.full(len(at), size[i]), size[at])
                 found += [(ids[i], ids[k]) for k in at[est >= low]]
@@ -249,73 +273,71 @@ def _links(plain: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     tested = settle(crowd.filter("id <> center").select(F.least("id", "center").alias("u"), F.greatest("id", "center").alias("v")).distinct())
     links = verified(tested)
 
-    # In a bucket of two all is tested.
-    larger = crowd.filter("members > 2")
-
-    def apart() -> DataFrame:
-        """The members of buckets that still hold several components, with these."""
-        labels = components(links)
-        now = larger.select("key", "id", "members").join(labels, F.col("id") == F.col("node"), "left").select("key", "id", "members", F.coalesce("component", "id").alias("component"))
-        split = now.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
-        return settle(now.join(split, "key", "left_semi").join(side, "id"))
-
-    # Of the members of such buckets, how many shingles some other one has too: no link can share more.
-    rest = apart()
-    held = sets.join(rest.select("id").distinct(), "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
-    alone = held.groupBy("shingle").agg(F.count("*").alias("c"), F.min("id").alias("id")).filter("c = 1").groupBy("id").agg(F.count("*").alias("alone"))
-    common = settle(
-        rest.select("id", "n").distinct().join(alone, "id", "left").select("id", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"), "n")
-    )
-    common = settle(common.filter(100 * F.col("common") >= percent * F.col("n")).select("id", "common"))
+    # In a bucket of two all is tested. Of the members of larger ones only those go on that share enough of their
+    # shingles with any other: one row a document, before a row for each bucket is made.
+    larger = settle(buckets.filter("members > 2").select("key"))
+    larger = F.broadcast(larger) if small(larger, BROADCAST_IDS) else larger
+    wide = settle(keyed.join(larger, "key").select("id").distinct())
+    held = sets.join(wide, "id", "left_semi")
+    shared = held.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("c"), F.min("id").alias("id"))
+    alone = shared.filter("c = 1").groupBy("id").agg(F.count("*").alias("alone"))
+    common = F.col("n") - F.coalesce("alone", F.lit(0))
+    able = side.join(wide, "id").join(alone, "id", "left").withColumn("common", common).filter(100 * F.col("common") >= percent * F.col("n"))
+    able = settle(able.select("id", "n", "sketch", "common"))
+    able = settle(able.join(held.join(able.select("id"), "id", "left_semi").mapInArrow(_cells, "id long, cells binary"), "id"))
+
+    def apart() -> tuple[DataFrame, DataFrame]:
+        """The able members with their components, and the buckets that still hold several of these."""
+        now = settle(able.join(components(links), F.col("id") == F.col("node"), "left").select(*able.columns, F.coalesce("component", "id").alias("component")))
+        per = now.select("component", F.explode(keys).alias("key")).groupBy("key").agg(
+            F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("members")
+        )
+        return now, settle(per.filter("a <> b").select("key", "members"))
 
-    def able(rows: DataFrame) -> DataFrame:
-        """Of apart's rows, those that may still link across components."""
-        rows = rows.join(common, "id")
-        split = rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
-        return settle(rows.join(split, "key", "left_semi"))
+    def spread(now: DataFrame, split: DataFrame) -> DataFrame:
+        """A row for each member and split bucket, with the band."""
+        some = F.broadcast(split) if small(split, BROADCAST_IDS) else split
+        return now.select(*now.columns, F.posexplode(keys).alias("band", "key")).join(some, "key")
 
-    rest = able(rest)
+    now, split = apart()
     for _ in range(2):
-        left = rest.filter(F.col("members") > FEW)
-        if left.isEmpty():
+        hot = split.filter(F.col("members") > FEW)
+        if hot.isEmpty():
             break
         block = F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / BLOCK))
-        central = left.withColumn("block", block).groupBy("key", "block").applyInPandas(
-            lambda g: _central(g), "key long, center long, score double"
+        central = spread(now.select("id", "component", "sketch"), hot).withColumn("block", block).groupBy("key", "block").applyInPandas(
+            _central, "key long, center long, home long, score double"
         )
-        central = settle(central.groupBy("key").agg(F.max_by("center", F.struct("score", -F.col("center"))).alias("center")))
-        where = left.select("key", F.col("id").alias("center"), F.col("component").alias("home"))
-        central = central.join(where, ["key", "center"])
+        central = settle(central.groupBy("key").agg(F.max_by(F.struct("center", "home"), F.struct("score", -F.col("center"))).alias("c")).select("key", "c.*"))
         pairs = (
-            left.join(central, "key").filter("component <> home")
+            spread(now.select("id", "component", "sketch"), central).filter("component <> home")
             .select(F.least("id", "center").alias("u"), F.greatest("id", "center").alias("v")).distinct()
         )
         pairs = settle(pairs.join(tested, ["u", "v"], "left_anti"))
-        tested = settle(tested.union(pairs))
-        links = settle(links.union(verified(pairs)))
-        rest = able(apart())
-    if rest.isEmpty():
+        if pairs.isEmpty():
+            break
+        tested, links = settle(tested.union(pairs)), settle(links.union(verified(pairs)))
+        now, split = apart()
+    if split.isEmpty():
         return links
-    some = rest.filter(F.col("members") <= FEW).select("key", "id", "component", "n", "common")
+    some = spread(now, split.filter(F.col("members") <= FEW)).select("key", "id", "component", "n", "common")
     met = some.alias("a").join(some.alias("b"), "key").filter("a.id < b.id and a.component <> b.component")
     most = F.least("a.common", "b.common")
     near = met.filter(100 * most >= percent * (F.col("a.n") + F.col("b.n") - most))
-    pairs = settle(near.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct().join(tested, ["u", "v"], "left_anti"))
-    links = settle(links.union(verified(pairs)))
-    left = rest.filter(F.col("members") > FEW)
-    if left.isEmpty():
-        return links
-    # What is left: each block of a bucket meets each other block once.
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("own"), o).alias("left"), F.greatest(F.col("own"), o).alias("right")))
-    spread = (
-        left.withColumn("blocks", blocks).withColumn("own", own)
-        .select("key", "id", "component", "n", "common", "sketch", F.col("own").alias("side"), F.explode(meet).alias("m"))
-        .select("key", "id", "component", "n", "common", "sketch", "side", "m.left", "m.right")
-    )
-    # Few bytes but much work: keep the tasks apart.
-    tasks = int(plain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = spread.repartition(tasks, "key", "left", "right").groupBy("key", "left", "right").applyInPandas(_across(threshold), "u long, v long").distinct()
+    pairs = near.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
+    hot = split.filter(F.col("members") > FEW)
+    if not hot.isEmpty():
+        # Each block of a bucket meets each other block once.
+        blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+        own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+        meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("side"), o).alias("left"), F.greatest(F.col("side"), o).alias("right")))
+        dealt = (
+            spread(now, hot).withColumn("blocks", blocks).withColumn("side", own).withColumn("m", F.explode(meet))
+            .select("key", "band", "id", "component", "n", "common", "sketch", "cells", "side", "m.left", "m.right")
+        )
+        # Few bytes but much work: keep the tasks apart.
+        tasks = int(plain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        met = dealt.repartition(tasks, "key", "left", "right").groupBy("key", "left", "right").applyInPandas(_across(threshold), "u long, v long")
+        pairs = pairs.union(met).distinct()
     pairs = settle(pairs.join(tested, ["u", "v"], "left_anti"))
     return settle(links.union(verified(pairs)))

@@ -13,23 +13,21 @@ BROADCAST_IDS = 500_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; where that is unset (tests), below a temporary one."""
+    """A new folder below spark.checkpoint.dir. Where that is unset a local session (as in tests) gets a temporary
+    one; elsewhere executors would not see it."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tracemill-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tracemill-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Writes df once and returns the written table.
-
-    What follows reads files that survive a lost executor, and no later action computes df again. Before,
-    the collector frees the shuffle files of what was settled earlier, which otherwise stay until the driver
-    happens to collect its garbage (right after a write its listeners still hold the plan).
-    """
+    """Writes df once and returns the written table: what follows reads files that survive a lost executor, and
+    no later action computes df again."""
     spark = df.sparkSession
-    spark.sparkContext._jvm.System.gc()
     path = f"{shared_folder(spark)}/table"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
