@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tracemill.llm import decontamination, fingerprints, licenses, mixing, neardup, quality, substrings
@@ -174,6 +175,37 @@ def test_repeated_strings_go(table, rows, hot):
     assert len(got) == len(rows) and any(x[1] for x in expected.values())
 
 
+@pytest.mark.parametrize("hot", [4096, 1])
+def test_equal_hashes_remove_nothing_by_themselves(rows, hot, monkeypatch):
+    """All rounds of one process, with hashes of two bits for anchors, contexts and strings."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tracemill.llm import bytehash
+
+    mixed = bytehash.mixed
+    monkeypatch.setattr(bytehash, "mixed", lambda x: mixed(x) >> np.uint64(62) << np.uint64(62))
+    bits, buckets = 20, 3
+    groups = [pa.table([pa.array([r[0] for r in rows[g::2]]), pa.array([r[1] for r in rows[g::2]], pa.string())], ["doc_id", "text"]) for g in range(2)]
+    keys = [(pa.scalar(g),) for g in range(2)]
+
+    def by(column, tables, f):
+        whole = pa.concat_tables(tables)
+        return pa.concat_tables([f((pa.scalar(v),), whole.filter(pa.compute.equal(whole[column], v))) for v in sorted(set(whole[column].to_pylist()))])
+
+    import pyarrow.compute  # noqa: F401
+
+    flags = by("bucket", [substrings._requests(bits, buckets)(k, t) for k, t in zip(keys, groups)], lambda k, t: substrings._replies(k, t, hot))
+    own = lambda table, g: table.filter(pa.compute.equal(table["grp"], g))
+    masks = by("bucket", [substrings._contexts(bits, buckets)(k, t, own(flags, g)) for g, (k, t) in enumerate(zip(keys, groups))], substrings._sorted_bucket)
+    got = {}
+    for g, (k, t) in enumerate(zip(keys, groups)):
+        both = pa.concat_tables([own(flags, g).append_column("masks", pa.nulls(own(flags, g).num_rows, pa.binary())), own(masks, g).append_column("flags", pa.nulls(own(masks, g).num_rows, pa.binary()))], promote_options="default")
+        for r in substrings._results(bits, buckets, None)(k, t, both).to_pylist():
+            got[r["doc_id"]] = (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+    assert got == removed(rows)
+
+
 def test_clean_texts_keep_other_columns(table, rows):
     got = {r.doc_id: r for r in substrings.clean_texts(table).collect()}
     assert {i: (r.source, r.lang, r.hashes) for i, r in got.items()} == {r[0]: (r[3], r[2], r[6]) for r in rows}
@@ -222,13 +254,61 @@ def test_windows_of_items_are_hit(spark, table, rows):
     assert {(r.doc_id, r.n_words, r.n_hit) for r in clean} == {(i, x[0], 0) for i, x in expected.items()}
 
 
-@pytest.mark.parametrize("in_row", [320, 4])
+def hashed(data, seed=42):
+    return xxhash.xxh64_intdigest(data, seed)
+
+
+def paragraphs(text):
+    """The pieces of a text, by the module's words: sentences of lines, long ones cut after words that their hash tells."""
+    out = set()
+    for x in re.split(fingerprints.CUT, text, flags=re.A):
+        x = x.strip(" ")
+        if len(x) <= fingerprints.LONG:
+            out |= {x} if x else set()
+            continue
+        held = []
+        for w in re.findall(rf"\S{{1,{fingerprints.WORD}}}", x, flags=re.A):
+            held.append(w)
+            if hashed(w.encode()) % fingerprints.EVERY == 0 or len(w) == fingerprints.WORD:
+                out.add(" ".join(held))
+                held = []
+        out |= {" ".join(held)} if held else set()
+    return out
+
+
+def peeled(fingerprint):
+    """The digests that a written fingerprint holds, from the text alone."""
+    found = set()
+    for block in fingerprint.split(":"):
+        head, *rest = block.split("-")
+        if head in ("0", "list"):
+            found |= {int(x, 16) for x in rest}
+            continue
+        width, cells = int(head, 16), {}
+        for x in rest:
+            at, n, key, total = (int(y, 16) for y in x.split("."))
+            cells[at] = [n, key, total]
+        place = lambda d: [(d >> 16 * p) % 2**64 % width + p * width for p in range(3)]
+        check = lambda d: hashed((1).to_bytes(4, "little"), hashed(d.to_bytes(8, "little")))
+        while pure := [c[1] for c in cells.values() if c[0] == 1 and c[2] == check(c[1])]:
+            d = pure[0]
+            found.add(d)
+            for i in place(d):
+                n, key, total = cells[i]
+                cells[i] = [n - 1, key ^ d, total ^ check(d)]
+        assert not any(any(c) for c in cells.values())
+    return found
+
+
+def likeness(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.mark.parametrize("in_row", [640, 4])
 def test_sketches_tell_the_shared_paragraphs(table, rows, in_row, monkeypatch):
     monkeypatch.setattr(fingerprints, "IN_ROW", in_row)
     monkeypatch.setattr(fingerprints, "RANGE_ROWS", 20)
     by = sorted(rows, key=lambda r: -r[0])
-    units = lambda s: {y for y in (z.strip(" ") for z in s.split("\n")) if y}
-    like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
     got = {r.doc_id: r for r in fingerprints.fingerprints(table).collect()}
     assert len(got) == len(rows)
     prints = {}
@@ -238,32 +318,26 @@ def test_sketches_tell_the_shared_paragraphs(table, rows, in_row, monkeypatch):
         edited = text[: len(text) - half] + after[:half]
         x = got[r[0]]
         assert (x.n_chars, x.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
-        assert x.near_edited == pytest.approx(like(units(text), units(edited))) and x.near_next == pytest.approx(like(units(text), units(after)))
+        a, b, c = paragraphs(text), paragraphs(edited), paragraphs(after)
+        assert x.near_edited == pytest.approx(likeness(a, b)) and x.near_next == pytest.approx(likeness(a, c))
         assert prints.setdefault(text, x.fingerprint) == x.fingerprint and prints.setdefault(edited, x.edited_fingerprint) == x.edited_fingerprint
+        # From the written fingerprints alone.
+        own, new = peeled(x.fingerprint), peeled(x.edited_fingerprint)
+        assert own == {hashed(p.encode()) for p in a} and x.near_edited == pytest.approx(likeness(own, new))
+        assert x.near_next == pytest.approx(likeness(own, peeled(got[by[(k + 1) % len(by)][0]].fingerprint)))
 
 
-def fine_units(text):
-    """The pieces of texts without very long ones."""
-    return {y for y in (z.strip(" ") for z in re.split(r"\n+|(?<=[.!?])\s+", text)) if y}
-
-
-@pytest.mark.parametrize("in_row", [320, 4])
+@pytest.mark.parametrize("in_row", [640, 4])
 def test_one_line_texts_are_like_their_own_edit(spark, in_row, monkeypatch):
     monkeypatch.setattr(fingerprints, "IN_ROW", in_row)
     rnd = random.Random(8)
     words = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
-    lines = [" ".join(words(6) + rnd.choice(".!?") for _ in range(40)), " ".join(words(5) + "." for _ in range(30)), words(400), words(500), "".join(chr(0x4E00 + rnd.randrange(5000)) for _ in range(3000)), ""]
+    lines = [" ".join(words(6) + rnd.choice(".!?") for _ in range(40)), " ".join(words(5) + "." for _ in range(30)), words(400), words(500), "".join(chr(0x4E00 + rnd.randrange(5000)) for _ in range(3000)), "Two. Short ones here. And.", ""]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     got = {r.doc_id: r for r in fingerprints.fingerprints(docs).collect()}
-    for i, text in enumerate(lines[:-1]):
-        after = lines[i - 1]
-        half = len(text) // 2
-        edited = text[: len(text) - half] + after[:half]
-        if i < 2:
-            a, b, c = fine_units(text), fine_units(edited), fine_units(after)
-            assert got[i].fine_edited == pytest.approx(len(a & b) / len(a | b)) and got[i].fine_next == pytest.approx(len(a & c) / len(a | c) if a | c else 1.0)
-        assert got[i].fine_edited > 0.2 and got[i].fine_next < 0.05
-    assert got[len(lines) - 1].fine_edited == 1.0
+    for i in range(len(lines) - 1):
+        assert got[i].near_edited > 0.2 and got[i].near_next < 0.05
+    assert got[len(lines) - 1].near_edited == 1.0
 
 
 def test_mix_meets_targets(table, rows):

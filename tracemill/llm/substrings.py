@@ -7,28 +7,28 @@ A string's bucket is found from the string alone: among the hashes of its grams
 (the leftmost of equal ones) is its anchor. So strings meet where their anchors are the same, each anchor
 stands for a run of string starts, and what an anchor sees (its context) decides all strings of the run.
 
-1. Documents are dealt to groups of bounded size by hash. A group sends each bucket its distinct contexts
-   (hash of the anchor, hash of the context, smallest doc_id); however often a passage repeats, a group
-   sends it once, so a hot passage costs a bucket one row a group.
-2. A bucket replies for each context whether a smaller doc_id has the same one, and whether the anchor
-   also stands in other contexts, where only some of the strings may be equal.
-3. For those the group sends the context's bytes. A bucket lays them out as one text and sorts the
-   suffixes that start strings (suffixes.py: difference cover, one suffix bucket at a time), which gives
-   the classes of equal strings. Contexts of an anchor that has very many are sent string by string,
-   each to the bucket of its own hash, so that no bucket gets them all.
-4. The replies mark the bytes to remove.
-
-The text is shuffled by group three times and never kept; buckets get bounded numbers of contexts as
-their number follows the input.
+1. Documents are dealt to groups of bounded size, written once as a table in buckets of groups: the text is
+   shuffled once, and all later rounds read it where it lies. A group sends each bucket the hashes of its
+   distinct anchors, a few bits more than their number needs; however often a passage repeats, a group sends
+   it once, so a hot passage costs a bucket one entry a group.
+2. A bucket replies for each anchor whether another group may have it too. This only tells what to look at.
+3. For such anchors, and those that two documents of the group have, the group sends the contexts' bytes. A
+   bucket lays them out as one text and sorts the suffixes that start strings (suffixes.py: difference cover,
+   one suffix bucket at a time), which gives the classes of equal strings, by their bytes. Contexts of an
+   anchor that has very many are sent string by string, each to the bucket of its own hash, so that no bucket
+   gets them all.
+4. The replies mark the bytes to remove. Within a group, contexts count as the same if their bytes are.
 
 Defined cases: a null text is empty; texts shorter than LENGTH keep everything; repeated rows and rows
 that share a doc_id are rows of their own that do not remove each other's bytes; a null doc_id counts as
-larger than any; extra columns are not looked at; an empty table gives no rows.
+larger than any; rows are dealt to groups whatever their doc_id; a text of any length is one row of a group and
+is read whole; extra columns are not looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -38,16 +38,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytehash
-from .storage import settle
+from .storage import settle, shared_folder
 from .suffixes import equal_classes
 
 LENGTH, GRAM = 50, 24
 SPAN = LENGTH - GRAM
 #: Bytes of text of a group, and contexts of a bucket, on average.
 GROUP_BYTES, BUCKET_CONTEXTS = 6 << 20, 500_000
+#: Bytes of text of a file of the table of groups, on average.
+FILE_BYTES = 64 << 20
 #: Contexts of one anchor beyond which they are sent string by string.
 HOT = 4096
-EARLIER, SEND, MANY = 1, 2, 4
+SEND, MANY = 1, 2
+#: Bits of an anchor's hash beyond those that tell all anchors apart by number.
+SPARE = 8
 _LAST = np.iinfo(np.int64).max
 
 
@@ -62,10 +66,10 @@ class Anchors:
     low: np.ndarray
     high: np.ndarray
     row: np.ndarray
+    grams: np.ndarray
     cls: np.ndarray
     first: np.ndarray
     gram: np.ndarray
-    key: np.ndarray
     order: np.ndarray
 
     def context(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +124,7 @@ def _runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def anchors(table: pa.Table) -> Anchors:
-    """The anchors of a group's documents, taken by doc_id."""
+    """The anchors of a group's documents, taken by doc_id. Contexts are one if their bytes are."""
     ids = table.column("doc_id").combine_chunks().fill_null(_LAST).to_numpy(zero_copy_only=False).astype(np.int64)
     order = np.argsort(ids, kind="stable")
     data, offsets = bytehash.texts(table.column("text").take(pa.array(order)))
@@ -131,23 +135,32 @@ def anchors(table: pa.Table) -> Anchors:
     by = np.argsort(first, kind="stable")
     place = np.empty(len(by), dtype=np.int64)
     place[by] = np.arange(len(by))
-    first = first[by]
-    return Anchors(data, offsets, ids[order], at, low, high, row, place[inverse], first, gram[first], key[first], order)
+    own = Anchors(data, offsets, ids[order], at, low, high, row, gram, place[inverse], first[by], gram[first[by]], order)
+    _part_unequal(own)
+    return own
 
 
-def _packed(gram: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """48 bits of each."""
-    a, b = gram >> np.uint64(16), key >> np.uint64(16)
-    out = np.empty((len(a), 3), dtype=np.uint32)
-    out[:, 0] = a >> np.uint64(16)
-    out[:, 1] = ((a & np.uint64(0xFFFF)) << np.uint64(16)) | (b >> np.uint64(32))
-    out[:, 2] = b & np.uint64(0xFFFFFFFF)
-    return out
-
-
-def _unpacked(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    p = packed.astype(np.uint64)
-    return (p[:, 0] << np.uint64(16)) | (p[:, 1] >> np.uint64(16)), ((p[:, 1] & np.uint64(0xFFFF)) << np.uint64(32)) | p[:, 2]
+def _part_unequal(own: Anchors) -> None:
+    """Gives runs whose context only hashes like their class's first one a class of their own bytes."""
+    runs = np.flatnonzero(own.first[own.cls] != np.arange(len(own.at)))
+    start, end = own.context(runs)
+    other, other_end = own.context(own.first[own.cls[runs]])
+    size = end - start
+    differ = (size != other_end - other) | (own.at[runs] - start != own.at[own.first[own.cls[runs]]] - other)
+    for o in range(SPAN + LENGTH):
+        inside = np.flatnonzero((o < size) & ~differ)
+        differ[inside] = own.data[start[inside] + o] != own.data[other[inside] + o]
+    fresh: dict[tuple, int] = {}
+    more = []
+    for k, s, e in zip(runs[differ], start[differ], end[differ], strict=True):
+        content = (own.cls[k], own.at[k] - s, own.data[s:e].tobytes())
+        if content not in fresh:
+            fresh[content] = len(own.first) + len(more)
+            more.append(k)
+        own.cls[k] = fresh[content]
+    if more:
+        own.first = np.concatenate((own.first, more))
+        own.gram = np.concatenate((own.gram, own.grams[more]))
 
 
 def _numbers(x: np.ndarray) -> bytes:
@@ -167,13 +180,45 @@ def _by_bucket(hashes: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]
     return [(int(bucket[x[0]]), x) for x in np.split(order, cuts) if len(x)]
 
 
-def _requests(buckets: int):
+def _hashes(gram: np.ndarray, bits: int) -> np.ndarray:
+    return bytehash.mixed(gram) >> np.uint64(64 - bits)
+
+
+def _bucket_of(hashes: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """By the upper bits, so that sorted hashes have sorted buckets."""
+    upper = min(bits, 32)
+    return (((hashes >> np.uint64(bits - upper)) * np.uint64(buckets)) >> np.uint64(upper)).astype(np.int64)
+
+
+def _packed(rising: np.ndarray) -> bytes:
+    """Rising numbers as steps of as many bytes as the largest needs."""
+    steps = np.diff(rising, prepend=np.uint64(0))
+    width = max(1, -(-int(steps[1:].max() if len(steps) > 1 else 0).bit_length() // 8))
+    rest = steps[1:].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + int(rising[0]).to_bytes(8, "little") + np.ascontiguousarray(rest).tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    width, rest = packed[0], np.frombuffer(packed, np.uint8, offset=9).reshape(-1, packed[0])
+    steps = np.zeros((len(rest), 8), np.uint8)
+    steps[:, :width] = rest
+    first = np.array([int.from_bytes(packed[1:9], "little")], np.uint64)
+    return np.cumsum(np.concatenate((first, steps.view("<u8").ravel())), dtype=np.uint64)
+
+
+def _asked(own: Anchors, bits: int, buckets: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """The group's distinct anchors: their hashes, rising, how many contexts each has, and the buckets' ranges."""
+    hashes, counts = np.unique(_hashes(own.gram, bits), return_counts=True)
+    bucket = _bucket_of(hashes, bits, buckets)
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+    return hashes, counts, [(int(bucket[a]), int(a), int(b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)] if len(hashes) else []
+
+
+def _requests(bits: int, buckets: int):
     def requests(key: tuple, table: pa.Table) -> pa.Table:
-        own, grp, rows = anchors(table), key[0].as_py(), []
-        docs = own.ids[own.row[own.first]]
-        for bucket, x in _by_bucket(bytehash.mixed(own.gram), buckets):
-            rows.append((bucket, grp, _packed(own.gram[x], own.key[x]).tobytes(), _numbers(docs[x])))
-        return _table(rows, ["bucket", "grp", "keys", "docs"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
+        hashes, counts, ranges = _asked(anchors(table), bits, buckets)
+        rows = [(bucket, key[0].as_py(), _packed(hashes[a:b]), zlib.compress(np.minimum(counts[a:b], 255).astype(np.uint8).tobytes(), 1)) for bucket, a, b in ranges]
+        return _table(rows, ["bucket", "grp", "keys", "contexts"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
 
     return requests
 
@@ -184,23 +229,15 @@ def _table(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.
 
 
 def _replies(key: tuple, table: pa.Table, hot: int) -> pa.Table:
-    """A bucket's replies: for each context one byte of EARLIER, SEND, MANY."""
-    parts = [np.frombuffer(x.as_buffer(), np.uint32).reshape(-1, 3) for x in _scalars(table, "keys")]
+    """A bucket's replies: for each anchor one byte of SEND, if several groups have it, and MANY contexts."""
+    parts = [_unpacked(x.as_py()) for x in _scalars(table, "keys")]
     cuts = np.cumsum([len(x) for x in parts])
-    gram, own = _unpacked(np.concatenate(parts))
-    docs = np.concatenate([_from_numbers(x.as_py()) for x in _scalars(table, "docs")])
-    order = np.lexsort((docs, own, gram))
-    gram, own, docs = gram[order], own[order], docs[order]
-    new_gram = np.concatenate(([True], gram[1:] != gram[:-1]))
-    new = new_gram | np.concatenate(([True], own[1:] != own[:-1]))
-    first = np.flatnonzero(new)
-    least = docs[first][np.cumsum(new) - 1]
-    contexts = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_gram))[np.cumsum(new_gram) - 1]
-    flags = np.where(docs > least, EARLIER, np.where(contexts > 1, SEND, 0)) | np.where(contexts > hot, MANY, 0)
-    out = np.empty(len(order), dtype=np.uint8)
-    out[order] = flags
+    _, which, groups = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    contexts = np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), np.uint8) for x in _scalars(table, "contexts")])
+    total = np.bincount(which, weights=contexts)
+    flags = (np.where(groups > 1, SEND, 0) | np.where(total > hot, MANY, 0)).astype(np.uint8)[which]
     grps = table.column("grp").to_pylist()
-    rows = [(g, key[0].as_py(), zlib.compress(x.tobytes(), 1)) for g, x in zip(grps, np.split(out, cuts[:-1]), strict=True)]
+    rows = [(g, key[0].as_py(), zlib.compress(x.tobytes(), 1)) for g, x in zip(grps, np.split(flags, cuts[:-1]), strict=True)]
     return _table(rows, ["grp", "bucket", "flags"], [pa.int64(), pa.int64(), pa.binary()])
 
 
@@ -208,12 +245,20 @@ def _scalars(table: pa.Table, name: str) -> list:
     return list(table.column(name).combine_chunks())
 
 
-def _flags(own: Anchors, replies: pa.Table, buckets: int) -> np.ndarray:
-    flags = np.zeros(len(own.first), dtype=np.uint8)
-    got = dict(zip(replies.column("bucket").to_pylist(), replies.column("flags").to_pylist(), strict=True))
-    for bucket, x in _by_bucket(bytehash.mixed(own.gram), buckets):
-        flags[x] = np.frombuffer(zlib.decompress(got[bucket]), np.uint8)
-    return flags
+def _flags(own: Anchors, got: dict[int, bytes], bits: int, buckets: int) -> np.ndarray:
+    """For each context of the group whether its bytes are to be sent."""
+    hashes, _, ranges = _asked(own, bits, buckets)
+    flags = np.zeros(len(hashes), dtype=np.uint8)
+    for bucket, a, b in ranges:
+        flags[a:b] = np.frombuffer(zlib.decompress(got[bucket]), np.uint8)
+    # Anchors that two documents of the group have; its documents are sorted, so the ends tell.
+    which = np.searchsorted(hashes, _hashes(own.grams, bits))
+    doc = own.ids[own.row]
+    least, most = np.full(len(hashes), _LAST), np.full(len(hashes), np.iinfo(np.int64).min)
+    np.minimum.at(least, which, doc)
+    np.maximum.at(most, which, doc)
+    flags[least < most] |= SEND
+    return flags[np.searchsorted(hashes, _hashes(own.gram, bits))]
 
 
 @dataclass
@@ -243,18 +288,16 @@ def _pieces(own: Anchors, flags: np.ndarray) -> tuple[Pieces, np.ndarray, tuple[
     at = own.low[runs][which] + np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
     if len(at):
         rows = np.lib.stride_tricks.as_strided(own.data, shape=(len(own.data) - LENGTH + 1, LENGTH), strides=(1, 1))
-        digest = np.zeros(len(at), np.uint64)
-        for a in range(0, len(at), 1 << 14):
-            part = np.ascontiguousarray(rows[at[a : a + (1 << 14)]])
-            flat = bytehash.Prefix(part.ravel())
-            begins = np.arange(len(part)) * LENGTH
-            digest[a : a + (1 << 14)] = bytehash.mixed(flat.of(begins, begins + LENGTH))
-        _, first, inverse = np.unique(digest, return_index=True, return_inverse=True)
+        whole = np.ascontiguousarray(rows[at])
+        _, first, inverse = np.unique(whole.view(np.dtype((np.void, LENGTH))).ravel(), return_index=True, return_inverse=True)
+        flat = bytehash.Prefix(whole[first].ravel())
+        begins = np.arange(len(first)) * LENGTH
+        digest = bytehash.mixed(flat.of(begins, begins + LENGTH))
         start = np.concatenate((start, at[first]))
         end = np.concatenate((end, at[first] + LENGTH))
         low, high = np.concatenate((low, at[first])), np.concatenate((high, at[first]))
         doc = np.concatenate((doc, own.ids[own.row[runs]][which[first]]))
-        hashes = np.concatenate((hashes, digest[first]))
+        hashes = np.concatenate((hashes, digest))
         strings = many[which], at, len(plain) + inverse
     else:
         strings = many[which], at, at
@@ -267,14 +310,18 @@ def _take(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return data[np.arange(len(shift)) + shift]
 
 
-def _contexts(buckets: int):
+def _by_bucket_name(replies: pa.Table, name: str) -> dict[int, bytes]:
+    return {b: x for b, x in zip(replies.column("bucket").to_pylist(), replies.column(name).to_pylist(), strict=True) if x}
+
+
+def _contexts(bits: int, buckets: int):
     def contexts(key: tuple, docs: pa.Table, replies: pa.Table) -> pa.Table:
         names = ["bucket", "grp", "bytes", "shape", "docs"]
         types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
         if not docs.num_rows or not replies.num_rows:
             return _table([], names, types)
         own = anchors(docs)
-        pieces, _, _ = _pieces(own, _flags(own, replies, buckets))
+        pieces, _, _ = _pieces(own, _flags(own, _by_bucket_name(replies, "flags"), bits, buckets))
         rows = []
         for bucket, x in _by_bucket(pieces.hash, buckets):
             s, e = pieces.start[x], pieces.end[x]
@@ -315,7 +362,7 @@ def _removed(own: Anchors, flags: np.ndarray, masks: dict[int, bytes], buckets:
         np.add.at(edges, high + LENGTH, -1)
 
     doc, owner = own.ids[own.row], own.ids[own.row[own.first]]
-    whole = ((flags[own.cls] & EARLIER) > 0) | (doc > owner[own.cls])
+    whole = doc > owner[own.cls]
     strike(own.low[whole], own.high[whole])
     pieces, plain, (context, at, which) = _pieces(own, flags)
     got = np.zeros(len(pieces.start), dtype=np.uint32)
@@ -341,18 +388,15 @@ def _removed(own: Anchors, flags: np.ndarray, masks: dict[int, bytes], buckets:
     return np.cumsum(edges[:-1]) > 0
 
 
-def _results(buckets: int, carry: pa.Schema | None):
+def _results(bits: int, buckets: int, carry: pa.Schema | None):
     """carry: other columns of the documents to return beside the text, in place of the digest."""
 
     def results(key: tuple, docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return (RESULT if carry is None else pa.schema([*carry, ("text", pa.string())])).empty_table()
         own = anchors(docs)
-        flagged = {b: x for b, x in zip(replies.column("bucket").to_pylist(), replies.column("flags").to_pylist(), strict=True) if x}
-        masks = {b: x for b, x in zip(replies.column("bucket").to_pylist(), replies.column("masks").to_pylist(), strict=True) if x}
-        flags = np.zeros(len(own.first), dtype=np.uint8)
-        for bucket, x in _by_bucket(bytehash.mixed(own.gram), buckets):
-            flags[x] = np.frombuffer(zlib.decompress(flagged[bucket]), np.uint8)
+        flags = _flags(own, _by_bucket_name(replies, "flags"), bits, buckets)
+        masks = _by_bucket_name(replies, "masks")
         gone = _removed(own, flags, masks, buckets)
         begins = gone & ~np.concatenate(([False], gone[:-1])) if len(gone) else gone
         first = own.offsets[:-1][np.diff(own.offsets) > 0]
@@ -385,27 +429,38 @@ RESULT = pa.schema(
 )
 
 
-def _replied(dealt: DataFrame, buckets: int, hot: int) -> DataFrame:
-    """All replies to the groups: of contexts (flags) and of pieces (masks)."""
+def _replied(dealt: DataFrame, bits: int, buckets: int, hot: int) -> DataFrame:
+    """All replies to the groups: of anchors (flags) and of pieces (masks)."""
 
     def replied(key: tuple, table: pa.Table) -> pa.Table:
         return _replies(key, table, hot)
 
     dealt = dealt.select("doc_id", "text", "grp")
-    requests = dealt.groupBy("grp").applyInArrow(_requests(buckets), "bucket long, grp long, keys binary, docs binary")
+    requests = dealt.groupBy("grp").applyInArrow(_requests(bits, buckets), "bucket long, grp long, keys binary, contexts binary")
     replies = settle(requests.groupBy("bucket").applyInArrow(replied, "grp long, bucket long, flags binary"))
     contexts = (
         dealt.groupBy("grp").cogroup(replies.groupBy("grp"))
-        .applyInArrow(_contexts(buckets), "bucket long, grp long, bytes binary, shape binary, docs binary")
+        .applyInArrow(_contexts(bits, buckets), "bucket long, grp long, bytes binary, shape binary, docs binary")
     )
     masks = settle(contexts.groupBy("bucket").applyInArrow(_sorted_bucket, "grp long, bucket long, masks binary"))
     return replies.withColumn("masks", F.lit(None).cast("binary")).unionByName(masks.withColumn("flags", F.lit(None).cast("binary")))
 
 
-def _dealt(documents: DataFrame, group_bytes: int, bucket_contexts: int) -> tuple[DataFrame, int]:
+def _dealt(documents: DataFrame, group_bytes: int, bucket_contexts: int) -> tuple[DataFrame, int, int]:
+    """The documents with their group, as a table in buckets of groups; bits of an anchor's hash; buckets of anchors.
+
+    Rows are dealt evenly, whatever their doc_id or text. At least as many table buckets as a shuffle has
+    partitions, so that the planner keeps the table as it lies and brings the replies to it.
+    """
+    spark = documents.sparkSession
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups, buckets = max(1, -(-size // group_bytes)), max(1, -(-2 * size // (SPAN * bucket_contexts)))
-    return documents.withColumn("grp", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1))), F.lit(groups))), buckets
+    bits = min(60, SPARE + max(8, (2 * size // SPAN).bit_length()))
+    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(groups, -(-size // FILE_BYTES)))
+    dealt = documents.withColumn("grp", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(groups)))
+    name = f"tracemill_{uuid.uuid4().hex}"
+    dealt.repartition(files, "grp").write.bucketBy(files, "grp").option("path", f"{shared_folder(spark)}/table").saveAsTable(name, format="parquet")
+    return spark.table(name), bits, buckets
 
 
 def remove_repeats(
@@ -413,9 +468,9 @@ def remove_repeats(
 ) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
     plain = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    dealt, buckets = _dealt(plain, group_bytes, bucket_contexts)
-    return dealt.groupBy("grp").cogroup(_replied(dealt, buckets, hot).groupBy("grp")).applyInArrow(
-        _results(buckets, None), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    dealt, bits, buckets = _dealt(plain, group_bytes, bucket_contexts)
+    return dealt.groupBy("grp").cogroup(_replied(dealt, bits, buckets, hot).groupBy("grp")).applyInArrow(
+        _results(bits, buckets, None), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
 
 
@@ -424,9 +479,13 @@ def clean_texts(documents: DataFrame) -> DataFrame:
     bytes the others go too."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    dealt, buckets = _dealt(documents, GROUP_BYTES, BUCKET_CONTEXTS)
-    rest = documents.drop("text")
-    found = dealt.groupBy("grp").cogroup(_replied(dealt, buckets, HOT).groupBy("grp")).applyInArrow(
-        _results(buckets, to_arrow_schema(rest.schema)), rest.schema.add("text", "string")
+    # Under names of their own, as columns of the input may have those used here.
+    rest = [c for c in documents.columns if c not in ("doc_id", "text")]
+    named = documents.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(rest)])
+    dealt, bits, buckets = _dealt(named, GROUP_BYTES, BUCKET_CONTEXTS)
+    carried = named.drop("text")
+    found = dealt.groupBy("grp").cogroup(_replied(dealt, bits, buckets, HOT).groupBy("grp")).applyInArrow(
+        _results(bits, buckets, to_arrow_schema(carried.schema)), carried.schema.add("text", "string")
     )
-    return found.select(*documents.columns)
+    back = {c: F.col(f"_{i}").alias(c) for i, c in enumerate(rest)}
+    return found.select(*[back.get(c, F.col(c)) for c in documents.columns])
