@@ -417,19 +417,50 @@ def test_licenses_are_scored_by_plain_tf_idf(spark):
         assert got[i].license == "MIT" and got[i].score == pytest.approx(score, abs=6e-4)
 
 
-def test_heavy_tokens_lose_no_match():
+def test_every_template_has_a_telling_word():
+    for _, text in licenses.TEMPLATES + licenses.NOTICES + licenses.TEXTS:
+        assert set(re.findall(licenses.TOKEN, text.lower())) & set(licenses.TELLING)
+
+
+def test_scores_are_cosines_of_tf_idf(spark):
     import math
     from collections import Counter
 
-    vectors, idf, other = licenses._vectors(licenses.TEMPLATES)
-    heavy, rnd = set(licenses.heavy_tokens(vectors, 0.6)), random.Random(4)
-    vocabulary = sorted(idf) + ["zzz"] * 20
-    for _ in range(3000):
-        count = Counter(rnd.choice(vocabulary) for _ in range(rnd.randint(1, 12)))
-        raw = {t: c * idf.get(t, other) for t, c in count.items()}
-        norm = math.sqrt(sum(x * x for x in raw.values()))
-        if max(sum(x * v.get(t, 0) for t, x in raw.items()) / norm for _, _, v in vectors) >= 0.6:
-            assert heavy & set(count)
+    sets = [licenses._vectors(licenses.TEMPLATES), licenses._vectors(licenses.NOTICES + licenses.TEXTS, True)]
+    rnd, units = random.Random(4), []
+    for i in range(300):
+        words = re.findall(licenses.TOKEN, rnd.choice(licenses.TEMPLATES + licenses.NOTICES + licenses.TEXTS)[1].lower())
+        units.append((i, "k", "p", rnd.choice(("whole", "statement")), " ".join(w if rnd.random() < 0.8 else "zzz" for w in words)))
+    expected = set()
+    for i, _, _, kind, unit in units:
+        for k, (vectors, idf, other) in enumerate(sets):
+            raw = {t: n * idf.get(t, other) for t, n in Counter(unit.split()).items()}
+            norm = math.sqrt(sum(x * x for x in raw.values()))
+            score, name = min((-round(sum(x * v.get(t, 0) for t, x in raw.items()) / norm, 6), n) for _, n, v in vectors)
+            if -score >= (licenses.FILE if kind == "whole" else licenses.STATEMENT):
+                expected.add((i, k, name, kind))
+    table = spark.createDataFrame([(*u[:1], str(u[0]), *u[2:]) for u in units], "uid long, key string, path string, kind string, unit string")
+    assert {(int(r.key), r.set, r.name, r.kind) for r in licenses._scores(table, sets).collect()} == expected and expected
+
+
+LICENSE_FILES = [
+    ("BSD-2-Clause", licenses.TEXTS[0][1]), ("BSD-3-Clause", licenses.TEXTS[1][1]), ("MIT", licenses.TEXTS[2][1]), ("ISC", licenses.TEXTS[3][1]), ("Unlicense", licenses.TEXTS[4][1]),
+    ("Apache-2.0", "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/\n\nTERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n1. Definitions."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nEveryone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.\n\nPreamble"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\nEveryone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.\n\nPreamble"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nThis version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License."),
+    ("MPL-2.0", "Mozilla Public License\nVersion 2.0\n\n1. Definitions\n\nThis Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.\n"),
+]
+
+
+def test_license_texts_have_their_own_names(spark):
+    wrap = lambda t: re.sub(r"(.{60,75}) ", r"\1\n", t)
+    files = [(i, f"p{i}/LICENSE", "Copyright (c) 2019, Jane Doe. All rights reserved.\n\n" * (i % 2) + wrap(text)) for i, (_, text) in enumerate(LICENSE_FILES)]
+    files += [(100 + i, f"q{i}/x.c", "/*\n" + "".join(f" * {x}\n" for x in wrap(text).split("\n")) + " */\nint main() { return 0; }\n") for i, (_, text) in enumerate(LICENSE_FILES)]
+    files += [(200 + i, f"p{i}/src/y.c", "int y;") for i in range(len(LICENSE_FILES))]
+    got = {r.id: (r.license, r.basis) for r in licenses.scan(spark.createDataFrame(files, "id long, path string, text string"), "id").collect()}
+    for i, (name, _) in enumerate(LICENSE_FILES):
+        assert (got[i], got[100 + i], got[200 + i]) == ((name, "own"), (name, "own"), (name, "inherited"))
 
 
 def test_empty_tables(spark, empty):

@@ -1,16 +1,18 @@
-"""License scan: sparse TF-IDF cosine to statement templates, then inheritance along directories.
+"""License scan: sparse TF-IDF cosine to templates, then inheritance along directories.
 
-Each file's whole text is cut into statements (line ends, sentence marks); the whole text is one more unit. So
-are, with comment marks left out, its paragraphs and each WINDOWS lines in a row, for wrapped statements. The
-notices are templates of their own, with their own weights, so they change no statement's score.
-A unit's vector has the count of a token times its inverse document frequency among the templates (a token
-of no template weighs most and counts in the norm only). Each unit is scored inside its row and has the license of
-its best template, if the cosine is STATEMENT or more (of equal ones the first by name); per file those of
-all its units are kept, the best as its own.
+A file's units are its whole text; its headers (comment blocks, where lines with and without comment marks
+part, and paragraphs), with the marks left out; and statements: lines and sentences as they stand, and the
+sentences and the first lines of headers, so wrapped ones and titles are found. A unit's vector has the count of a token times its inverse
+document frequency among the templates (a token of no template weighs most and counts in the norm only).
 
-Only units that hold a token of some template's telling part are scored: what is left of a template without
-that part has a norm below the threshold, so no cosine of the threshold is possible without it. That drops
-no match. What is left holds the light words first.
+There are two sets of templates, each with weights of its own: short statements, and the licenses' texts and
+notices, whose weights count in how many of their sentences a token stands. A unit has the license of its
+best template, if the cosine is STATEMENT or more (FILE for a whole text; of equal ones the first by name).
+Per file the names of all its units are kept. Its own license is that of the license text that is all of the
+file or of a header (TEXT or more), else the best one; a reservation of rights only where nothing else is said.
+
+What states a license has one of its TELLING words: texts, and then units, without any are not scored. Few have
+one, and only their tokens are dealt out, joined with the templates' weights, and added up by unit.
 
 A file is a license file if its name says so and it has a license, or if its whole text has a cosine of
 FILE. Other files without a license take that of the license file in the nearest directory above (of
@@ -18,7 +20,8 @@ several the best, then the smallest path).
 
 Defined cases: a null or empty text has no license of its own; a null path has no directory and inherits
 nothing; rows that share a key are one file (all their units count, the smallest path); a null key is a key
-of its own; an empty table gives no rows; extra columns are not looked at.
+of its own; of equal scores the first name counts; a text of any length is read whole, in time that follows its
+length; an empty table gives no rows; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .storage import settle, small
 
-STATEMENT, FILE = 0.7, 0.6
+STATEMENT, FILE, TEXT = 0.7, 0.6, 0.85
 BROADCAST_DIRECTORIES = 100_000
 
 #: How licenses are stated.
@@ -69,135 +72,137 @@ NOTICES = [
     ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
     ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
     ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
 ]
-#: Lines in a row that are a unit, and what a line may begin with when it is a comment.
-WINDOWS = (2, 3, 4, 6, 8)
-MARKS = r"(?m)^[ \t]*(?://+!?|/\*+!?|\*+/?|#+|--+|;+|%+|<!--|\"\"\")?[ \t\r]*"
+_DISCLAIMED = (
+    "{0} IS PROVIDED BY {1} \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; "
+    "OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+    "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+).format("THIS SOFTWARE", "THE COPYRIGHT HOLDERS AND CONTRIBUTORS")
+_BSD = (
+    "Copyright (c). Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are "
+    "met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+    "binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials "
+    "provided with the distribution. {}"
+)
+#: Whole texts of short licenses.
+TEXTS = [
+    ("BSD-2-Clause", _BSD.format("") + _DISCLAIMED),
+    ("BSD-3-Clause", _BSD.format("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. ") + _DISCLAIMED),
+    ("MIT", "MIT License. Copyright (c). " + NOTICES[-1][1] + ": The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+     "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+     "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+     "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", "ISC License. Copyright (c). Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+     "copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
+     "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING "
+     "FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+     "source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this "
+     "software dedicate any and all copyright interest in the software to the public domain."),
+]
+#: Words by which licenses are told; every template has one, and so has what states it.
+TELLING = (
+    "2-clause 3-clause affero apache bsd by-nc by-nd by-sa cc cc0 copyright gnu gpl license licensed licence lgpl mozilla permission permissions permitted redistribute "
+    "obtaining redistribution redistributions reserved rights software sublicense unencumbered warranties"
+).split()
+#: What a comment line begins with.
+MARK = r"[ \t]*(?://+!?|/\*+!?|\*+/?|#+|--+|;+|%+|<!--|\"\"\")"
+MARKS = rf"(?m)^(?:{MARK})?[ \t\r]*"
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 CUT = r"\n+|(?<=[.!?;])\s+"
 LICENSE_NAME = r"(?i)^(licen[cs]e|copying|notice|unlicense)(\.[a-z]+)?$"
 
 
-def _vectors(templates: list[tuple[str, str]]) -> tuple[list[tuple[int, str, dict[str, float]]], dict[str, float], float]:
-    """The templates' unit vectors, the tokens' weights, and that of a token of no template."""
+def _vectors(templates: list[tuple[str, str]], by_sentence: bool = False) -> tuple[list[tuple[int, str, dict[str, float]]], dict[str, float], float]:
+    """The templates' unit vectors, the tokens' weights, and that of a token of no template. Documents, for the
+    frequencies, are the templates, or their sentences."""
     counts = [(i, name, Counter(re.findall(TOKEN, text.lower()))) for i, (name, text) in enumerate(templates)]
-    df = Counter(t for _, _, c in counts for t in c)
-    idf = {t: math.log((1 + len(counts)) / (1 + n)) + 1 for t, n in df.items()}
+    pieces = [set(re.findall(TOKEN, x.lower())) for _, text in templates for x in (re.split(CUT, text) if by_sentence else [text])]
+    df, least = Counter(t for p in pieces for t in p), 0 if by_sentence else 1
+    idf = {t: math.log((1 + len(pieces)) / (1 + n)) + least for t, n in df.items()}
     out = []
     for i, name, c in counts:
         raw = {t: n * idf[t] for t, n in c.items()}
         norm = math.sqrt(sum(x * x for x in raw.values()))
         out.append((i, name, {t: x / norm for t, x in raw.items()}))
-    return out, idf, math.log(1 + len(counts)) + 1
-
-
-def heavy_tokens(vectors: list[tuple[int, str, dict[str, float]]], least: float) -> list[str]:
-    """Tokens of which a unit must hold one for a cosine of least with any template: any part of a template may
-    be left out whose squares add up to less than least squared; here light ones go first."""
-    needed = set()
-    for _, _, vector in vectors:
-        rest = 0.0
-        for token, x in sorted(vector.items(), key=lambda kv: (kv[1], kv[0])):
-            rest += x * x
-            if rest >= least * least - 1e-9:
-                needed.add(token)
-    return sorted(needed)
-
-
-def _tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(f"({TOKEN})"), F.lit(1))
-
-
-def _squares(tokens: Column) -> Column:
-    """The sum of the squares of how often each token is there, by runs of the sorted tokens."""
-    start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("sum"))
-
-    def step(s: Column, t: Column) -> Column:
-        # (n + 1)^2 - n^2 = 2n + 1
-        run = F.when(s["last"].eqNullSafe(t), s["run"]).otherwise(F.lit(0).cast("bigint"))
-        return F.struct(t.alias("last"), (run + 1).alias("run"), (s["sum"] + 2 * run + 1).alias("sum"))
-
-    return F.aggregate(F.array_sort(tokens), start, step, lambda s: s["sum"])
-
-
-def _scores(units: DataFrame, vectors: list[tuple[int, str, dict[str, float]]], idf: dict[str, float], other: float) -> DataFrame:
-    """units (with unit) with name and score of the best template, where that is min(STATEMENT, FILE) or more."""
-    least, words = min(STATEMENT, FILE), sorted(idf)
-
-    def by(values: dict[str, float], t: Column) -> Column:
-        pairs = [x for kv in sorted(values.items()) for x in (F.lit(kv[0]), F.lit(float(kv[1])))]
-        return F.coalesce(F.try_element_at(F.create_map(*pairs), t), F.lit(0.0))
-
-    def total(value) -> Column:
-        return F.aggregate("counts", F.lit(0.0), lambda a, c: a + value(c))
-
-    def bound(rows: DataFrame, name: str, value: Column) -> DataFrame:
-        """Adds a column that is worked out once, before any filter on it (a plain one moves into the filters)."""
-        return rows.select("*", F.explode(F.array(value)).alias(name))
-
-    tokens = bound(units, "tokens", _tokens(F.col("unit"))).drop("unit")
-    split = bound(tokens, "known", F.filter("tokens", lambda t: t.isin(words)))
-    split = bound(split, "strange", _squares(F.filter("tokens", lambda t: ~t.isin(words)))).drop("tokens")
-    counted = bound(split, "counts", F.transform(F.array_distinct("known"), lambda v: F.struct(v.alias("t"), F.size(F.filter("known", lambda k: k == v)).alias("n"))))
-    normed = bound(counted.drop("known"), "mine", total(lambda c: F.pow(c["n"] * by(idf, c["t"]), F.lit(2.0))))
-    normed = normed.withColumn("square", F.col("mine") + F.col("strange") * F.lit(other * other))
-    # The part that templates know bounds the cosine.
-    able = normed.filter(F.col("mine") >= (least * least - 1e-5) * F.col("square")).filter("square > 0")
-    best = F.array_min(
-        F.array(
-            *[
-                F.struct(
-                    (-F.round(total(lambda c, v=v: c["n"] * by({t: x * idf[t] for t, x in v.items()}, c["t"])) / F.sqrt(F.greatest("square", F.lit(1.0))), 6)).alias("minus"),
-                    F.lit(name).alias("name"),
-                )
-                for _, name, v in vectors
-            ]
-        )
+    return out, idf, math.log(1 + len(pieces)) + least
+
+
+def _scores(units: DataFrame, sets: list) -> DataFrame:
+    """units (uid, kind, unit) with set, name and score of each set's best template, where that is enough."""
+    spark = units.sparkSession
+    words = [(t, k, idf[t], [(i, float(v[t] * idf[t])) for i, _, v in vectors if t in v]) for k, (vectors, idf, _) in enumerate(sets) for t in sorted(idf)]
+    known = F.broadcast(spark.createDataFrame(words, "t string, set int, idf double, weights array<struct<template:int,x:double>>"))  # the templates' words
+    names = F.broadcast(spark.createDataFrame([(k, i, name) for k, (vectors, _, _) in enumerate(sets) for i, name, _ in vectors], "set int, template int, name string"))
+    tokens = F.regexp_extract_all(F.lower("unit"), F.lit(f"({TOKEN})"), F.lit(1))
+    counts = settle(units.select("uid", F.explode(tokens).alias("t")).groupBy("uid", "t").agg(F.count("*").alias("n")))
+    square = F.sum(F.col("n") * F.col("n"))
+    whole = counts.groupBy("uid").agg(square.alias("all"))
+    met = counts.join(known, "t")
+    mine = met.groupBy("uid", "set").agg(F.sum(F.pow(F.col("n") * F.col("idf"), F.lit(2.0))).alias("mine"), square.alias("some"))
+    dots = met.select("uid", "set", "n", F.explode("weights").alias("w")).groupBy("uid", "set", "w.template").agg(F.sum(F.col("n") * F.col("w.x")).alias("dot"))
+    other = F.element_at(F.array(*[F.lit(o * o) for _, _, o in sets]), F.col("set") + 1)
+    norm = F.sqrt(F.col("mine") + (F.col("all") - F.col("some")) * other)
+    least = F.when(F.col("kind") == "whole", F.lit(FILE)).otherwise(F.lit(STATEMENT))
+    scored = (
+        dots.join(mine, ["uid", "set"]).join(whole, "uid").withColumn("score", F.round(F.col("dot") / norm, 6)).filter(F.col("score") >= min(STATEMENT, FILE))
+        .join(names, ["set", "template"]).groupBy("uid", "set").agg(F.min(F.struct((-F.col("score")).alias("minus"), "name")).alias("b"))
     )
-    scored = bound(able, "b", best).withColumn("name", F.col("b.name")).withColumn("score", -F.col("b.minus"))
-    return scored.filter(F.col("score") >= least).select(*[c for c in units.columns if c != "unit"], "name", "score")
+    return scored.join(units.drop("unit"), "uid").select("key", "path", "kind", "set", F.col("b.name").alias("name"), (-F.col("b.minus")).alias("score")).filter(F.col("score") >= least)
 
 
-def _units(text: Column) -> Column:
-    """The statements of a text, its paragraphs, and its lines in windows."""
-    bare = F.regexp_replace(text, MARKS, "")
+def _headers(text: Column) -> Column:
+    """The blocks of a text: runs of lines with comment marks and without, and their paragraphs; marks left out."""
+    # A form feed parts the blocks: where a line with a mark follows one without, and the other way round.
+    parted = F.regexp_replace(text, rf"(?m)^((?!{MARK})[^\n]*\n)(?={MARK})", "$1\f")
+    parted = F.regexp_replace(parted, rf"(?m)^(\f?{MARK}[^\n]*\n)(?!{MARK})", "$1\f")
+    bare = F.regexp_replace(F.regexp_replace(parted, "\f", "\f\n"), MARKS, "")
+    blocks = F.split(bare, "\f")
+    return F.array_distinct(F.concat(blocks, F.split(bare, r"\n\s*\n|\f")))
 
-    def windows(lines: Column, count: int) -> Column:
-        starts = F.when(F.size(lines) > 1, F.sequence(F.lit(1), F.size(lines) - 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(lines, i, F.lit(count)), " "))
 
-    lines = F.filter(F.split(bare, "\n"), lambda x: x != "")
-    rows = F.transform(F.array(lines), lambda x: F.flatten(F.array(*[windows(x, n) for n in WINDOWS])))[0]
-    # Marks of empty comment lines are gone, so these part paragraphs; a text of one is the whole text.
-    return F.concat(F.split(text, CUT), F.split(bare, r"\n\s*\n"), rows)
+def _pattern(tokens: list[str]) -> str:
+    """Matches a text that holds one of the tokens; alternatives by their first letter, as there are many."""
+    by: dict[str, list[str]] = {}
+    for t in tokens:
+        by.setdefault(t[0], []).append(re.escape(t[1:]))
+    return r"(?i)(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(by.items())) + r")(?![a-z0-9])"
 
 
 def scan(files: DataFrame, key: str, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """files has key, path and text. Per key: key, path, license, score, basis (own, inherited or none),
     from_path (the license file inherited from), licenses (all of its own, sorted, comma-joined)."""
     plain = files.select(F.col(key).alias("key"), "path", "text")
-    least = F.when(F.col("whole"), F.lit(FILE)).otherwise(F.lit(STATEMENT))
-    hits = None
-    for some in [templates] if templates else [TEMPLATES, NOTICES]:
-        vectors, idf, other = _vectors(some)
-        heavy = heavy_tokens(vectors, min(STATEMENT, FILE))
-        pattern = r"(?i)(?<![a-z0-9])(?:" + "|".join(re.escape(t) for t in heavy) + r")(?![a-z0-9])"
-        found = plain.filter(F.col("text").rlike(pattern))
-        units = (
-            found.select("key", "path", F.explode(_units(F.col("text"))).alias("unit"), F.lit(False).alias("whole"))
-            .unionByName(found.select("key", "path", F.col("text").alias("unit"), F.lit(True).alias("whole")))
-            .filter(F.col("unit").rlike(pattern)).select("key", "path", "whole", "unit")
-        )
-        more = _scores(units, vectors, idf, other).filter(F.col("score") >= least)
-        hits = more if hits is None else hits.unionByName(more)
+    long = NOTICES + TEXTS
+    sets = [_vectors(templates)] if templates else [_vectors(TEMPLATES), _vectors(long, True)]
+    telling = _pattern(TELLING)
+    found = settle(plain.filter(F.col("text").rlike(telling)))
+    headers = found.select("key", "path", F.explode(_headers(F.col("text"))).alias("unit")).filter(F.col("unit").rlike(telling))
+    lines = F.filter(F.split("unit", r"\s*\n\s*"), lambda x: x != "")
+    titles = F.array(*[F.array_join(F.slice(lines, 1, n), " ") for n in (2, 3)])
+    sentences = F.array_distinct(F.concat(titles, F.split(F.regexp_replace("unit", r"\s*\n\s*", " "), r"(?<=[.!?;:])\s+")))
+    units = (
+        headers.select("key", "path", F.lit("header").alias("kind"), "unit")
+        .unionByName(headers.select("key", "path", F.lit("statement").alias("kind"), F.explode(sentences).alias("unit")))
+        .unionByName(found.select("key", "path", F.lit("statement").alias("kind"), F.explode(F.split("text", CUT)).alias("unit")))
+        .filter(F.col("unit").rlike(telling))
+        .unionByName(found.select("key", "path", F.lit("whole").alias("kind"), F.col("text").alias("unit")))
+    )
+    hits = _scores(settle(units.withColumn("uid", F.monotonically_increasing_id())), sets)
+    texts = sorted({name for name, _ in TEXTS})
+    told = (F.col("set") == 1) & F.col("kind").isin("whole", "header") & (F.col("score") >= TEXT) & F.col("name").isin(*texts)
+    hits = hits.withColumn("order", F.when(told, F.when(F.col("kind") == "whole", 0).otherwise(1)).when(F.col("name") == "Proprietary", 3).otherwise(2))
     best = F.struct(F.col("score").alias("score"), F.col("name").alias("name"))
     own = settle(
         hits.groupBy("key").agg(
             F.min("path").alias("at"),
-            F.min(F.struct((-F.col("score")).alias("score"), F.col("name").alias("name"))).alias("best"),
-            F.max(F.when(F.col("whole"), best)).alias("whole"),
+            F.min(F.struct("order", (-F.col("score")).alias("score"), F.col("name").alias("name"))).alias("best"),
+            F.max(F.when(F.col("kind") == "whole", best)).alias("whole"),
             F.array_join(F.array_sort(F.collect_set("name")), ",").alias("licenses"),
         ).select("key", "at", (-F.col("best.score")).alias("score"), F.col("best.name").alias("name"), "whole", "licenses")
     )
