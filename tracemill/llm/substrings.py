@@ -50,6 +50,8 @@ FILE_BYTES = 64 << 20
 #: Contexts of one anchor beyond which they are sent string by string.
 HOT = 4096
 SEND, MANY = 1, 2
+#: In place of the anchor's place: that a piece is a string of its own.
+STRING = 255
 #: Bits of an anchor's hash beyond those that tell all anchors apart by number.
 SPARE = 8
 _LAST = np.iinfo(np.int64).max
@@ -269,6 +271,7 @@ class Pieces:
     end: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    anchor: np.ndarray
     doc: np.ndarray
     hash: np.ndarray
 
@@ -279,7 +282,7 @@ def _pieces(own: Anchors, flags: np.ndarray) -> tuple[Pieces, np.ndarray, tuple[
     plain = np.flatnonzero((flags & (SEND | MANY)) == SEND)
     runs = own.first[plain]
     start, end = own.context(runs)
-    low, high, doc = own.low[runs], own.high[runs], own.ids[own.row[runs]]
+    low, high, doc, anchor = own.low[runs], own.high[runs], own.ids[own.row[runs]], own.at[runs] - start
     hashes = bytehash.mixed(own.gram[plain])
     many = np.flatnonzero((flags & (SEND | MANY)) == (SEND | MANY))
     runs = own.first[many]
@@ -296,12 +299,13 @@ def _pieces(own: Anchors, flags: np.ndarray) -> tuple[Pieces, np.ndarray, tuple[
         start = np.concatenate((start, at[first]))
         end = np.concatenate((end, at[first] + LENGTH))
         low, high = np.concatenate((low, at[first])), np.concatenate((high, at[first]))
+        anchor = np.concatenate((anchor, np.full(len(first), STRING)))
         doc = np.concatenate((doc, own.ids[own.row[runs]][which[first]]))
         hashes = np.concatenate((hashes, digest))
         strings = many[which], at, len(plain) + inverse
     else:
         strings = many[which], at, at
-    return Pieces(start, end, low, high, doc, hashes), plain, strings
+    return Pieces(start, end, low, high, anchor, doc, hashes), plain, strings
 
 
 def _take(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -325,29 +329,63 @@ def _contexts(bits: int, buckets: int):
         rows = []
         for bucket, x in _by_bucket(pieces.hash, buckets):
             s, e = pieces.start[x], pieces.end[x]
-            shape = np.stack([e - s, pieces.low[x] - s, pieces.high[x] - s], axis=1).astype(np.uint8)
+            shape = np.stack([e - s, pieces.low[x] - s, pieces.high[x] - s, pieces.anchor[x]], axis=1).astype(np.uint8)
             rows.append((bucket, key[0].as_py(), zlib.compress(_take(own.data, s, e).tobytes(), 1), shape.tobytes(), _numbers(pieces.doc[x])))
         return _table(rows, names, types)
 
     return contexts
 
 
+def _alike(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows of bytes, whose number a row divides by eight: one of each, and which one each row is."""
+    words = rows.view("<u8")
+    mixed = np.zeros(len(rows), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(words.shape[1]):
+            mixed = bytehash.mixed(mixed * np.uint64(3) + words[:, i])
+    _, first, which = np.unique(mixed, return_index=True, return_inverse=True)
+    if not (words == words[first[which]]).all():
+        _, first, which = np.unique(rows.view(np.dtype((np.void, rows.shape[1]))).ravel(), return_index=True, return_inverse=True)
+    return first, which
+
+
 def _sorted_bucket(key: tuple, table: pa.Table) -> pa.Table:
-    """For each piece of a bucket a mask of its strings that a smaller doc_id has too."""
+    """For each piece of a bucket a mask of its strings that a smaller doc_id has too.
+
+    Pieces of the same bytes are one, that of the smallest doc_id, and all strings of its copies repeat. Of
+    these, only pieces whose anchor has several go into the sort; the others' strings have no equals.
+    """
     text = np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), np.uint8) for x in _scalars(table, "bytes")])
-    parts = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, 3) for x in _scalars(table, "shape")]
-    cuts = np.cumsum([len(x) for x in parts])
-    size, low, high = (np.concatenate(parts)[:, i].astype(np.int64) for i in range(3))
+    parts = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, 4) for x in _scalars(table, "shape")]
+    cuts, shape = np.cumsum([len(x) for x in parts]), np.concatenate(parts)
     docs = np.concatenate([_from_numbers(x.as_py()) for x in _scalars(table, "docs")])
-    begin = np.cumsum(size) - size
-    counts = high - low + 1
-    piece = np.repeat(np.arange(len(size)), counts)
-    nth = np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts)
-    classes = equal_classes(text, (begin + low)[piece] + nth, LENGTH)
-    least = np.full(classes.max() + 1, _LAST, dtype=np.int64)
-    np.minimum.at(least, classes, docs[piece])
-    repeated = docs[piece] > least[classes]
-    masks = np.bincount(piece, weights=repeated * np.exp2(nth), minlength=len(size)).astype(np.uint32)
+    width = SPAN + LENGTH
+    rows = np.zeros((len(shape), width + 4), np.uint8)
+    rows[:, :width][np.arange(width) < shape[:, :1]] = text
+    rows[:, width:] = shape
+    first, which = _alike(rows)
+    least = np.full(len(first), _LAST, dtype=np.int64)
+    np.minimum.at(least, which, docs)
+    size, low, high, anchor = shape[first].astype(np.int64).T
+    every = (np.uint64(1) << (high - low + 1).astype(np.uint64)) - np.uint64(1)
+
+    mask = np.zeros(len(first), np.uint64)
+    plain = np.flatnonzero(anchor != STRING)
+    if len(plain):
+        gram = np.take_along_axis(rows[first[plain]], anchor[plain][:, None] + np.arange(GRAM), axis=1)
+        _, of, many = np.unique(_alike(gram)[1], return_inverse=True, return_counts=True)
+        plain = plain[many[of] > 1]
+    if len(plain):
+        size, low, counts = size[plain], low[plain], (high - low + 1)[plain]
+        text = rows[first[plain]][:, :width][np.arange(width) < size[:, None]]
+        piece = np.repeat(np.arange(len(plain)), counts)
+        nth = np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts)
+        classes = equal_classes(text, (np.cumsum(size) - size + low)[piece] + nth, LENGTH)
+        earliest = np.full(classes.max() + 1, _LAST, dtype=np.int64)
+        np.minimum.at(earliest, classes, least[plain][piece])
+        repeated = least[plain][piece] > earliest[classes]
+        mask[plain] = np.bincount(piece, weights=repeated * np.exp2(nth), minlength=len(plain)).astype(np.uint64)
+    masks = np.where(docs > least[which], every[which], mask[which]).astype(np.uint32)
     grps = table.column("grp").to_pylist()
     rows = [(g, key[0].as_py(), zlib.compress(x.tobytes(), 1)) for g, x in zip(grps, np.split(masks, cuts[:-1]), strict=True)]
     return _table(rows, ["grp", "bucket", "masks"], [pa.int64(), pa.int64(), pa.binary()])
