@@ -10,9 +10,9 @@ Items of fewer than n words, but not none, are one window of their own length L:
 n = L, for each L that occurs.
 
 Defined cases: a null or wordless text has no words, no hits and, as an item, no window; repeated items
-are one item by item_id; rows that share a doc_id are one document (its hits united, the largest word
-count); a null doc_id is an id of its own; an empty benchmark leaves everything clean; extra columns are
-not looked at.
+are one item by item_id; each row is a document of its own, also rows that share a doc_id or have none; of equal
+hashes in a window the leftmost is kept; a text of any length is read whole, and its words leave its row only
+once, if some fingerprint is met; an empty benchmark leaves everything clean; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -94,8 +94,11 @@ def _context(array: Column, at: Column, k: int, side: int) -> Column:
     return F.transform(F.sequence(at - side, at + (k + side - 1)), lambda i: F.get(array, i))
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, as the module says."""
+def decontaminate(documents: DataFrame, benchmark: DataFrame, n: int = 10, row: str | None = None) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, as the module says.
+
+    row names a column of unique numbers in a settled table, which is handed through.
+    """
     items = (
         _with_words(benchmark, "item_id")
         .filter(F.size("words") > 0)
@@ -119,12 +122,13 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, n: int = 10) -> Da
             )
         )
         own = part if own is None else own.unionByName(part)
-    plain = documents.select("doc_id", "text")
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    plain = settle(documents.select(number.alias("_row"), "doc_id", "text"))
+    whole = ["_row", "doc_id", "n_words"]
+    none = F.array().cast("array<string>")
     if own is None:
-        return plain.groupBy("doc_id").agg(F.max(F.size(words(F.col("text"))).cast("long")).alias("n_words")).select(
-            "doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
-            F.sha2(F.lit(""), 256).alias("items_sha256"), F.lit(False).alias("contaminated"),
-        )
+        found = plain.select("_row", "doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), none.alias("items"))
+        return _named(found, row)
     # One row per distinct context, with the items that have it.
     own = settle(
         own.groupBy("n", "gram", "theirs").agg(F.collect_set("item").alias("items")).withColumn("context", F.monotonically_increasing_id())
@@ -136,68 +140,62 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, n: int = 10) -> Da
     side = own.select("n", "gram", "theirs", "context").unionByName(entry)
     side = F.broadcast(side) if small(side, BROADCAST_FINGERPRINTS) else side
 
-    docs = _with_words(plain, "doc_id")
-    marks = _all_fingerprints(docs, lengths, ["doc_id", "words"])
+    docs = plain.select("_row", "doc_id", words(F.col("text")).alias("words")).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    docs = docs.select("_row", "doc_id", "hashes", F.size("words").alias("n_words"))
+    marks = _all_fingerprints(docs, lengths, whole)
     # The first entry of each document carries its word count through the join.
-    whole = F.array(F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("gram"), F.size("words").alias("at"))).cast(NONE)
-    rows = marks.select("doc_id", "words", F.explode_outer(F.concat(whole, F.col("chosen"))).alias("c")).select(
-        "doc_id", "words", F.col("c.n").alias("n"), F.col("c.gram").alias("gram"), F.col("c.at").alias("at")
-    )
-    met = rows.join(side, ["n", "gram"])
-    # Which words of the item's context stand at the same place in the document, as a string of 0 and 1.
-    k = F.floor((F.col("n") + 1) / 2).cast("int")
-    side_words = F.col("n") - k
-    same = F.transform(
-        "theirs",
-        lambda w, i: F.when(F.get(F.col("words"), F.col("at") - side_words + i) == w, F.lit("1")).otherwise(F.lit("0")),
-    )
-    left = F.length(F.regexp_extract(F.col("same").substr(F.lit(1), side_words), "1*$", 0))
-    middle = F.col("same").substr(side_words + 1, k) == F.repeat(F.lit("1"), k)
-    right = F.length(F.regexp_extract(F.col("same").substr(side_words + k + 1, side_words), "^1*", 0))
-    hits = (
-        met.select("doc_id", "n", "at", "context", F.concat_ws("", same).alias("same"))
-        .select("doc_id", "n", "at", "context", left.alias("left"), middle.alias("middle"), right.alias("right"), k.alias("k"))
-        .select("doc_id", "n", "at", "context", (F.col("at") - F.col("left")).alias("start"), (F.col("left") + F.col("k") + F.col("right")).alias("length"), "middle")
-        # A filter here would be pushed into the join, which then leaves compiled code; so it is a condition.
-        .withColumn("ok", (F.col("n") > 0) & F.col("middle") & (F.col("length") >= F.col("n")))
-        .groupBy("doc_id")
-        .agg(
-            F.max(F.when(F.col("n") == 0, F.col("at"))).cast("long").alias("n_words"),
-            F.collect_set(F.when(F.col("ok"), F.struct("start", (F.col("start") + F.col("length")).alias("end")))).alias("spans"),
-            F.collect_set(F.when(F.col("ok"), F.col("context"))).alias("contexts"),
-        )
-    )
-    hits = settle(hits)
+    first = F.array(F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("gram"), F.col("n_words").alias("at"))).cast(NONE)
+    rows = marks.select("_row", "doc_id", F.explode_outer(F.concat(first, F.col("chosen"))).alias("c")).select("_row", "doc_id", "c.n", "c.gram", "c.at")
+    met = settle(rows.join(side, ["n", "gram"]).select("_row", "doc_id", "n", "at", "theirs", "context"))
+    counted = met.filter("n = 0").select("_row", "doc_id", F.col("at").cast("long").alias("n_words"))
+
+    # Documents that met a fingerprint, each with what it met, and its words.
+    hits = settle(met.filter("n > 0").groupBy("_row").agg(F.collect_list(F.struct("n", "at", "theirs", "context")).alias("hits")))
+    ids = hits.select("_row")
+    some = plain.join(F.broadcast(ids) if small(ids, BROADCAST_FINGERPRINTS) else ids, "_row", "left_semi").select("_row", words(F.col("text")).alias("words"))
+
+    def extended(h: Column, own: Column) -> Column:
+        """Which run of a document's words a hit extends to, and whether it is long enough."""
+        k = F.floor((h["n"] + 1) / 2).cast("int")
+        side_words = h["n"] - k
+        # Which words of the item's context stand at the same place in the document, as a string of 0 and 1.
+        same = F.concat_ws("", F.transform(h["theirs"], lambda w, i: F.when(F.get(own, h["at"] - side_words + i) == w, F.lit("1")).otherwise(F.lit("0"))))
+
+        def run(bits: Column) -> Column:
+            left = F.length(F.regexp_extract(bits.substr(F.lit(1), side_words), "1*$", 0))
+            right = F.length(F.regexp_extract(bits.substr(side_words + k + 1, side_words), "^1*", 0))
+            middle = bits.substr(side_words + 1, k) == F.repeat(F.lit("1"), k)
+            length = left + k + right
+            return F.struct(
+                (h["at"] - left).alias("start"), (h["at"] - left + length).alias("end"), h["context"].alias("context"), (middle & (length >= h["n"])).alias("ok")
+            )
+
+        return F.transform(F.array(same), run)[0]
+
+    runs = some.join(hits, "_row").select("_row", F.transform("hits", lambda h: extended(h, F.col("words"))).alias("runs"))
+    runs = runs.select("_row", F.filter("runs", lambda r: r["ok"]).alias("runs"))
+    spans = F.array_sort(F.array_distinct(F.transform("runs", lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end")))))
 
     def cover(state: Column, s: Column) -> Column:
         fresh = F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], state["end"]))
         return F.struct((state["words"] + fresh).alias("words"), F.greatest(state["end"], s["end"]).alias("end"))
 
     zero = F.struct(F.lit(0).alias("words"), F.lit(0).alias("end"))
-    covered = F.aggregate(F.array_sort("spans"), zero, cover)["words"].cast("long")
-    counted = hits.select("doc_id", "n_words", covered.alias("n_hit"), "contexts")
+    covered = settle(runs.select("_row", F.aggregate(spans, zero, cover)["words"].cast("long").alias("n_hit"), F.array_distinct(F.transform("runs", lambda r: r["context"])).alias("contexts")))
     found = own.select("context", "items")
     found = F.broadcast(found) if small(found, BROADCAST_FINGERPRINTS) else found
     named = (
-        counted.filter("n_hit > 0")
-        .select("doc_id", F.explode("contexts").alias("context"))
-        .join(found, "context")
-        .select("doc_id", F.explode("items").alias("item"))
-        .groupBy("doc_id")
-        .agg(F.array_sort(F.collect_set("item")).alias("items"))
+        covered.filter("n_hit > 0").select("_row", F.explode("contexts").alias("context")).join(found, "context")
+        .select("_row", F.explode("items").alias("item")).groupBy("_row").agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
-    empty = F.array().cast("array<string>")
-    return (
-        counted.alias("a")
-        .join(named.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")), "left")
-        .select("a.doc_id", "n_words", "n_hit", F.coalesce("items", empty).alias("items"))
-        .select(
-            "doc_id",
-            "n_words",
-            "n_hit",
-            F.size("items").cast("long").alias("n_items"),
-            F.sha2(F.concat_ws(",", F.col("items")), 256).alias("items_sha256"),
-            (F.col("n_hit") > 0).alias("contaminated"),
-            "items",
-        )
+    hit = settle(covered.filter("n_hit > 0").select("_row", "n_hit").join(named, "_row"))
+    hit = F.broadcast(hit) if small(hit, BROADCAST_FINGERPRINTS) else hit
+    joined = counted.join(hit, "_row", "left").select(*whole, F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items"))
+    return _named(joined, row)
+
+
+def _named(found: DataFrame, row: str | None) -> DataFrame:
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", F.col("items")), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"), "items", *([] if row is None else [F.col("_row").alias(row)]),
     )
