@@ -5,12 +5,17 @@ part is taken as it is; the fractional parts are rounded in pairs: mass moves be
 a source, weighted by their sizes, until one of the two is integral. Each move keeps the source's words
 exactly and each document's expectation, so a source misses its target by less than one document.
 
-The pairs form a reduction tree: documents are dealt to blocks by hash, a block folds to at most one
-document that is still fractional, and these meet in the next level's blocks.
+The pairs form a reduction tree: documents are dealt to blocks by hash of doc_id and text, a block folds to at
+most one document that is still fractional, and these meet in the next level's blocks. The last one of a
+source is drawn. Documents of more than one part in LARGE of their source, so fewer than LARGE, come first and
+by themselves; the mass of the one that is left goes to the smaller ones, as far as these can take it, so what
+is drawn in the end is small. What a source then has too many or too few words is evened out by REPAIRS
+documents at most, each time the one whose size is nearest to it, rounded the other way.
 
 Defined cases: a null or blank text has size 0 and takes 0 words; a null source is a source of its own,
-the last; repeated rows are documents of their own; an empty table gives no rows; other columns of the
-input are not looked at.
+the last; repeated rows are documents of their own, of which equal ones may be told apart in any way; a null
+doc_id is told apart by its text; a text of any length counts whole; an empty table gives no rows; other
+columns of the input are not looked at.
 """
 
 from __future__ import annotations
@@ -25,6 +30,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 48
 #: Sources up to which the table of sources is broadcast; beyond, the join shuffles and AQE splits hot sources.
 BROADCAST_SOURCES = 100_000
+#: Documents of a source that are rounded the other way, at most, to meet its target.
+REPAIRS = 4
+#: A document of more than one part in so many of its source is folded before the others.
+LARGE = 64
 
 
 def word_count(text: Column) -> Column:
@@ -123,10 +132,9 @@ def mix(documents: DataFrame, cap: float = 3.0, seed: int = 0, row: str | None =
     rows without a doc_id or with the same one apart.
     """
     number = F.lit(None).cast("long") if row is None else F.col(row)
-    salt = F.lit(None).cast("long") if row is None else F.xxhash64("text", F.when(F.col("doc_id").isNull(), number))
     sized = settle(
         documents.select(
-            F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), number.alias("row"), salt.alias("salt")
+            F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), number.alias("row"), F.xxhash64("text").alias("salt"),
         )
     )
     sources = settle(
@@ -138,16 +146,45 @@ def mix(documents: DataFrame, cap: float = 3.0, seed: int = 0, row: str | None =
     side = sources.select("source", "sid", "source_size", "target", "n")
     side = F.broadcast(side) if small(side, BROADCAST_SOURCES) else side
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    drawn = (
+    item = F.struct("key", "doc_id", "size", "base", "p", "row").cast(ITEM)
+
+    def with_chance(rows: DataFrame, f: Column) -> DataFrame:
+        """Adds base and p, the whole and the fractional part of a document's copies."""
+        rows = rows.withColumn("base", F.floor(f + 1e-9)).withColumn("p", F.when(F.col("size") > 0, F.greatest(F.lit(0.0), f - F.col("base"))).otherwise(0.0))
+        return rows.withColumn("p", F.when(F.col("p") < 1e-9, 0.0).otherwise(F.col("p")))
+
+    placed = settle(
         sized.alias("d")
         .join(side.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-        .select("sid", "n", "doc_id", "size", "row", "salt", F.floor(share + 1e-12).alias("base"), share.alias("f"))
-        .withColumn("p", F.when(F.col("size") > 0, F.greatest(F.lit(0.0), F.col("f") - F.col("base"))).otherwise(0.0))
-        .withColumn("p", F.when(F.col("p") < 1e-9, 0.0).otherwise(F.col("p")))
-        .withColumn("key", F.xxhash64("doc_id", "salt", F.lit(seed)))
+        .select("sid", "n", "doc_id", "size", "row", F.xxhash64("doc_id", "salt", F.lit(seed)).alias("key"), share.alias("f"), "target", (F.col("size") * LARGE > F.col("source_size")).alias("large"))
     )
-    whole = drawn.filter("p = 0").select("sid", "doc_id", "size", F.col("base").alias("copies"), "row")
-    item = F.struct("key", "doc_id", "size", "base", "p", "row").cast(ITEM)
+    # The large documents of a source, fewer than LARGE, in one row.
+    folded = with_chance(placed.filter("large"), F.col("f")).groupBy("sid").agg(
+        F.sort_array(F.collect_list(F.when(F.col("p") > 0, item))).alias("items"), F.sum(F.when(F.col("p") == 0, F.col("size") * F.col("base"))).alias("held")
+    )
+    folded = settle(folded.select("sid", "held", _fold(F.col("items"), seed - 1).alias("r")))
+    small_words = placed.groupBy("sid").agg(F.max("target").alias("target"), F.sum(F.when(~F.col("large"), F.col("size")).otherwise(0)).alias("words"))
+    x = F.col("r.left")
+    done = F.aggregate("r.done", F.lit(0).cast("long"), lambda a, d: a + d["size"] * d["copies"])
+    rest = F.col("target") - F.coalesce(F.col("held"), F.lit(0)) - F.coalesce(done, F.lit(0)) - F.coalesce(x["size"] * x["base"], F.lit(0))
+    most = F.lit(float(cap)) * F.col("words")
+    over = lambda r: F.greatest(F.lit(0.0), -r, r - most)
+    one, none = over(F.col("rest") - x["size"]), over(F.col("rest"))
+    up = F.when((one == 0) & (none == 0), _chance(x["key"], F.lit(0), seed + 2) < x["p"]).otherwise(one < none)
+    folded = settle(
+        small_words.join(folded, "sid", "left").withColumn("rest", rest).withColumn("up", F.when(x.isNotNull(), up).cast("long"))
+        .withColumn("rest", F.least(most, F.greatest(F.lit(0.0), F.col("rest") - F.coalesce(F.col("up") * x["size"], F.lit(0)))))
+        .select("sid", "r", "up", F.when(F.col("words") > 0, F.col("rest") / F.col("words")).otherwise(F.lit(0.0)).alias("g"))
+    )
+    told = ["sid", "doc_id", "size", "copies", "row"]
+    first = folded.select("sid", F.explode("r.done").alias("x")).select("sid", "x.doc_id", "x.size", "x.copies", "x.row").unionByName(
+        folded.filter(x.isNotNull()).select("sid", x["doc_id"].alias("doc_id"), x["size"].alias("size"), (x["base"] + F.col("up")).alias("copies"), x["row"].alias("row"))
+    )
+    exact = with_chance(placed.filter("large"), F.col("f")).filter("p = 0").withColumn("copies", F.col("base")).select(*told)
+    shares = folded.select("sid", "g")
+    shares = F.broadcast(shares) if small(shares, BROADCAST_SOURCES) else shares
+    drawn = with_chance(placed.filter("not large").join(shares, "sid"), F.col("g"))
+    whole = drawn.filter("p = 0").withColumn("copies", F.col("base")).select(*told).unionByName(exact.select(*told)).unionByName(first)
     level, results, depth = drawn.filter("p > 0").select("sid", "n", item.alias("item")), [whole], 0
     most = sources.agg(F.max("n")).first()[0] or 0
     while most:
@@ -163,10 +200,10 @@ def mix(documents: DataFrame, cap: float = 3.0, seed: int = 0, row: str | None =
         most = 0 if most <= BLOCK else -(-most // BLOCK)
         if not most:
             x = F.col("left")
-            last = x["p"] >= 0.5
+            drawn_up = _chance(x["key"], F.lit(depth), seed + 1) < x["p"]
             results.append(
                 level.filter("left is not null").select(
-                    "sid", x["doc_id"].alias("doc_id"), x["size"].alias("size"), (x["base"] + last.cast("long")).alias("copies"), x["row"].alias("row")
+                    "sid", x["doc_id"].alias("doc_id"), x["size"].alias("size"), (x["base"] + drawn_up.cast("long")).alias("copies"), x["row"].alias("row")
                 )
             )
         level = level.filter("left is not null").select("sid", "n", F.col("left").alias("item"))
@@ -174,7 +211,33 @@ def mix(documents: DataFrame, cap: float = 3.0, seed: int = 0, row: str | None =
     rows = results[0]
     for more in results[1:]:
         rows = rows.unionByName(more)
+    rows = _repaired(settle(rows.withColumn("uid", F.monotonically_increasing_id())), sources.select("sid", "target"), cap, seed)
     return rows.join(side, "sid").select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"),
         *([] if row is None else [F.col("row").alias(row)]),
     )
+
+
+def _repaired(rows: DataFrame, sources: DataFrame, cap: float, seed: int) -> DataFrame:
+    """rows with a few copies more or less, so that the sources' words come nearer to their targets."""
+    taken = rows.groupBy("sid").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
+    lack = settle(sources.join(taken, "sid").select("sid", (F.col("target") - F.col("words")).alias("lack")).filter("abs(lack) > 0.5"))
+    changed = None
+    for _ in range(REPAIRS):
+        near = F.broadcast(lack) if small(lack, BROADCAST_SOURCES) else lack
+        free = rows if changed is None else rows.join(F.broadcast(changed.select("uid")) if small(changed, BROADCAST_SOURCES) else changed.select("uid"), "uid", "left_anti")
+        able = free.join(near, "sid").filter(((F.col("lack") > 0) & (F.col("copies") < int(cap))) | ((F.col("lack") < 0) & (F.col("copies") > 0)))
+        gap = F.abs(F.abs("lack") - F.col("size"))
+        best = able.filter((F.col("size") > 0) & (gap < F.abs("lack"))).groupBy("sid").agg(
+            F.min(F.struct(gap.alias("gap"), F.xxhash64("doc_id", F.lit(seed)).alias("h"), "uid", "size", F.signum("lack").cast("long").alias("step"))).alias("b")
+        )
+        now = settle(best.select("sid", "b.uid", "b.step", "b.size"))
+        if now.isEmpty():
+            break
+        lack = settle(lack.join(now, "sid", "left").select("sid", (F.col("lack") - F.coalesce(F.col("step") * F.col("size"), F.lit(0))).alias("lack")))
+        changed = now if changed is None else changed.unionByName(now)
+    if changed is None:
+        return rows
+    steps = changed.select("uid", "step")
+    steps = F.broadcast(steps) if small(steps, BROADCAST_SOURCES) else steps
+    return rows.join(steps, "uid", "left").withColumn("copies", F.col("copies") + F.coalesce("step", F.lit(0)))

@@ -21,7 +21,8 @@ estimate is dropped with one of at most 5e-7; together at most 4e-6 and 3e-4.
 
 Defined cases: null and wordless texts have an empty set and no link; fewer than five words are one
 shingle; rows that share a doc_id are rows of their own with that id's component (equal rows link); a
-null doc_id takes part in no link and is its own, null, component; extra columns are not looked at.
+null doc_id takes part in no link and is its own, null, component; an empty table gives no rows; a text of
+any length is one set, of all its shingles; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -101,8 +102,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 second.append(int(bytehash.mixed(own).sum(dtype=np.uint64).view(np.int64)))
             sketch.append(registers(own).tobytes() if len(own) else None)
         yield pa.record_batch(
-            [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(sketch, pa.binary())],
-            ["doc_id", "n_shingles", "set_a", "set_b", "sketch"],
+            [batch.column("doc_id"), batch.column("row"), pa.array(size, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(sketch, pa.binary())],
+            ["doc_id", "row", "n_shingles", "set_a", "set_b", "sketch"],
         )
 
 
@@ -215,12 +216,14 @@ def _across(threshold: float):
     return across
 
 
-def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept. Links need 100 * intersection >= percent * union."""
+def near_duplicates(documents: DataFrame, percent: int = 85, row: str | None = None) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id, kept. Links need 100 * intersection >= percent * union.
+
+    row names a column of numbers that is handed through.
+    """
     plain = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketched = settle(
-        plain.mapInArrow(_sketch, "doc_id long, n_shingles long, set_a long, set_b long, sketch binary")
-    )
+    numbered = plain.withColumn("row", F.lit(None).cast("long")) if row is None else documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"), "text")
+    sketched = settle(numbered.mapInArrow(_sketch, "doc_id long, row long, n_shingles long, set_a long, set_b long, sketch binary"))
     in_play = sketched.filter("n_shingles > 0 and doc_id is not null")
     same = ["n_shingles", "set_a", "set_b"]
     classes = settle(in_play.groupBy(*same).agg(F.min("doc_id").alias("id")))
@@ -236,7 +239,10 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     return (
         sketched.drop("sketch")
         .join(named, same, "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+        .select(
+            "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
+            *([] if row is None else [F.col("row").alias(row)]),
+        )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
 

@@ -8,7 +8,8 @@ log-densities with their priors; Mahalanobis distances use inverse Cholesky fact
 and sent with the tasks.
 
 Defined cases: null and empty texts have the statistics of an empty text and get a score like others; a
-null doc_id is not held out and has no label; labels other than 0 and 1 are not used; with rows of one
+null doc_id is not held out and has no label; labels other than 0 and 1 are not used, nor those of a doc_id
+that has both, and equal ones of a doc_id count once; a text of any length is read whole; with rows of one
 label only, or none, every score is that label's share, or 0.5; repeated rows are rows of their own;
 extra columns are not looked at.
 """
@@ -104,7 +105,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x = statistics(batch.column("text"))
         vectors = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), D).cast(pa.list_(pa.float64()))
-        yield pa.record_batch([batch.column("doc_id"), vectors], ["doc_id", "x"])
+        yield pa.record_batch([batch.column("doc_id"), batch.column("row"), vectors], ["doc_id", "row", "x"])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -167,26 +168,30 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: doc_id, held_out, score, predicted."""
-    plain = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    vectors = settle(plain.mapInArrow(_rows, "doc_id long, x array<double>"))
+def classify(documents: DataFrame, labels: DataFrame, row: str | None = None) -> DataFrame:
+    """Per document: doc_id, held_out, score, predicted. row names a column of numbers that is handed through."""
+    number = F.lit(None).cast("long") if row is None else F.col(row)
+    plain = documents.select(F.col("doc_id").cast("long").alias("doc_id"), number.alias("row"), "text")
+    vectors = settle(plain.mapInArrow(_rows, "doc_id long, row long, x array<double>"))
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     marked = marked.filter("quality in (0, 1)").filter(~held_out(F.col("doc_id")))
+    # A doc_id with several equal labels has one, and one with both has none.
+    marked = marked.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).filter("quality = most").drop("most")
     sums = (
         vectors.join(marked, "doc_id").select("quality", "x").mapInArrow(_sums, "label int, cell int, value double")
         .groupBy("label", "cell").agg(F.sum("value").alias("value"))
     )
     total = np.zeros((2, 1 + D + D * D))
-    for row in sums.collect():  # as many rows as the two covariances have cells
-        total[row["label"], row["cell"]] = row["value"]
+    for cell in sums.collect():  # as many rows as the two covariances have cells
+        total[cell["label"], cell["cell"]] = cell["value"]
     fitted = discriminant(total)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([batch.column("doc_id"), pa.array(fitted.score(_matrix(batch.column("x"))))], ["doc_id", "score"])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("row"), pa.array(fitted.score(_matrix(batch.column("x"))))], ["doc_id", "row", "score"])
 
-    scores = vectors.mapInArrow(scored, "doc_id long, score double")
+    scores = vectors.mapInArrow(scored, "doc_id long, row long, score double")
     return scores.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        *([] if row is None else [F.col("row").alias(row)]),
     )

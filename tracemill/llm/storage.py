@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Ids up to which a table of ids is broadcast to what it selects from; beyond, the join shuffles.
+#: Rows up to which a table of their numbers is broadcast to what it selects from; beyond, the join shuffles.
 BROADCAST_IDS = 500_000
 
 
@@ -38,7 +38,7 @@ def small(df: DataFrame, most_rows: int) -> bool:
     return df.limit(most_rows + 1).count() <= most_rows
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not among ids (settled, one column doc_id); a null doc_id stays."""
-    ids = ids.select("doc_id").filter("doc_id is not null").distinct()
-    return docs.join(F.broadcast(ids) if small(ids, BROADCAST_IDS) else ids, "doc_id", "left_anti")
+def without(docs: DataFrame, rows: DataFrame, row: str) -> DataFrame:
+    """The documents whose number is not among rows (settled)."""
+    rows = rows.select(row)
+    return docs.join(F.broadcast(rows) if small(rows, BROADCAST_IDS) else rows, row, "left_anti")
