@@ -9,8 +9,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Keys whose values are never kept.
-SECRET_KEYS = frozenset(("api_key", "apikey", "authorization", "password", "secret", "token", "access_token", "refresh_token", "private_key", "credential", "cookie"))
+#: Keys whose values are never kept, in lower case with underscores.
+SECRET_KEYS = frozenset(
+    "authorization api_key apikey cookie password proxy_authorization secret token access_token refresh_token thinking_signature text_signature thinkingsignature textsignature thinking".split()
+)
+#: What a path of the host begins with; a text that has the workspace's name is taken as cleaned.
+HOST_MARKERS = ("/home/", "/homePLUS", "/Users/", "/root/", "/tmp/", "100.65.", "agent-data-plane/swebench")
+WORKSPACE = "$WORKSPACE"
 REDACTED = "[REDACTED]"
 
 
@@ -31,32 +36,45 @@ def sha256_json(text: Column) -> Column:
     return F.sha2(canonical_json(text), 256)
 
 
-def _redact(value):
-    if isinstance(value, dict):
-        return {k: REDACTED if k.lower().replace("-", "_") in SECRET_KEYS else _redact(v) for k, v in value.items()}
-    return [_redact(v) for v in value] if isinstance(value, list) else value
+def _redacted(text: str) -> str:
+    """JSON with the values of secret keys replaced at any depth; an explicit stack, as logs may nest deeply."""
+    top = [json.loads(text)]
+    open_ = [top]
+    while open_:
+        held = open_.pop()
+        for key in list(held) if isinstance(held, dict) else range(len(held)):
+            if isinstance(key, str) and key.lower().replace("-", "_") in SECRET_KEYS:
+                held[key] = REDACTED
+            elif isinstance(held[key], (dict, list)):
+                open_.append(held[key])
+    return json.dumps(top[0], sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
 @F.pandas_udf(T.StringType())
 def redacted_json(texts: pd.Series) -> pd.Series:
-    """Canonical JSON with the values of secret keys replaced at any depth."""
+    """Canonical JSON with the values of secret keys replaced; null for what is no JSON."""
 
     def one(text: str | None) -> str | None:
         try:
-            return None if text is None else json.dumps(_redact(json.loads(text)), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+            return None if text is None else _redacted(text)
         except ValueError:
             return None
 
     return texts.map(one)
 
 
+def host_markers(text: Column) -> Column:
+    """The host markers that a text has, each after a blank; none if it has the workspace's name."""
+    found = F.concat(*[F.when(text.contains(m), F.lit(f" {m}")).otherwise("") for m in HOST_MARKERS])
+    return F.when(text.contains(WORKSPACE), "").otherwise(found)
+
+
 def token_count(text: Column) -> Column:
     """Runs of non-blank characters."""
     return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != ""))
 
 
 def cap_text(text: Column, most: int = 2000) -> Column:
-    """Long texts keep their beginning and end and say how much is left out."""
-    half = most // 2
-    cut = F.concat(F.left(text, F.lit(half)), F.lit("\n...["), (F.length(text) - 2 * half).cast("string"), F.lit(" left out]...\n"), F.right(text, F.lit(half)))
-    return F.when(F.length(text) > most, cut).otherwise(text)
+    """Long texts keep their first and last characters and say between these how many more there were."""
+    marker = F.concat(F.lit("\n...[+"), (F.length(text) - most).cast("string"), F.lit(" chars truncated]...\n"))
+    return F.when(F.length(text) > most, F.concat(F.left(text, F.lit(most // 2)), marker, F.right(text, F.lit(most // 2)))).otherwise(text)

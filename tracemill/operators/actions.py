@@ -49,7 +49,7 @@ def adjacent(timeline: DataFrame) -> DataFrame:
     )
 
 
-def loops(timeline: DataFrame, least: int = 3) -> DataFrame:
+def loops(timeline: DataFrame, least: int = 2) -> DataFrame:
     """Per user: runs of at least so many equal actions."""
     n = F.row_number().over(by_user())
     m = F.row_number().over(Window.partitionBy("user_id", "event_type").orderBy(*ORDER))
@@ -58,11 +58,16 @@ def loops(timeline: DataFrame, least: int = 3) -> DataFrame:
 
 
 def recovery(timeline: DataFrame, failed: str = "error") -> DataFrame:
-    """Per user: share of failures after which the next action is none; 0 without failures."""
-    nexts = timeline.select("user_id", "event_type", F.lead("event_type").over(by_user()).alias("next"))
-    bad = F.col("event_type") == failed
-    good = F.sum((bad & (F.col("next") != failed)).cast("long"))
-    return nexts.groupBy("user_id").agg(F.round(F.coalesce(F.try_divide(good, F.sum(bad.cast("long"))), F.lit(0.0)), 6).alias("rate"))
+    """Per user: share of failures after which some later action is none; 0 without failures.
+
+    A failure is recovered if it comes before the user's last success, so one grouping finds these and a join by
+    user compares, without a window over a user's actions.
+    """
+    bad, at = F.col("event_type") == failed, F.struct(*ORDER)
+    last = timeline.groupBy("user_id").agg(F.max(F.when(~bad, at)).alias("last"), F.count(F.when(bad, 1)).alias("n"))
+    later = timeline.filter(bad).join(last.select("user_id", "last"), "user_id").filter(at < F.col("last")).groupBy("user_id").agg(F.count("*").alias("good"))
+    rate = F.coalesce(F.try_divide(F.coalesce(F.col("good"), F.lit(0)), F.col("n")), F.lit(0.0))
+    return last.join(later, "user_id", "left").select("user_id", F.round(rate, 6).alias("rate"))
 
 
 def terminal(timeline: DataFrame, kind: str = "purchase") -> DataFrame:

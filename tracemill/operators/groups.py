@@ -7,19 +7,17 @@ from pyspark.sql import functions as F
 
 
 def advantages(attempts: DataFrame) -> DataFrame:
-    """group, reward -> per group: n, mean, the sum of absolute advantages (population deviation).
-
-    Rewards of a group are few, so distinct rewards with counts carry all that is needed: one grouping, no
-    window over the attempts.
-    """
-    per = attempts.groupBy("group").agg(F.count("*").alias("n"), F.avg("reward").alias("mean"), F.stddev_pop("reward").alias("sd"), F.collect_list("reward").alias("r"))
-    total = F.aggregate("r", F.lit(0.0), lambda s, x: s + F.abs((x - F.col("mean")) / (F.col("sd") + 1e-6)))
-    return per.select("group", "n", F.round(F.when(F.col("sd") > 1e-6, total).otherwise(0.0), 6).alias("sum_abs"))
+    """Adds advantage to attempts (group, reward, ...): the reward less its group's mean, over its population
+    deviation; 0 where the group's rewards agree. Moments are grouped with a map-side combine and joined back, so
+    a hot group is no window of its own."""
+    moments = attempts.groupBy("group").agg(F.avg("reward").alias("mean"), F.stddev_pop("reward").alias("sd"))
+    value = F.when(F.col("sd") > 1e-6, (F.col("reward") - F.col("mean")) / (F.col("sd") + 1e-6)).otherwise(0.0)
+    return attempts.join(moments, "group").withColumn("advantage", F.round(value, 6)).drop("mean", "sd")
 
 
 def gate(attempts: DataFrame, least: int = 4) -> DataFrame:
-    """Per group: size, distinct rewards, and whether it is admitted (large enough, rewards that differ)."""
-    per = attempts.groupBy("group").agg(F.count("*").alias("size"), F.size(F.collect_set("reward")).cast("long").alias("distinct_rewards"))
+    """Per group: distinct episodes, distinct rewards, and whether it is admitted (large enough, rewards that differ)."""
+    per = attempts.groupBy("group").agg(F.count_distinct("episode").alias("size"), F.count_distinct("reward").alias("distinct_rewards"))
     return per.withColumn("admitted", (F.col("size") >= least) & (F.col("distinct_rewards") >= 2))
 
 
@@ -44,9 +42,3 @@ def picked(pool: DataFrame, stratum: str, key: str, quota: int, seed: str) -> Da
 
     order = Window.partitionBy(stratum).orderBy(F.sha2(F.concat(F.lit(seed), F.col(key).cast("string")), 256))
     return pool.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= quota)
-
-
-def floor_index(values: Column, share: float) -> Column:
-    """The element at floor(n * share) of the sorted values, counted from 1 and at least the first."""
-    n = F.size(values)
-    return F.element_at(F.array_sort(values), F.greatest(F.lit(1), F.floor(n * share).cast("int")))

@@ -6,12 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def integrity_state(conflicts: Column, collisions: Column, terminals: Column, gaps: Column, orphans: Column, missing: Column) -> Column:
-    corrupt = (conflicts > 0) | (collisions > 0) | (terminals > 1)
-    partial = (gaps > 0) | (orphans > 0) | (missing > 0)
-    return F.when(corrupt, "CORRUPT").when(partial, "PARTIAL").otherwise("COMPLETE")
-
-
 def certification(integrity: Column, attested: Column, task: Column, validity: Column, scored: Column) -> Column:
     """REJECTED dominates INSUFFICIENT_EVIDENCE, which dominates CERTIFIED."""
     reject = (

@@ -17,10 +17,12 @@ def integrity(log: DataFrame, first: int = 0) -> DataFrame:
 
 
 def gaps(log: DataFrame, first: int = 0) -> DataFrame:
-    """One row per number between first and an episode's last that it lacks."""
-    per = log.groupBy("episode").agg(F.collect_set("seq").alias("there"), F.max("seq").alias("last"))
-    missing = F.array_except(F.sequence(F.lit(first).cast("int"), F.col("last").cast("int")), F.col("there"))
-    return per.select("episode", F.explode(missing).alias("gap_seq"))
+    """One row per number between first and an episode's last that it lacks: only the holes between neighbours are
+    written out, so the work follows what is there and missing, not the largest number."""
+    order = Window.partitionBy("episode").orderBy("seq")
+    seen = log.select("episode", F.col("seq").cast("long").alias("seq")).distinct().withColumn("before", F.coalesce(F.lag("seq").over(order), F.lit(first - 1)))
+    holes = seen.filter(F.col("seq") > F.col("before") + 1)
+    return holes.select("episode", F.explode(F.sequence(F.col("before") + 1, F.col("seq") - 1)).alias("gap_seq"))
 
 
 def collisions(log: DataFrame) -> DataFrame:

@@ -158,15 +158,15 @@ def adjacent_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return actions.adjacent(tables.timeline(spark, sf_dir))
 
 
-@query(f"""select user_id, count(*) filter (c >= 3) as loop_count from (select user_id, event_type, island, count(*) as c from (
+@query(f"""select user_id, count(*) filter (c >= 2) as loop_count from (select user_id, event_type, island, count(*) as c from (
  select user_id, event_type, {_TIMELINE} - row_number() over (partition by user_id, event_type order by ts, event_id) as island from events)
  group by 1, 2, 3) group by 1""")
 def loop_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return actions.loops(tables.timeline(spark, sf_dir))
 
 
-@query("""select user_id, round(coalesce(count(*) filter (event_type = 'error' and next <> 'error') / nullif(count(*) filter (event_type = 'error'), 0), 0), 6) as rate
- from (select user_id, event_type, lead(event_type) over (partition by user_id order by ts, event_id) as next from events) group by 1""")
+@query("""select user_id, round(coalesce(count(*) filter (event_type = 'error' and exists (select 1 from events l where l.user_id = e.user_id and l.event_type <> 'error' and (l.ts, l.event_id) > (e.ts, e.event_id)))
+ / nullif(count(*) filter (event_type = 'error'), 0), 0), 6) as rate from events e group by 1""")
 def error_recovery_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return actions.recovery(tables.timeline(spark, sf_dir))
 
@@ -211,22 +211,21 @@ def action_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- rewarded groups and datasets
 
 
-@query("""select "group", n, round(case when sd > 1e-6 then s else 0 end, 6) as sum_abs from (
- select g as "group", count(*) as n, max(sd) as sd, sum(abs(r - m) / (sd + 1e-6)) as s from (
- select l_orderkey as g, case when l_returnflag = 'R' then 1.0::double else 0.0::double end as r,
+@query("""select g as "group", episode, line, r as reward, round(case when sd > 1e-6 then (r - m) / (sd + 1e-6) else 0 end, 6) as advantage from (
+ select l_orderkey as g, l_partkey as episode, l_linenumber as line, case when l_returnflag = 'R' then 1.0::double else 0.0::double end as r,
  avg(case when l_returnflag = 'R' then 1.0::double else 0.0::double end) over (partition by l_orderkey) as m,
- stddev_pop(case when l_returnflag = 'R' then 1.0::double else 0.0::double end) over (partition by l_orderkey) as sd from lineitem) group by g)""")
+ stddev_pop(case when l_returnflag = 'R' then 1.0::double else 0.0::double end) over (partition by l_orderkey) as sd from lineitem)""")
 def grpo_advantage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.advantages(_attempts(spark, sf_dir))
 
 
 def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     reward = F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0)
-    return tables.read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("group"), reward.alias("reward"))
+    return tables.read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("group"), F.col("l_partkey").alias("episode"), F.col("l_linenumber").alias("line"), reward.alias("reward"))
 
 
-@query("""select l_orderkey as "group", count(*) as size, count(distinct l_returnflag = 'R') as distinct_rewards,
- count(*) >= 4 and count(distinct l_returnflag = 'R') >= 2 as admitted from lineitem group by 1""")
+@query("""select l_orderkey as "group", count(distinct l_partkey) as size, count(distinct l_returnflag = 'R') as distinct_rewards,
+ count(distinct l_partkey) >= 4 and count(distinct l_returnflag = 'R') >= 2 as admitted from lineitem group by 1""")
 def group_variance_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.gate(_attempts(spark, sf_dir))
 
@@ -447,15 +446,17 @@ def history_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select("conv_id", "turn", F.sum("tokens").over(before).alias("prompt_tokens"), "tokens")
 
 
-_EMAIL = r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[A-Za-z]+"
-_KEY = "AKIA[0-9A-Z]{16}"
+_MARKED = " or ".join(f"contains(text, '{m}')" for m in canonical.HOST_MARKERS)
 
 
-@query(f"""select doc_id, case when regexp_matches(text, '{_KEY}') then 'secret' else 'address' end as reason from documents
- where regexp_matches(text, '{_KEY}') or regexp_matches(text, '{_EMAIL}')""")
+@query(f"""select doc_id, {" || ".join(f"case when contains(text, '{m}') then ' {m}' else '' end" for m in canonical.HOST_MARKERS)} as markers from (select doc_id, case doc_id % 5 when 0 then text || ' /home/u/x'
+ when 1 then text || ' /tmp/y /root/z' when 2 then text || ' $WORKSPACE/tmp /home/u' else text end as text from documents) where ({_MARKED}) and not contains(text, '$WORKSPACE')""")
 def leak_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    secret, address = F.col("text").rlike(_KEY), F.col("text").rlike(_EMAIL)
-    return tables.read(spark, sf_dir, "documents").filter(secret | address).select("doc_id", F.when(secret, "secret").otherwise("address").alias("reason"))
+    """Texts with a host path, of documents some of which have one put in."""
+    d, text = F.col("doc_id") % 5, F.col("text")
+    some = F.when(d == 0, F.concat(text, F.lit(" /home/u/x"))).when(d == 1, F.concat(text, F.lit(" /tmp/y /root/z"))).when(d == 2, F.concat(text, F.lit(" $WORKSPACE/tmp /home/u"))).otherwise(text)
+    placed = tables.read(spark, sf_dir, "documents").select("doc_id", some.alias("text"))
+    return placed.select("doc_id", canonical.host_markers(F.col("text")).alias("markers")).filter("markers <> ''")
 
 
 @query("""select page_id, len(regexp_extract_all(html, 'https?://[a-z0-9.]+')) as n, sha256(regexp_replace(html, 'href="/[^"]*"', 'href="$ROOT"', 'g')) as replaced_sha256 from pages""")
@@ -467,18 +468,65 @@ def path_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""select event_type, count(*) as n, round(sum(value), 2) as total from events group by 1""")
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table taken by a stream into a store of its own, then counted."""
+def _shared(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share; a local session may use one of its own."""
     import tempfile
     import uuid
 
-    from ..streaming.ingest import ingest
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{(base or tempfile.mkdtemp(prefix='tracemill-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"""with r as (select *, dense_rank() over (partition by l_orderkey, l_linenumber order by {_LINE_SQL}) as content, count(*) over (partition by l_orderkey, l_linenumber, {_LINE_SQL}) as n from lineitem)
+ select count(*) filter (content = 1 and c = 1) as appended, 2 * coalesce(sum(n) filter (content = 1 and c = 1), 0)::bigint - count(*) filter (content = 1 and c = 1) as duplicates,
+ 2 * coalesce(sum(n) filter (content > 1 and c = 1), 0)::bigint as conflicts from (select *, row_number() over (partition by l_orderkey, l_linenumber, {_LINE_SQL} order by n) as c from r)""")
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items taken by a stream twice over into a store of its own: what was appended, repeated and in conflict."""
+    from ..streaming.ingest import ingest_batch
+
+    store = _shared(spark, "ingest")
+    log = tables.read(spark, sf_dir, "lineitem").withColumn("id", F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
+    source = spark.readStream.schema(tables.read(spark, sf_dir, "lineitem").schema).parquet(f"{sf_dir}/lineitem.parquet*")
+    stream = source.withColumn("id", F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
+    started = stream.writeStream.foreachBatch(lambda batch, number: ingest_batch(batch, store, "id", LINE, number)).option("checkpointLocation", f"{store}/progress").trigger(availableNow=True).start()
+    started.awaitTermination()
+    ingest_batch(log, store, "id", LINE, 1_000_000)
+    return spark.read.parquet(f"{store}/counts/*").agg(*[F.sum(c).alias(c) for c in ("appended", "duplicates", "conflicts")])
+
+
+@query(f"""select l_orderkey % 7 as run, l_orderkey as episode, count(*) as events, round(sum(l_quantity), 2) as quantity from lineitem where l_orderkey % 7 = 3 group by 1, 2""")
+def partition_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log written by run and read back for one run: only its folders are listed and read."""
+    from ..sources import store
+
+    log = tables.event_log(spark, sf_dir).withColumn("run", F.col("episode") % 7)
+    path = _shared(spark, "store")
+    store.write(log, path, "run", "episode")
+    return store.read_run(spark, path, 3).groupBy("run", "episode").agg(F.count("*").alias("events"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
+
+
+@query("""select code, count(*) as n from (select event_id, case event_id % 9 when 1 then 'MALFORMED_EVENT' when 2 then 'UNKNOWN_FIELD' when 3 then 'MISSING_FIELD' when 4 then 'BLANK_SPAN_ID' when 5 then 'BAD_SEQUENCE'
+ when 6 then 'TIMESTAMP_NOT_UTC' when 7 then 'UNKNOWN_STATUS' when 8 then 'REPEATED_ARTIFACT_REF' else 'EVENT' end as code from events) group by 1""")
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as JSON lines, eight of nine with a fault, and read back strictly."""
+    from ..sources import jsonl
+
+    n, text = F.col("event_id") % 9, lambda c: F.col(c).cast("string")
+    good = F.struct(
+        F.lit(schemas.SCHEMA_VERSION).alias("schema_version"), text("event_id").alias("event_id"), F.lit("run").alias("run_id"), text("user_id").alias("episode_id"), text("user_id").alias("trace_id"),
+        F.when(n == 4, F.lit(" ")).otherwise(text("event_id")).alias("span_id"), F.lit(None).cast("string").alias("parent_span_id"), F.when(n == 5, F.lit(-1)).otherwise(F.lit(3)).alias("sequence"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.when(n == 6, "+02:00").otherwise("Z")).alias("timestamp"), F.lit("TOOL_CALL").alias("event_type"), F.lit("TOOL").alias("component"),
+        F.when(n == 7, "DONE").otherwise("STARTED").alias("status"), F.lit(1).alias("attempt"), F.struct("value").alias("attributes"),
+        F.when(n == 8, F.array(F.lit("a"), F.lit("a"))).otherwise(F.array(F.lit("a"))).alias("artifact_refs"),
+    )
+    json = F.to_json(good, {"ignoreNullFields": "false"})
+    line = F.when(n == 1, F.substring(json, 1, 40)).when(n == 2, F.regexp_replace(json, r"^\{", '{"extra":1,')).when(n == 3, F.regexp_replace(json, '"attempt":1,', "")).otherwise(json)
+    path = _shared(spark, "log")
+    tables.read(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    events, issues = jsonl.read_events(spark, path)
+    return events.select(F.lit("EVENT").alias("code")).unionAll(issues.select("code")).groupBy("code").agg(F.count("*").alias("n"))
+
 
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tracemill-")
-    store = f"{base.rstrip('/')}/ingest-{uuid.uuid4().hex}"
-    static = tables.read(spark, sf_dir, "events")
-    source = spark.readStream.schema(static.schema).parquet(f"{sf_dir}/events.parquet*")
-    ingest(source, store, "event_id", ["ts"]).awaitTermination()
-    kept = spark.read.parquet(f"{store}/events/*")
-    return kept.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+from . import evidence, training  # noqa: E402,F401  (they register their queries)

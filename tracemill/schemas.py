@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+SCHEMA_VERSION = "trace-event/v1"
+
+#: Fixed values of the event contract.
 EVENT_TYPES = (
-    "RUN_STARTED", "EPISODE_STARTED", "MODEL_REQUEST", "MODEL_RESPONSE", "TOOL_CALL", "TOOL_RESULT", "POLICY_DECISION",
-    "STATE_CHANGED", "PATCH_UPDATED", "RETRY", "ERROR", "VERIFICATION_STARTED", "VERIFICATION_FINISHED", "EPISODE_FINISHED", "RUN_FINISHED",
+    "MODEL_REQUEST", "MODEL_RESPONSE", "TOOL_CALL", "TOOL_RESULT", "SANDBOX_STARTED", "SANDBOX_COMMAND", "SANDBOX_FINISHED", "VERIFICATION_STARTED",
+    "VERIFICATION_FINISHED", "EPISODE_FINISHED", "HARNESS_DECISION", "CONTEXT_SELECTED", "CONTEXT_COMPACTED", "RETRY_SCHEDULED", "TERMINATION_DECIDED",
+)
+COMPONENTS = ("MODEL", "HARNESS", "TOOL", "SANDBOX", "MODEL_BACKEND", "EVALUATOR", "EXTERNAL_SERVICE")
+STATUSES = ("STARTED", "SUCCEEDED", "FAILED", "ERROR", "TIMEOUT", "CANCELLED", "UNKNOWN")
+#: What an opened span is closed by.
+SPAN_PAIRS = (
+    ("MODEL_REQUEST", "MODEL_RESPONSE"), ("TOOL_CALL", "TOOL_RESULT"), ("SANDBOX_STARTED", "SANDBOX_FINISHED"), ("VERIFICATION_STARTED", "VERIFICATION_FINISHED"),
 )
 INTEGRITY = ("COMPLETE", "PARTIAL", "CORRUPT")
 ATTESTED = ("PASSED", "FAILED", "ERROR", "TIMEOUT")

@@ -1,5 +1,10 @@
-"""Streaming ingest with global idempotency: first arrival of an id is kept, equal repeats are dropped,
-different ones quarantined. No watermark: late events are taken forever."""
+"""Streaming ingest with global idempotency: the first content of an id is kept, equal repeats are dropped, different
+ones quarantined. No watermark: late events are taken forever.
+
+The store is partitioned by a hash of the id. A batch reads of it only the partitions that its own ids fall into,
+and of these only the id and digest columns, so a batch costs what its ids' partitions hold, not what was ever taken.
+Which content of an id is first within a batch goes by `order`, then by digest: a micro-batch has no order of its own.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Partitions of the store by id.
+PARTS = 64
+
 
 def _table(spark: SparkSession, path: str, schema) -> DataFrame:
     try:
@@ -18,21 +26,33 @@ def _table(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def ingest_batch(batch: DataFrame, store: str, key: str, order: list[str], number: int) -> None:
-    """Splits one batch into new events, repeats and conflicts by id and content digest; writes the new ones and
-    the conflicts below store. A batch that is replayed overwrites its own files, so it adds nothing."""
+    """Splits one batch into new events, repeats and conflicts by id and content digest; writes the new ones, the conflicts
+    and, with a code, events without an id below store, and one row of counts. A batch that is replayed overwrites
+    its own files, so it adds nothing."""
     spark = batch.sparkSession
-    content = F.xxhash64(*[F.col(c) for c in batch.columns])
-    rows = batch.withColumn("_digest", content)
-    first = rows.groupBy(key).agg(F.min(F.struct(*order, "_digest")).alias("s")).select(key, F.col("s._digest").alias("_first"))
-    known = (
-        _table(spark, f"{store}/events/*", T.StructType([*rows.schema.fields, T.StructField("_batch", T.LongType())])).filter(F.col("_batch") != number)
-        .select(key, F.col("_digest").alias("_known"))
+    content = F.sha2(F.to_json(F.struct(*[F.col(c) for c in batch.columns])), 256)
+    rows = batch.withColumn("_digest", content).withColumn("_part", F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int"))
+    named = rows.filter(F.col(key).isNotNull())
+    parts = [r["_part"] for r in named.select("_part").distinct().collect()]  # PARTS at most
+    schema = T.StructType([batch.schema[key], T.StructField("_digest", T.StringType()), T.StructField("_batch", T.LongType()), T.StructField("_part", T.IntegerType())])
+    known = _table(spark, f"{store}/events", schema).filter(F.col("_part").isin(*parts or [-1]) & (F.col("_batch") != number)).select(key, F.col("_digest").alias("_known"))
+    first = named.groupBy(key).agg(F.min(F.struct(*order, "_digest"))["_digest"].alias("_first"))
+    heads = first.join(known, key, "left").select(key, F.coalesce("_known", "_first").alias("_kept"), F.col("_known").isNotNull().alias("_old"))
+    # Equal contents of an id are one row with their number before anything is joined.
+    per = named.groupBy(*batch.columns, "_digest", "_part").agg(F.count("*").alias("_n")).join(heads, key)
+    new, conflict = ~F.col("_old") & (F.col("_digest") == F.col("_kept")), F.col("_digest") != F.col("_kept")
+    kept = [*batch.columns, "_digest", "_part"]
+    base = f"batch-{number:012d}"
+    stamped = lambda df: df.withColumn("_batch", F.lit(number).cast("long"))
+    stamped(per.filter(new).select(*kept)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch", "_part").parquet(f"{store}/events")
+    bad = per.filter(conflict).select(*batch.columns, "_digest", "_n", F.lit("CONFLICTING_EVENT_ID").alias("code"))
+    blank = rows.filter(F.col(key).isNull()).select(*batch.columns, "_digest", F.lit(1).cast("long").alias("_n"), F.lit("BLANK_EVENT_ID").alias("code"))
+    bad.unionByName(blank).write.mode("overwrite").parquet(f"{store}/quarantine/{base}")
+    counts = per.agg(
+        F.count(F.when(new, 1)).alias("appended"), F.coalesce(F.sum(F.when(~conflict, F.col("_n") - new.cast("long"))), F.lit(0)).alias("duplicates"),
+        F.coalesce(F.sum(F.when(conflict, F.col("_n"))), F.lit(0)).alias("conflicts"),
     )
-    marked = rows.join(first, key).join(known, key, "left").select(*rows.columns, F.coalesce("_known", "_first").alias("_kept"), F.col("_known").isNotNull().alias("_old"))
-    new = marked.filter(~F.col("_old") & (F.col("_digest") == F.col("_kept"))).select(*rows.columns).dropDuplicates([key])
-    conflicts = marked.filter(F.col("_digest") != F.col("_kept")).select(*rows.columns)
-    new.withColumn("_batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{store}/events/batch-{number:012d}")
-    conflicts.write.mode("overwrite").parquet(f"{store}/conflicts/batch-{number:012d}")
+    counts.write.mode("overwrite").parquet(f"{store}/counts/{base}")
 
 
 def ingest(source: DataFrame, store: str, key: str, order: list[str]):
@@ -41,3 +61,8 @@ def ingest(source: DataFrame, store: str, key: str, order: list[str]):
         source.writeStream.foreachBatch(lambda batch, number: ingest_batch(batch, store, key, order, number))
         .option("checkpointLocation", f"{store}/progress").trigger(availableNow=True).start()
     )
+
+
+def read_events(spark: SparkSession, store: str) -> DataFrame:
+    """All events of a store, without its own columns."""
+    return spark.read.parquet(f"{store}/events").drop("_digest", "_batch", "_part")
