@@ -278,25 +278,19 @@ def paragraphs(text):
 
 def peeled(fingerprint):
     """The digests that a written fingerprint holds, from the text alone."""
-    found = set()
-    for block in fingerprint.split(":"):
-        head, *rest = block.split("-")
-        if head in ("0", "list"):
-            found |= {int(x, 16) for x in rest}
-            continue
-        width, cells = int(head, 16), {}
-        for x in rest:
-            at, n, key, total = (int(y, 16) for y in x.split("."))
-            cells[at] = [n, key, total]
-        place = lambda d: [(d >> 16 * p) % 2**64 % width + p * width for p in range(3)]
-        check = lambda d: hashed((1).to_bytes(4, "little"), hashed(d.to_bytes(8, "little")))
-        while pure := [c[1] for c in cells.values() if c[0] == 1 and c[2] == check(c[1])]:
-            d = pure[0]
-            found.add(d)
-            for i in place(d):
-                n, key, total = cells[i]
-                cells[i] = [n - 1, key ^ d, total ^ check(d)]
-        assert not any(any(c) for c in cells.values())
+    head, *rest = fingerprint.split("-")
+    width, cells, found = int(head, 16), {}, set()
+    for x in rest:
+        at, n, key, total = (int(y, 16) for y in x.split("."))
+        cells[at] = [n, key, total]
+    check = lambda d: hashed((1).to_bytes(4, "little"), hashed(d.to_bytes(8, "little")))
+    while pure := [c[1] for c in cells.values() if c[0] == 1 and c[2] == check(c[1])]:
+        d = pure[0]
+        found.add(d)
+        for p in range(3):
+            n, key, total = cells[(d >> 16 * p) % width + p * width]
+            cells[(d >> 16 * p) % width + p * width] = [n - 1, key ^ d, total ^ check(d)]
+    assert not any(any(c) for c in cells.values())
     return found
 
 
@@ -304,9 +298,10 @@ def likeness(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-@pytest.mark.parametrize("in_row", [640, 4])
-def test_sketches_tell_the_shared_paragraphs(table, rows, in_row, monkeypatch):
-    monkeypatch.setattr(fingerprints, "IN_ROW", in_row)
+@pytest.mark.parametrize("widths", [fingerprints.WIDTHS, (0.05,), (0.05, 3.0)])
+def test_sketches_tell_the_shared_paragraphs(table, rows, widths, monkeypatch):
+    monkeypatch.setattr(fingerprints, "WIDTHS", widths)
+    monkeypatch.setattr(fingerprints, "LEAST", 2 if len(widths) == 1 else 16)
     monkeypatch.setattr(fingerprints, "RANGE_ROWS", 20)
     by = sorted(rows, key=lambda r: -r[0])
     got = {r.doc_id: r for r in fingerprints.fingerprints(table).collect()}
@@ -327,9 +322,7 @@ def test_sketches_tell_the_shared_paragraphs(table, rows, in_row, monkeypatch):
         assert x.near_next == pytest.approx(likeness(own, peeled(got[by[(k + 1) % len(by)][0]].fingerprint)))
 
 
-@pytest.mark.parametrize("in_row", [640, 4])
-def test_one_line_texts_are_like_their_own_edit(spark, in_row, monkeypatch):
-    monkeypatch.setattr(fingerprints, "IN_ROW", in_row)
+def test_one_line_texts_are_like_their_own_edit(spark):
     rnd = random.Random(8)
     words = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
     lines = [" ".join(words(6) + rnd.choice(".!?") for _ in range(40)), " ".join(words(5) + "." for _ in range(30)), words(400), words(500), "".join(chr(0x4E00 + rnd.randrange(5000)) for _ in range(3000)), "Two. Short ones here. And.", ""]

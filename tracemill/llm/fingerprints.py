@@ -1,203 +1,160 @@
 """Document fingerprints by invertible Bloom lookup sketches, in Spark expressions.
 
-A text is the set of its paragraphs' digests; a paragraph is a line that is not blank. A sketch is a row of cells in three parts; a digest goes into one cell of each part, and a
-cell holds the count, the exclusive or of its digests and that of their check sums. Subtracting two
-versions' sketches cancels what they share; peeling cells that hold one digest then recovers those that
-differ, and their numbers give the likeness: the shared digests over all.
-
-A document's fingerprint is its sketch of the smallest size, written out. Two versions are compared in
-blocks of digests, dealt by hash so that a block has a few; each block's sketches are subtracted and peeled,
-and where that fails they are made again twice as large, up to the largest of SIZES. (A block that even that
-cannot resolve has its digests compared as they are.) Texts with very many paragraphs have their digests
-dealt to blocks by a grouping instead of inside the row, so the work stays linear.
-
-near_edited and near_next are over paragraphs. Many texts have one line or few, so fine_edited and fine_next are
-the same over smaller pieces: lines are also cut after sentence marks, and what is longer than LONG then at places
-that the SPAN characters before them tell, so that equal passages are cut alike wherever they stand.
+A text is the set of its paragraphs' digests: lines, cut after sentence marks, and where a piece is longer than
+LONG, after words that their own hash tells, so that equal passages are cut alike wherever they stand; words
+longer than WORD are cut every WORD characters. A sketch is a row of cells in three parts; a digest goes into
+one cell of each part, and a cell holds the count, the exclusive or of its digests and that of their check
+sums. Subtracting two versions' sketches cancels what they share; peeling cells that hold one digest then
+recovers those that differ, and their numbers give the likeness: the shared digests over all.
+
+A document's fingerprint is its sketch, written out: the width of a part and its cells that are not empty. The
+width is twice the number of digests or more, and larger until no two digests share all their cells, so that a
+written sketch peels on its own, back to the digests (but for about one text in ten thousand, by knots of more
+digests). From two fingerprints alone, however different in size, both sketches can therefore be made again at a
+size of choice; that is what the likeness does, at a width by both numbers of digests. What does not peel is
+made again at larger widths, and what even the last does not resolve has its digests compared as they are.
+
+Cells are rows: the digests are dealt out by document and cell and added up, and each round of peeling is a
+grouping of the cells that are left, with the digests that cells of one part hold alone taken from all parts.
+The documents lie in a table in buckets of ranges, so all these groupings take place where the bucket is
+read, without a shuffle, and in time that follows the number of paragraphs, also for very long texts.
 
 Defined cases: a null text is empty; an empty text has no paragraph, and two such are alike (1.0); repeated
-paragraphs count once; repeated rows are rows of their own, each other's next; a null doc_id comes last; a
-single document is its own next; an empty table gives no rows; extra columns are not looked at.
+paragraphs count once; repeated rows are rows of their own, each other's next; a null doc_id comes last; of
+equal doc_ids the smaller text comes first; a single document is its own next; an empty table gives no rows;
+extra columns are not looked at.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import settle
+from .storage import BROADCAST_IDS, settle, shared_folder, small
 
 PARTS = 3
-#: Cells of a part: of the written fingerprint, and of the sketches that are tried.
-WRITTEN, SIZES, ROUNDS = 4, (5, 12, 30), 7
-#: Digests of one version in a block, on average.
-BLOCK = 4
-#: Digests of both versions up to which blocks are dealt inside the row.
-IN_ROW = 320
-#: Where texts are cut finely; characters from which a piece is cut again, at about every EVERY-th place, by SPAN of them.
-CUT, LONG, EVERY, SPAN = r"\n+|(?<=[.!?])\s+", 256, 64, 8
+#: Least cells of a part; cells of a part for each digest of two versions, as tried; rounds of peeling, one part each.
+LEAST, WIDTHS, ROUNDS = 16, (0.75, 3.0), 12
+#: Where texts are cut; characters from which a piece is cut again, after about every EVERY-th word.
+CUT, LONG, EVERY = r"\n+|(?<=[.!?])\s+|(?<=[\u3002\uff01\uff1f])\s*", 256, 8
+#: Characters of a word, of a long piece, after which it is cut.
+WORD = 64
 #: Documents of a range that one window goes through, on average, and ranges at most (they only get longer).
-RANGE_ROWS, RANGES = 2048, 10_000
-
-CELL = "struct<n:int,key:bigint,sum:bigint>"
-REST = f"struct<cells:array<{CELL}>,plus:int,minus:int>"
-
-
-def digests(text: Column) -> Column:
-    """The distinct digests of a text's paragraphs."""
-    parts = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
-    return F.array_distinct(F.transform(parts, lambda x: F.xxhash64(x)))
-
+RANGE_ROWS, RANGES = 1024, 10_000
+#: Documents of a bucket of the table, on average.
+BUCKET_ROWS = 1024
 
 def _parts(piece: Column) -> Column:
-    """A long piece, cut where the characters before say so."""
+    """A long piece, cut after words that their hash tells; longer words by length."""
 
-    def cut(chars: Column) -> Column:
-        size = F.size(chars)
-        before = lambda i: F.slice(chars, F.greatest(i - SPAN + 1, F.lit(1)), F.lit(SPAN))
-        ends = F.filter(F.sequence(F.lit(1), size), lambda i: (i == size) | (F.pmod(F.xxhash64(before(i)), F.lit(EVERY)) == 0))
+    def cut(words: Column) -> Column:
+        size = F.size(words)
+        told = lambda w: (F.pmod(F.xxhash64(w), F.lit(EVERY)) == 0) | (F.length(w) == WORD)
+        ends = F.filter(F.sequence(F.lit(1), size), lambda i: (i == size) | told(F.get(words, i - 1)))
         start = lambda e, k: F.when(k == 0, F.lit(0)).otherwise(F.get(e, k - 1))
-        return F.transform(
-            F.array(ends), lambda e: F.transform(e, lambda end, k: F.array_join(F.slice(chars, start(e, k) + 1, end - start(e, k)), ""))
-        )[0]
+        return F.transform(F.array(ends), lambda e: F.transform(e, lambda end, k: F.array_join(F.slice(words, start(e, k) + 1, end - start(e, k)), " ")))[0]
 
-    return F.transform(F.array(F.split(piece, "")), cut)[0]
+    words = F.regexp_extract_all(piece, F.lit(rf"(\S{{1,{WORD}}})"), F.lit(1))
+    return F.transform(F.array(words), cut)[0]
 
 
-def fine_digests(text: Column) -> Column:
-    """The distinct digests of a text's smaller pieces."""
+def pieces(text: Column) -> Column:
+    """A text's paragraphs."""
     parts = F.filter(F.transform(F.split(text, CUT), lambda x: F.trim(x)), lambda x: x != "")
-    pieces = F.flatten(F.transform(parts, lambda x: F.when(F.length(x) <= LONG, F.array(x)).otherwise(_parts(x))))
-    return F.array_distinct(F.transform(pieces, lambda x: F.xxhash64(x)))
+    cut = F.flatten(F.transform(parts, lambda x: F.when(F.length(x) <= LONG, F.array(x)).otherwise(_parts(x))))
+    return F.when(F.length(text) <= LONG, parts).otherwise(cut)
+
+
+def digests(text: Column) -> Column:
+    """The distinct digests of a text's paragraphs."""
+    return F.array_distinct(F.transform(pieces(text), lambda x: F.xxhash64(x)))
 
 
-def _place(digest: Column, part: int, width: int) -> Column:
+def _place(digest: Column, part: int, width: Column) -> Column:
     """The cell of a part that a digest goes into."""
-    return F.pmod(F.shiftrightunsigned(digest, 16 * part), F.lit(width)).cast("int") + part * width
+    return (F.pmod(F.shiftrightunsigned(digest, 16 * part), width) + part * width).cast("int")
 
 
 def _check(digest: Column) -> Column:
     return F.xxhash64(digest, F.lit(1))
 
 
-def cells(plus: Column, minus: Column, width: int) -> Column:
-    """The sketch of plus less that of minus."""
-
-    def cell(i: int, part: int) -> Column:
-        a = F.filter(plus, lambda d: _place(d, part, width) == i)
-        b = F.filter(minus, lambda d: _place(d, part, width) == i)
-        zero = F.struct(F.lit(0).cast("bigint").alias("key"), F.lit(0).cast("bigint").alias("sum"))
-
-        def add(s: Column, d: Column) -> Column:
-            return F.struct(s["key"].bitwiseXOR(d).alias("key"), s["sum"].bitwiseXOR(_check(d)).alias("sum"))
-
-        return F.transform(
-            F.transform(
-                F.array(F.struct(a.alias("a"), b.alias("b"))),
-                lambda f: F.struct((F.size(f["a"]) - F.size(f["b"])).alias("n"), F.aggregate(F.concat(f["a"], f["b"]), zero, add).alias("x")),
-            ),
-            lambda c: F.struct(c["n"].alias("n"), c["x"]["key"].alias("key"), c["x"]["sum"].alias("sum")),
+def _power(least: Column) -> Column:
+    """The power of two from there on."""
+    return F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(least, F.lit(float(LEAST)))))).cast("bigint")
+
+
+def written_width(own: Column) -> Column:
+    """The width of a written sketch."""
+    base = _power(F.size(own) * 2.0)
+    told = F.lit(None).cast("bigint")
+    for factor in (64, 16, 4, 1):
+        code = lambda d, w=factor: (_place(d, 0, base * w) + (_place(d, 1, base * w) + _place(d, 2, base * w) * base * w * 3) * base * w * 3)
+        distinct = F.size(F.array_distinct(F.transform(own, lambda d: code(d)))) == F.size(own)
+        told = F.when(distinct, base * factor).otherwise(told if factor < 64 else base * 256)
+    return told
+
+
+KEYS = ["range", "row", "what"]
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """rows (KEYS, width, sign, d) as cells: what each cell of each sketch counts and adds up."""
+    places = F.array(*[_place(F.col("d"), p, F.col("width")) for p in range(PARTS)])
+    dealt = rows.select(*KEYS, "width", "sign", "d", _check(F.col("d")).alias("c"), F.explode(places).alias("cell"))
+    return dealt.groupBy(*KEYS, "width", "cell").agg(F.sum("sign").alias("n"), F.bit_xor("d").alias("key"), F.bit_xor("c").alias("sum"))
+
+
+def _peeled(cells: DataFrame) -> DataFrame:
+    """Per sketch: plus and minus (digests found with either sign) and left (cells that are not resolved)."""
+    zero = F.lit(0).cast("bigint")
+    now = cells.filter("n <> 0 or key <> 0 or sum <> 0").withColumn("plus", zero).withColumn("minus", zero)
+    cell = lambda at, n, key, sum, plus, minus: F.struct(at.alias("cell"), n.alias("n"), key.alias("key"), sum.alias("sum"), plus.alias("plus"), minus.alias("minus"))
+    for k in range(ROUNDS):
+        n, key, at, width = F.col("n"), F.col("key"), F.col("cell"), F.col("width")
+        alone = (at >= (k % PARTS) * width) & (at < (k % PARTS + 1) * width) & (F.abs(n) == 1) & (F.col("sum") == _check(key))
+        itself = cell(at, n, key, F.col("sum"), F.col("plus"), F.col("minus"))
+        # A digest has one cell in the part, so it is taken once; the count goes to a cell of its own.
+        away = [cell(_place(key, p, width), -n, key, F.col("sum"), zero, zero) for p in range(PARTS)]
+        found = cell(F.lit(-1), zero, zero, zero, (n == 1).cast("bigint"), (n == -1).cast("bigint"))
+        after = now.select(*KEYS, "width", F.explode(F.when(alone, F.array(itself, *away, found)).otherwise(F.array(itself))).alias("x")).select(*KEYS, "width", "x.*")
+        now = (
+            after.groupBy(*KEYS, "width", "cell")
+            .agg(F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("sum").alias("sum"), F.sum("plus").alias("plus"), F.sum("minus").alias("minus"))
+            .filter("cell < 0 or n <> 0 or key <> 0 or sum <> 0")
         )
-
-    # One lambda for each part: the index runs over its cells.
-    def part_of(p: int) -> Column:
-        return F.flatten(F.transform(F.sequence(F.lit(p * width), F.lit((p + 1) * width - 1)), lambda i: cell(i, p)))
-
-    return F.concat(*[part_of(p) for p in range(PARTS)]).cast(f"array<{CELL}>")
-
-
-def peel(sketch: Column, width: int) -> Column:
-    """struct(cells, plus, minus): what stays unresolved, and how many digests each side has alone."""
-
-    def one(state: Column) -> Column:
-        pure = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["sum"] == _check(c["key"])))
-        found = F.array_distinct(F.transform(pure, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
-
-        def less(c: Column, i: Column, r: Column) -> Column:
-            here = (_place(r["key"], 0, width) == i) | (_place(r["key"], 1, width) == i) | (_place(r["key"], 2, width) == i)
-            return F.when(
-                here,
-                F.struct((c["n"] - r["n"]).alias("n"), c["key"].bitwiseXOR(r["key"]).alias("key"), c["sum"].bitwiseXOR(_check(r["key"])).alias("sum")).cast(CELL),
-            ).otherwise(c)
-
-        def after(f: Column) -> Column:
-            rest = F.transform(state["cells"], lambda c, i: F.aggregate(f, c, lambda acc, r: less(acc, i, r)))
-            return F.struct(
-                rest.alias("cells"),
-                (state["plus"] + F.size(F.filter(f, lambda r: r["n"] == 1))).alias("plus"),
-                (state["minus"] + F.size(F.filter(f, lambda r: r["n"] == -1))).alias("minus"),
-            ).cast(REST)
-
-        return F.transform(F.array(found), lambda f: F.when(F.size(f) == 0, state).otherwise(after(f)))[0]
-
-    start = F.struct(sketch.alias("cells"), F.lit(0).alias("plus"), F.lit(0).alias("minus")).cast(REST)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, lambda s, _: one(s))
-
-
-COUNTS = "struct<plus:int,minus:int,tries:int>"
-
-
-def differences(a: Column, b: Column, sizes: tuple[int, ...] = SIZES) -> Column:
-    """struct(plus, minus, tries): digests that only a has, that only b has, and sketches that it took."""
-
-    def attempt(k: int) -> Column:
-        if k == len(sizes):
-            return F.struct(
-                F.size(F.array_except(a, b)).alias("plus"), F.size(F.array_except(b, a)).alias("minus"), F.lit(k + 1).alias("tries")
-            ).cast(COUNTS)
-        peeled = peel(cells(a, b, sizes[k]), sizes[k])
-        whole = lambda r: F.forall(r["cells"], lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["sum"] == 0))
-        return F.transform(
-            F.array(peeled),
-            lambda r: F.when(
-                whole(r), F.struct(r["plus"].alias("plus"), r["minus"].alias("minus"), F.lit(k + 1).alias("tries")).cast(COUNTS)
-            ).otherwise(attempt(k + 1)),
-        )[0]
-
-    same = F.struct(F.lit(0).alias("plus"), F.lit(0).alias("minus"), F.lit(0).alias("tries")).cast(COUNTS)
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), same).otherwise(attempt(0))
-
-
-def _blocks(a: Column, b: Column) -> Column:
-    return F.greatest(F.lit(1), F.ceil(F.greatest(F.size(a), F.size(b)) / F.lit(BLOCK))).cast("int")
-
-
-def _block(digest: Column, blocks: Column) -> Column:
-    return F.pmod(F.xxhash64(digest, F.lit(2)), blocks).cast("int")
-
-
-def _few(digest: Column, blocks: Column) -> Column:
-    """As _block, for few blocks, from bits that no cell uses."""
-    return F.pmod(F.shiftrightunsigned(digest, 48), blocks.cast("bigint"))
-
-
-def _in_row(a: Column, b: Column) -> Column:
-    """The differences of two sets of digests, block by block inside the row."""
-    blocks = _blocks(a, b)
-    # Bound to a struct first: an expression that a lambda names twice is worked out twice.
-    dealt = F.transform(
-        F.sequence(F.lit(0), blocks - 1),
-        lambda g: F.struct(F.filter(a, lambda d: _few(d, blocks) == g).alias("a"), F.filter(b, lambda d: _few(d, blocks) == g).alias("b")),
-    )
-    each = F.transform(dealt, lambda s: differences(s["a"], s["b"]))
-    zero = F.struct(F.lit(0).alias("plus"), F.lit(0).alias("minus"), F.lit(0).alias("tries")).cast(COUNTS)
-
-    def add(s: Column, x: Column) -> Column:
-        return F.struct((s["plus"] + x["plus"]).alias("plus"), (s["minus"] + x["minus"]).alias("minus"), F.greatest(s["tries"], x["tries"]).alias("tries")).cast(COUNTS)
-
-    return F.aggregate(each, zero, add)
-
-
-def _likeness(size: Column, d: Column) -> Column:
-    total = size + d["minus"]
-    return F.when(total == 0, F.lit(1.0)).otherwise((size - d["plus"]) / total)
-
-
-def written(own: Column) -> Column:
-    """A sketch as text: count, digests and check sums of each cell, in hexadecimal."""
-    none = F.array().cast("array<bigint>")
-    hexed = F.transform(cells(own, none, WRITTEN), lambda c: F.concat_ws(".", F.hex(c["n"].cast("bigint")), F.hex(c["key"]), F.hex(c["sum"])))
-    return F.lower(F.concat_ws("-", hexed))
+    return now.groupBy(*KEYS).agg(F.sum("plus").alias("plus"), F.sum("minus").alias("minus"), F.count(F.when(F.col("cell") >= 0, 1)).alias("left"))
+
+
+def differences(pairs: DataFrame) -> DataFrame:
+    """pairs (KEYS, a, b: digests) -> per pair plus and minus: how many digests only a has and only b has. Pairs that agree
+    in all are left out."""
+    done = None
+    for k, factor in enumerate(WIDTHS):
+        width = _power((F.size("a") + F.size("b")) * F.lit(float(factor)))
+        sides = F.array(*[F.struct(F.lit(sign).alias("sign"), F.col(c).alias("d")) for sign, c in ((1, "a"), (-1, "b"))])
+        rows = pairs.select(*KEYS, width.alias("width"), F.explode(sides).alias("s")).select(*KEYS, "width", "s.sign", F.explode("s.d").alias("d"))
+        found = settle(_peeled(_dealt(rows)))
+        good = found.filter("left = 0").select(*KEYS, "plus", "minus")
+        done = good if done is None else done.unionByName(good)
+        failed = found.filter("left > 0").select(*KEYS)
+        if failed.isEmpty():
+            return done
+        failed = F.broadcast(failed) if small(failed, BROADCAST_IDS) else failed
+        pairs = settle(pairs.join(failed, KEYS, "left_semi"))
+    rest = pairs.select(*KEYS, F.size(F.array_except("a", "b")).cast("long").alias("plus"), F.size(F.array_except("b", "a")).cast("long").alias("minus"))
+    return done.unionByName(rest)
+
+
+def sketches(sets: DataFrame) -> DataFrame:
+    """sets (KEYS, width, own) -> per set that is not empty its sketch as text: the width, and of each cell that is not empty
+    its place, count, digest and check sum, in hexadecimal."""
+    cells = _dealt(sets.select(*KEYS, "width", F.lit(1).alias("sign"), F.explode("own").alias("d")))
+    text = F.concat_ws(".", F.hex(F.col("cell").cast("bigint")), F.hex("n"), F.hex("key"), F.hex("sum"))
+    listed = F.array_sort(F.collect_list(F.struct("cell", text.alias("t"))))
+    return cells.groupBy(*KEYS).agg(F.lower(F.concat_ws("-", F.hex(F.first("width")), F.transform(listed, lambda x: x["t"]))).alias("print"))
 
 
 def _rank(value: Column, bounds: list[int]) -> Column:
@@ -213,7 +170,8 @@ def _rank(value: Column, bounds: list[int]) -> Column:
 
 
 def with_next(documents: DataFrame) -> DataFrame:
-    """doc_id, text and next: the text of the next document in falling doc_id, after the last the first.
+    """doc_id, text and own (its digests), next and other: those of the next document in falling doc_id, after
+    the last the first.
 
     Documents are dealt to ranges of doc_id, so a text moves once; each range also gets the first document
     of the range below it.
@@ -238,66 +196,49 @@ def with_next(documents: DataFrame) -> DataFrame:
     copies = F.when(F.col("doc_id").eqNullSafe(F.get(tops, F.col("range"))), F.array(own, guest)).otherwise(F.array(own))
     order = Window.partitionBy("range").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
     return (
-        ranked.withColumn("to", F.explode(copies)).select("doc_id", "text", "to.range", "to.guest")
-        .withColumn("next", F.lead("text").over(order)).filter("not guest").select("doc_id", "text", "next")
+        ranked.withColumn("to", F.explode(copies)).select("doc_id", "text", digests(F.col("text")).alias("own"), "to.range", "to.guest")
+        .withColumn("next", F.lead("text").over(order)).withColumn("other", F.lead("own").over(order))
+        .filter("not guest").select("range", "doc_id", "text", "next", "own", "other")
     )
 
 
-#: The likenesses, each of two sets of digests.
-PAIRS = {"near_edited": ("own", "new"), "near_next": ("own", "other"), "fine_edited": ("fine_own", "fine_new"), "fine_next": ("fine_own", "fine_other")}
+#: The likenesses, each of two sets of digests, and the sets that are written.
+PAIRS = {"near_edited": ("own", "new"), "near_next": ("own", "other")}
+PRINTS = {"fingerprint": "own", "edited_fingerprint": "new"}
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
-    fine_edited, fine_next."""
+    """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    spark = documents.sparkSession
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), n - half), F.col("next").substr(F.lit(1), half))
-    sides = [f(F.col(text)).alias(kind + name) for kind, f in (("", digests), ("fine_", fine_digests)) for name, text in (("own", "text"), ("other", "next"))]
-    held = [side + name for side in ("", "fine_") for name in ("own", "other")]
-    told = settle(
+    whole = ["doc_id", "n_chars", "edited_sha256"]
+    told = (
         with_next(documents)
-        .select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), *sides)
-        .select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *held, digests(F.col("edited")).alias("new"), fine_digests(F.col("edited")).alias("fine_new"))
-        .select("*", written(F.col("own")).alias("fingerprint"), written(F.col("new")).alias("edited_fingerprint"), F.monotonically_increasing_id().alias("row"))
-    )
-    whole = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"]
-    long = F.greatest(*[F.size(a) + F.size(b) for a, b in PAIRS.values()]) > IN_ROW
-    pairs = F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in PAIRS.values()])
-    sizes = [F.size("own").alias("size"), F.size("fine_own").alias("fine_size")]
-    likeness = [_likeness(F.col("fine_size" if name.startswith("fine") else "size"), F.get("d", F.lit(p))).alias(name) for p, name in enumerate(PAIRS)]
-    short = (
-        told.filter(~long)
-        .select(*whole, *sizes, F.transform(pairs, lambda p: _in_row(p["a"], p["b"])).alias("d"))
-        .select(*whole, *likeness)
+        .select("range", "doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "own", "other")
+        .select("range", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "other", digests(F.col("edited")).alias("new"))
+        .select("*", F.monotonically_increasing_id().alias("row"))
     )
-    return short.unionByName(_long(told.filter(long), whole))
-
-
-def _long(told: DataFrame, whole: list[str]) -> DataFrame:
-    """As for the short ones, with the digests dealt to blocks by a grouping."""
-    rows = None
-    for pair, (own, other) in enumerate(PAIRS.values()):
-        for side in (own, other):
-            part = told.select(
-                "row", F.lit(pair).alias("pair"), _blocks(F.col(own), F.col(other)).alias("blocks"), F.lit(side == own).alias("mine"), F.explode_outer(side).alias("d")
-            )
-            rows = part if rows is None else rows.unionByName(part)
-    sides = (
-        rows.filter("d is not null").groupBy("row", "pair", _block(F.col("d"), F.col("blocks")).alias("block"))
-        .agg(F.collect_list(F.when(F.col("mine"), F.col("d"))).alias("a"), F.collect_list(F.when(~F.col("mine"), F.col("d"))).alias("b"))
+    # In buckets of ranges, of as many documents as a task groups at ease: groupings by range and row then shuffle nothing.
+    name = f"tracemill_{uuid.uuid4().hex}"
+    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-documents.count() // BUCKET_ROWS))
+    told.write.bucketBy(files, "range").option("path", f"{shared_folder(spark)}/table").saveAsTable(name, format="parquet")
+    told = spark.table(name)
+    pairs = F.array(*[F.struct(F.lit(k).alias("what"), F.col(a).alias("a"), F.col(b).alias("b")) for k, (a, b) in enumerate(PAIRS.values())])
+    found = differences(told.select("range", "row", F.explode(pairs).alias("p")).select("range", "row", "p.*"))
+    sets = F.array(*[F.struct(F.lit(k).alias("what"), F.col(c).alias("own")) for k, c in enumerate(PRINTS.values())])
+    sets = told.select("range", "row", F.explode(sets).alias("p")).select("range", "row", "p.*").withColumn("width", written_width(F.col("own")))
+    written = sketches(sets).groupBy("range", "row").agg(*[F.max(F.when(F.col("what") == k, F.col("print"))).alias(c) for k, c in enumerate(PRINTS)])
+    counts = found.groupBy("range", "row").agg(
+        *[F.coalesce(F.sum(F.when(F.col("what") == k, F.col(c))), F.lit(0)).alias(f"{c}{k}") for k in range(len(PAIRS)) for c in ("plus", "minus")]
     )
-    counted = sides.select("row", "pair", differences(F.col("a"), F.col("b")).alias("x")).groupBy("row").agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("pair") == p, F.col("x")[c])), F.lit(0)).cast("int").alias(f"{c}{p}")
-            for p in range(len(PAIRS))
-            for c in ("plus", "minus")
-        ]
-    )
-    joined = told.select("row", *whole, *[F.size(own).alias(f"size{p}") for p, (own, _) in enumerate(PAIRS.values())]).join(counted, "row", "left")
+    size = F.size("own")
     near = []
-    for p, name in enumerate(PAIRS):
-        size = F.col(f"size{p}")
-        plus, minus = (F.coalesce(F.col(f"{c}{p}"), F.lit(0)) for c in ("plus", "minus"))
+    for k, name in enumerate(PAIRS):
+        plus, minus = (F.coalesce(F.col(f"{c}{k}"), F.lit(0)) for c in ("plus", "minus"))
         near.append(F.when(size + minus == 0, F.lit(1.0)).otherwise((size - plus) / (size + minus)).alias(name))
-    return joined.select(*whole, *near)
+    return (
+        told.join(written, ["range", "row"], "left").join(counts, ["range", "row"], "left")
+        .select(*whole, *[F.coalesce(c, F.lit("0")).alias(c) for c in PRINTS], *near)
+    )
