@@ -56,8 +56,46 @@ def test_normaliser_takes_one_member_or_many(tmp_path):
 def test_blocks_are_labelled_on_held_out_pages():
     chain = html_text.learn(html_text.labelled_pages(150), epochs=6)
     test = html_text.labelled_pages(60, seed=1234)
-    good = sum(y == b.label for p in test for y, b in zip(chain.decode(html_text.page_features(p)), p))
-    assert good / sum(map(len, test)) > 0.98
+    assert accuracy(chain, test) > 0.98
+
+
+def accuracy(chain, pages):
+    return sum(y == b.label for p in pages for y, b in zip(chain.decode(html_text.page_features(p)), p)) / sum(map(len, pages))
+
+
+def test_wrappers_that_training_never_saw():
+    """Every wrapper of the held-out pages has a name that is in no training page; their structure and text are all there is."""
+    kept = lambda parts, k: tuple(x for i, x in enumerate(parts) if (i % 3 == 0) == k)
+    parts = (html_text._MAIN, html_text._OTHER, html_text._COMMENTS)
+    chain = html_text.learn(html_text.labelled_pages(200, 5, *[kept(p, False) for p in parts]), epochs=6)
+    assert accuracy(chain, html_text.labelled_pages(60, 77, *[kept(p, True) for p in parts])) > 0.8
+
+
+PAGES = [
+    ('<p>One</p><svg class="i"/><p>Two</p><p>Three</p>', "One Two Three"), ("<p>One<svg><text>no</text></svg> two</p><template><p>no</p><template>no</template>no</template><p>Three</p>", "One two Three"),
+    ("<p>One</p><iframe src=x><p>Two</p>", "One Two"), ("<p>One</p><iframe>no</iframe><p>Two</p>", "One Two"), ("<p>One</p><p><svg class=i></p><p>Two</p>", "One Two"), ("<title>no<p>One</p>", "no One"),
+    ("<p>One</p></span></div></svg><p>Two</p>", "One Two"), ("<p>One<noscript><p>no</p></noscript></p><p>Two</p>", "One Two"), ("<p>One</p><script>no<p>no", "One"), ("<ul><li>One<li>Two<ul><li>Three</ul><li>Four</ul>", "One Two Three Four"),
+    ("<table><tr><td>One<td>Two</table>", "One Two"), ("<p>One<svg><a>", "One"), ("a < b <3 c <p", "a < b <3 c"),
+]
+
+
+def test_nothing_else_is_dropped():
+    for html, text in PAGES:
+        assert " ".join(b.text for b in html_text.blocks(html)) == text, html
+
+
+def test_reading_is_linear_in_depth():
+    import time
+
+    for one in ("<div class='c{}'>t", "<p class=x><span>t", "<svg/><i>t", "</b><a><b>t", "<iframe>t", "<li>t<p>"):
+        took = []
+        for n in (5_000, 40_000):
+            html = "".join(one.format(i) for i in range(n))
+            began = time.process_time()
+            found = html_text.blocks(html)
+            took.append(time.process_time() - began)
+            assert sum(b.text.replace(" ", "").count("t") for b in found) == n
+        assert took[1] < 40 * took[0] + 1, one
 
 
 def test_main_text_only(spark):
@@ -70,6 +108,9 @@ def test_main_text_only(spark):
     got = {r.page_id: r for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[1].text == "A & B One two three. Four é End" and got[1].n_chars == len(got[1].text)
     assert got[2].text == got[3].text == got[None].text == "" and got[2].n_chars == 0
+    assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string, text string, n_chars int")).count() == 0
+    twice = spark.createDataFrame([(1, "u", rows[0][2], "x"), (1, "u", rows[0][2], "x")], "page_id long, url string, html string, text string")
+    assert [r.text for r in html_text.extract(twice).collect()] == [got[1].text] * 2
 
 
 def test_viterbi_finds_the_best_path():
