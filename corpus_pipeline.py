@@ -13,6 +13,7 @@ mix adds, the mix's is called mix_ and that name.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +27,17 @@ ADDED = ["size", "source_size", "target", "copies", "taken"]
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """docs with a number for each row, written, so that the numbers stay."""
-    return settle(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    """docs with a number for each row, the same whenever they are read: of a written table (as stages get it) by file and
+    place in it, which copies nothing; anything else is written first."""
+    spark = docs.sparkSession
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    except AnalysisException:
+        return settle(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    # As many rows as the table has files.
+    files = sorted(r["file_path"] for r in docs.select("_metadata.file_path").distinct().collect())
+    names = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _number long")
+    return placed.join(F.broadcast(names), "_file").withColumn(ROW, F.shiftleft("_number", 40).bitwiseOR(F.col("_place"))).select(*docs.columns, ROW)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
