@@ -44,7 +44,7 @@ from .suffixes import equal_classes
 LENGTH, GRAM = 50, 24
 SPAN = LENGTH - GRAM
 #: Bytes of text of a group, and contexts of a bucket, on average.
-GROUP_BYTES, BUCKET_CONTEXTS = 6 << 20, 500_000
+GROUP_BYTES, BUCKET_CONTEXTS = 4 << 20, 300_000
 #: Bytes of text of a file of the table of groups, on average.
 FILE_BYTES = 64 << 20
 #: Contexts of one anchor beyond which they are sent string by string.
