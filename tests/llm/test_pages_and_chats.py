@@ -25,6 +25,18 @@ def test_conversations_read_back(spark):
     assert chat.format_conversations(table.filter("false")).count() == 0
 
 
+def test_long_odd_and_repeated_conversations(spark):
+    rows = [(1, i, ("user", "assistant")[i % 3 > 0], f"t{i} é</s>" * (i % 4), "x") for i in range(3000)] + [(2, 1, "user", "b", "x"), (2, 1, "user", "a", "x"), (2, 1, "assistant", "c", "x"), (2, 1, "user", "b", "x"), (None, None, None, None, None)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string").repartition(3)
+    got = {r.conv_id: r for r in chat.digests(chat.read_back(chat.format_conversations(table))).collect()}
+    for conv in (1, 2, None):
+        own = sorted((r[1] or 0, r[2] or "", r[3] or "") for r in rows if r[0] == conv)
+        loss = "".join(t for _, role, t in own if role == "assistant")
+        said = "".join(f"{role}\n{t}\n" for _, role, t in own)
+        x = got[conv]
+        assert (x.n_turns, x.turns_sha256, x.loss_chars, x.loss_sha256) == (len(own), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
 def test_archives_round_trip(spark):
     pages = [(1, "http://a/ü?x y", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "u\r\nEvil: 1", None), (4, "u", ""), (5, "u", "x" * 300_000), (None, "u", "<p>é</p>"), (6, "u", "\r\n\r\nWARC/1.1\r\n")]
     table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)

@@ -2,6 +2,7 @@
 
 import pytest
 from oracle import connection, differences
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tracemill.llm import queries
@@ -48,3 +49,31 @@ def test_stages_take_null_and_repeated_ids(spark, sf_dir):
     assert any(r.doc_id is None for r in got)
     for r in got:
         assert sum(x[:5] == r[:5] for x in got) <= sum(x == tuple(r[:5]) for x in rows)
+
+
+def test_stages_take_an_empty_table_and_odd_columns(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40).withColumns({"size": F.lit("s"), "taken": F.lit(1), "row": F.lit(2), "x": F.lit(None).cast("double"), "grp": F.lit("g")})
+    rows = docs.unionByName(docs.filter("doc_id < 5").withColumn("doc_id", F.lit(None).cast("long")).withColumn("text", F.lit(None).cast("string")))
+    for name, table in (("some", rows), ("none", rows.filter("false"))):
+        table.write.parquet(str(tmp_path / name))
+        before = spark.read.parquet(str(tmp_path / name))
+        for k, (stage, f) in enumerate(corpus_pipeline.STAGES[1:]):
+            after = f(spark, before, sf_dir)
+            expected = before.columns + (["mix_size", "source_size", "target", "copies", "mix_taken"] if stage == "mixing" else [])
+            assert after.columns == expected
+            after.write.parquet(str(tmp_path / f"{name}{k}"))
+            found = spark.read.parquet(str(tmp_path / f"{name}{k}"))
+            if name == "none":
+                assert found.count() == 0
+            elif stage != "mixing":
+                # Null ids and null texts are no near copies, passages or leaks of anything.
+                assert found.filter("doc_id is null").count() == before.filter("doc_id is null").count() > 0
+                assert found.filter("size <> 's' or taken <> 1 or row <> 2 or grp <> 'g' or x is not null").isEmpty()
+            before = found
+
+
+def test_rows_are_numbered_alike_whenever_read(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    one = {r[0]: r[1] for r in corpus_pipeline.numbered(docs).select("doc_id", corpus_pipeline.ROW).collect()}
+    two = {r[0]: r[1] for r in corpus_pipeline.numbered(docs).select(corpus_pipeline.ROW, "text", "doc_id").repartition(3).select("doc_id", corpus_pipeline.ROW).collect()}
+    assert one == two and len(set(one.values())) == docs.count()

@@ -411,6 +411,34 @@ def test_licenses_are_scored_by_plain_tf_idf(spark):
         assert got[i].license == "MIT" and got[i].score == pytest.approx(score, abs=6e-4)
 
 
+def test_scores_are_those_of_a_plain_discriminant(spark):
+    """The densities written out with means, covariances, inverses and determinants of numpy."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(6)
+    rows = [(i, " ".join(rnd.choice(("A!", "bb", "the", "7,", "x|y", "Über", "z\n")) for _ in range(rnd.randint(0, 60))) + "?" * (i % 2 * rnd.randint(0, 9))) for i in range(200)] + [(5, "again"), (None, "none")]
+    marks = [(i, i % 2) for i in range(120)] + [(7, 1), (8, 1), (8, 0), (9, 5)]
+    x = quality.statistics(pa.array([r[1] for r in rows]))
+    y = {i: {q for j, q in marks if j == i and q in (0, 1)} for i, _ in marks}
+    learnt = {i: min(q) for i, q in y.items() if len(q) == 1 and __import__("zlib").crc32(str(i).encode()) % 3 != 1}
+    own = [np.array([v for v, r in zip(x, rows) if learnt.get(r[0]) == k]) for k in (0, 1)]
+    n = sum(map(len, own))
+    cov = [np.cov(o.T, bias=True) for o in own]
+    shared = sum(len(o) * c for o, c in zip(own, cov)) / n
+    shared = (1 - quality.DIAGONAL) * shared + quality.DIAGONAL * np.diag(np.diag(shared)) + 1e-6 * np.eye(len(shared))
+    density = []
+    for o, c in zip(own, cov):
+        w = max(quality.SHRINK, 1 - len(o) / (len(o) + quality.D))
+        s = (1 - w) * c + w * shared
+        d = x - o.mean(axis=0)
+        density.append(np.log(len(o) / n) - 0.5 * np.linalg.slogdet(s)[1] - 0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(s), d))
+    expected = 1 / (1 + np.exp(np.clip(density[0] - density[1], -700, 700)))
+    docs = spark.createDataFrame([(*r, "x", 1.0) for r in rows], "doc_id long, text string, quality string, score double")
+    got = quality.classify(docs, spark.createDataFrame(marks, "doc_id long, quality int")).collect()
+    assert sorted((r.doc_id or -1, round(r.score, 5)) for r in got) == sorted((r[0] or -1, round(float(e), 5)) for r, e in zip(rows, expected))
+
+
 def test_every_template_has_a_telling_word():
     for _, text in licenses.TEMPLATES + licenses.NOTICES + licenses.TEXTS:
         assert set(re.findall(licenses.TOKEN, text.lower())) & set(licenses.TELLING)
@@ -474,3 +502,9 @@ def test_repeated_rows_and_null_ids(spark):
     assert [r.component_id for r in neardup.near_duplicates(docs).orderBy(F.col("doc_id").asc_nulls_last()).collect()] == [1, 1, None, None]
     assert substrings.remove_repeats(docs).agg(F.sum("n_removed")).first()[0] == 0
     assert mixing.mix(docs).count() == 4 and fingerprints.fingerprints(docs).count() == 4
+    bench = spark.createDataFrame([(1, "C d e")], "item_id long, text string")
+    found = decontamination.decontaminate(docs, bench).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_hit) for r in found) == [(0, 0, 0), (0, 7, 3), (1, 7, 3), (1, 7, 3)]
+    scored = quality.classify(docs, spark.createDataFrame([(1, 1, 0), (1, 1, 0)], "doc_id long, quality int, toxic int")).collect()
+    assert len(scored) == 4 and {r.score for r in scored} == {1.0}
+    assert sorted((r.doc_id or 0, r.license) for r in licenses.scan(licenses.placed(docs), "doc_id").collect()) == [(0, None), (1, None)]

@@ -10,7 +10,9 @@ after its first character, so that no marker can appear inside a text and readin
 as it was.
 
 Defined cases: a null text or role is empty; a null conv_id is one conversation; repeated rows are turns
-of their own; a null turn number sorts first; an empty table gives no rows; other columns are not looked at.
+of their own; a null turn number sorts first, and equal ones by role, then text; a conversation is one row, with
+texts and turns of any number, and its spans take time by turns and their root; an empty table gives no rows;
+other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -70,9 +72,15 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
             F.concat(state["spans"], found.cast("array<struct<start:int,length:int>>")).alias("spans"),
         )
 
+    # Positions add up by chunks of the root of the number of turns, so no array of all spans is copied turn by turn.
     none = F.array().cast("array<struct<start:int,length:int>>")
-    spans = F.aggregate("pieces", F.struct(F.lit(1).alias("at"), none.alias("spans")), span)["spans"]
-    return pieces.select("conv_id", formatted.alias("formatted"), spans.alias("spans"))
+    step = F.ceil(F.sqrt(F.size("pieces"))).cast("int")
+    chunks = F.transform(F.sequence(F.lit(1), F.size("pieces"), step), lambda i: F.slice("pieces", i, step))
+    long = lambda c: F.aggregate(c, F.lit(0), lambda s, p: s + F.length(p["head"]) + F.length(p["body"]) + F.length(p["tail"]))
+    cut = pieces.select("conv_id", formatted.alias("formatted"), chunks.alias("chunks"), F.transform(chunks, long).alias("sizes"))
+    before = lambda i: F.aggregate(F.slice("sizes", 1, i), F.lit(1), lambda s, n: s + n)
+    spans = F.transform("chunks", lambda c, i: F.aggregate(c, F.struct(before(i).alias("at"), none.alias("spans")), span)["spans"])
+    return cut.select("conv_id", "formatted", F.flatten(spans).alias("spans"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
