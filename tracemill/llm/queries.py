@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import chat, decontamination, fingerprints, html_text, licenses, mixing, neardup, quality, substrings, warc
 from .sql import ORACLE_SQL  # noqa: F401
@@ -65,7 +66,20 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op1_mixing is not drawn: sizes and targets."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 4).alias("target"))
+
+
+def fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op3_fingerprints is no sketch: lengths and digests of the edited texts."""
+    return op3_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
 QUERIES = {
+    "mixing_targets": mixing_targets,
+    "fingerprint_edits": fingerprint_edits,
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
     "op3_fingerprints": op3_fingerprints,
@@ -77,5 +91,3 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_html": op10_html,
 }
-
-

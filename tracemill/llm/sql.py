@@ -47,5 +47,17 @@ NEARDUP = f"""with recursive w as (select doc_id, {_SPLIT} as w from documents),
 select w.doc_id, coalesce(n, 0) as n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) as component_id, w.doc_id <= coalesce(m, w.doc_id) as kept
 from w left join c on c.doc_id = w.doc_id left join least_of on least_of.id = w.doc_id"""
 
+# The level up to which sources share by weight is the largest that any number of full sources gives.
+TARGETS = r"""with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
+ s as (select source, sum(size) as words, (row_number() over (order by source nulls last) - 1) % 3 + 1 as w from d group by source),
+ p as (select sum(3.0 * words) over o as full_words, sum(w) over o as full_weight, (select sum(words) from s) as t, (select sum(w) from s) as all_weight from s window o as (order by 3.0 * words / w, source nulls last rows unbounded preceding)),
+ l as (select greatest(max(t / all_weight), coalesce(max((t - full_words) / (all_weight - full_weight)) filter (all_weight > full_weight), 0)) as level from p)
+select doc_id, size, words::bigint as source_size, round(least(3.0 * words, w * level), 4) as target from d join s on s.source is not distinct from d.source, l"""
+
+EDITED = """with t as (select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n from documents),
+ p as (select *, coalesce(lead(text) over (order by doc_id desc), first_value(text) over (order by doc_id desc)) as next from t)
+select doc_id, n as n_chars, sha256(substr(text, 1, n - n // 2) || substr(next, 1, n // 2)) as edited_sha256 from p"""
+
 # Not op4: over every 50-byte string it takes DuckDB over a minute at the smallest checked size.
-ORACLE_SQL = {"op2_warc": WARC, "op5_chat": CHAT, "op7_decontamination": DECONTAMINATION, "op8_neardup": NEARDUP}
+# Of op1 and op3 SQL tells a part each, which queries of their own return.
+ORACLE_SQL = {"mixing_targets": TARGETS, "fingerprint_edits": EDITED, "op2_warc": WARC, "op5_chat": CHAT, "op7_decontamination": DECONTAMINATION, "op8_neardup": NEARDUP}
