@@ -14,7 +14,7 @@ def test_samples_and_logs_leave_bad_rows_out(spark, tmp_path):
     (tmp_path / "logs").mkdir()
     (tmp_path / "logs" / "x.log").write_text("start\nwall time: 12.5 s\nreward=-0.5\nDONE ok\n")
     (tmp_path / "logs" / "y.log").write_text("nothing")
-    assert sorted(tuple(r) for r in exports.read_logs(spark, str(tmp_path / "logs")).collect()) == [("x.log", 12.5, -0.5, True), ("y.log", None, None, False)]
+    assert sorted((tuple(r) for r in exports.read_logs(spark, str(tmp_path / "logs")).collect()), key=str) == [("x.log", 12.5, -0.5, True), ("y.log", None, None, False)]
 
 
 def test_references_are_held_against_contents(spark):

@@ -107,7 +107,7 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """Text logs, one a file: wall time, reward and whether it is done."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     part = lambda p: F.regexp_extract("value", p, 1)
     return text.select(
         F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), part(r"wall[_ ]time[=:]\s*([0-9.]+)").try_cast("double").alias("wall_s"), part(r"reward[=:]\s*(-?[0-9.]+)").try_cast("double").alias("reward"),
