@@ -28,7 +28,7 @@ def test_references_are_held_against_contents(spark):
 def test_tool_calls_in_texts(spark):
     texts = [
         ('<tool_call>{"name":"ls","arguments":{"a":1}}</tool_call>', [("ls", '{"a":1}')]), ('x {"name":"ls","arguments":{"a":"}"}} y', [("ls", '{"a":"}"}')]), ('{"name":"ls","arguments":{}}', []), ('{"name":"ls"}', []),
-        ('{"name":"no","arguments":{"a":1}}', []), ('{"name":"ls","arguments":[1]}', []), ("{" * 50 + '{"name":"ls","arguments":{"é":2}}', [("ls", '{"é":2}')]), ('<tool_call>{"name":"ls","arguments":{"a":1}', [("ls", '{"a":1}')]), (None, []),
+        ('{"name":"no","arguments":{"a":1}}', []), ('{"name":"ls","arguments":[1]}', []), ("{" * 50 + '{"name":"ls","arguments":{"é":2}}', [("ls", '{"é":2}')]), ('<tool_call>{"name":"ls","arguments":{"a":1}}', [("ls", '{"a":1}')]), (None, []),
     ]
     rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "i int, t string")
     got = {r.i: [tuple(x) for x in r.c] for r in rows.select("i", calls.tool_calls(F.col("t"), ("ls",)).alias("c")).collect()}
