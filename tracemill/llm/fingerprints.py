@@ -37,6 +37,8 @@ from .storage import BROADCAST_IDS, settle, shared_folder, small
 PARTS = 3
 #: Least cells of a part; cells of a part for each digest of two versions, as tried; rounds of peeling, one part each.
 LEAST, WIDTHS, ROUNDS = 16, (0.75, 3.0), 12
+#: Digests of a cell that are looked for beside each other.
+NEAR = 6
 #: Where texts are cut; characters from which a piece is cut again, after about every EVERY-th word.
 CUT, LONG, EVERY = r"\n+|(?<=[.!?])\s+|(?<=[\u3002\uff01\uff1f])\s*", 256, 8
 #: Characters of a word, of a long piece, after which it is cut.
@@ -148,13 +150,27 @@ def differences(pairs: DataFrame) -> DataFrame:
     return done.unionByName(rest)
 
 
-def sketches(sets: DataFrame) -> DataFrame:
-    """sets (KEYS, width, own) -> per set that is not empty its sketch as text: the width, and of each cell that is not empty
-    its place, count, digest and check sum, in hexadecimal."""
-    cells = _dealt(sets.select(*KEYS, "width", F.lit(1).alias("sign"), F.explode("own").alias("d")))
-    text = F.concat_ws(".", F.hex(F.col("cell").cast("bigint")), F.hex("n"), F.hex("key"), F.hex("sum"))
-    listed = F.array_sort(F.collect_list(F.struct("cell", text.alias("t"))))
-    return cells.groupBy(*KEYS).agg(F.lower(F.concat_ws("-", F.hex(F.first("width")), F.transform(listed, lambda x: x["t"]))).alias("print"))
+def written(own: Column) -> Column:
+    """The sketch of a set of digests as text: the width, and of each cell that is not empty its place, count, digest and
+    check sum, in hexadecimal. Each cell's digests lie side by side once all are sorted by place."""
+    width = written_width(own)
+
+    def entries_of(p: int, w: Column) -> Column:
+        return F.transform(own, lambda d: F.struct(_place(d, p, w).alias("at"), d.alias("d"), _check(d).alias("c")))
+
+    def cell(entries: Column, e: Column, i: Column) -> Column:
+        here = lambda x: x["at"] == e["at"]
+        # More than NEAR in one cell are next to none, but then all are looked through.
+        same = F.when(F.coalesce(F.get(entries, i + NEAR)["at"] == e["at"], F.lit(False)), F.filter(entries, here)).otherwise(F.filter(F.slice(entries, i + 1, F.lit(NEAR)), here))
+        xor = lambda held, c: F.aggregate(held, F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(x[c]))
+        said = lambda held: F.concat_ws(".", F.hex(e["at"].cast("bigint")), F.hex(F.size(held).cast("bigint")), F.hex(xor(held, "d")), F.hex(xor(held, "c")))
+        return F.when(F.coalesce(F.get(entries, i - 1)["at"] == e["at"], F.lit(False)), F.lit(None)).otherwise(F.transform(F.array(same), said)[0])
+
+    def text(w: Column) -> Column:
+        entries = F.array_sort(F.flatten(F.array(*[entries_of(p, w) for p in range(PARTS)])))
+        return F.transform(F.array(entries), lambda x: F.lower(F.concat_ws("-", F.hex(w), F.transform(x, lambda e, i: cell(x, e, i)))))[0]
+
+    return F.when(F.size(own) == 0, F.lit("0")).otherwise(F.transform(F.array(width), text)[0])
 
 
 def _rank(value: Column, bounds: list[int]) -> Column:
@@ -227,9 +243,6 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     told = spark.table(name)
     pairs = F.array(*[F.struct(F.lit(k).alias("what"), F.col(a).alias("a"), F.col(b).alias("b")) for k, (a, b) in enumerate(PAIRS.values())])
     found = differences(told.select("range", "row", F.explode(pairs).alias("p")).select("range", "row", "p.*"))
-    sets = F.array(*[F.struct(F.lit(k).alias("what"), F.col(c).alias("own")) for k, c in enumerate(PRINTS.values())])
-    sets = told.select("range", "row", F.explode(sets).alias("p")).select("range", "row", "p.*").withColumn("width", written_width(F.col("own")))
-    written = sketches(sets).groupBy("range", "row").agg(*[F.max(F.when(F.col("what") == k, F.col("print"))).alias(c) for k, c in enumerate(PRINTS)])
     counts = found.groupBy("range", "row").agg(
         *[F.coalesce(F.sum(F.when(F.col("what") == k, F.col(c))), F.lit(0)).alias(f"{c}{k}") for k in range(len(PAIRS)) for c in ("plus", "minus")]
     )
@@ -239,6 +252,6 @@ def fingerprints(documents: DataFrame) -> DataFrame:
         plus, minus = (F.coalesce(F.col(f"{c}{k}"), F.lit(0)) for c in ("plus", "minus"))
         near.append(F.when(size + minus == 0, F.lit(1.0)).otherwise((size - plus) / (size + minus)).alias(name))
     return (
-        told.join(written, ["range", "row"], "left").join(counts, ["range", "row"], "left")
-        .select(*whole, *[F.coalesce(c, F.lit("0")).alias(c) for c in PRINTS], *near)
+        told.join(counts, ["range", "row"], "left").select(*whole, *near, F.transform(F.array(*PRINTS.values()), written).alias("prints"))
+        .select(*whole, *[F.get("prints", F.lit(k)).alias(c) for k, c in enumerate(PRINTS)], *PAIRS)
     )
