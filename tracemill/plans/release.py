@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calls
@@ -32,7 +32,7 @@ def dataset_compile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def policy_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size")
 
-    def policy(other: bool) -> F.Column:
+    def policy(other: bool) -> Column:
         changed = {"adapter_revision": F.when(size % 9 > 0, F.lit("a")), "policy_generation": F.when(size % 5 > 0, F.lit("g"))}
         numbers = {"temperature": F.when(size % 7 > 0, F.lit(0.7)), "top_p": F.lit(0.9)}
         if other:  # less than the tolerance, more, or another name

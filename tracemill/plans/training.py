@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import canonical, paths
@@ -17,11 +17,15 @@ _COMMANDS = ("cd /ws/repo/src && make {}", "ls /ws/repo", "cat /etc/hosts {}", "
 _TOOLS = ("read", "grep", "bash", "teleport", "finish", "ls")
 
 
-def _cases(values: tuple[str, ...], by: str) -> tuple[str, F.Column]:
-    """One of the values by a number, with doc_id put in: as SQL and as a column."""
-    sql = f"replace([{', '.join(repr(v) for v in values)}][(({by}) % {len(values)})::int + 1], '{{}}', doc_id::varchar)"
-    column = F.replace(F.element_at(F.array(*[F.lit(v) for v in values]), (F.expr(by) % len(values)).cast("int") + 1), F.lit("{}"), F.col("doc_id").cast("string"))
-    return sql, column
+def _cases(values: tuple[str, ...]) -> str:
+    """One of the values by doc_id, with it put in: as SQL."""
+    return f"replace([{', '.join(repr(v) for v in values)}][(doc_id % {len(values)})::int + 1], '{{}}', doc_id::varchar)"
+
+
+def _case(values: tuple[str, ...]) -> Column:
+    """The same as a column."""
+    one = F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("doc_id") % len(values)).cast("int") + 1)
+    return F.replace(one, F.lit("{}"), F.col("doc_id").cast("string"))
 
 
 _NORMAL = """(case when p like '/%' then '/' else '' end) || list_reduce(list_prepend('', list_filter(string_split(p, '/'), lambda x: x not in ('', '.'))), lambda a, x: case when x = '..' then
@@ -30,9 +34,9 @@ _NORMAL = """(case when p like '/%' then '/' else '' end) || list_reduce(list_pr
 
 @query(f"""select doc_id, case when p like '~%' then p when p not like '/%' then c when c = '{_ROOT}' then '.' when starts_with(c, '{_ROOT}/') then substr(c, {len(_ROOT) + 2}) else p end as path,
  p like '~%' or (p like '/%' and c <> '{_ROOT}' and not starts_with(c, '{_ROOT}/')) as lossy from (select doc_id, p, case when n = '' then '.' else n end as c from (
- select doc_id, p, {_NORMAL} as n from (select doc_id, {_cases(_PATHS, 'doc_id')[0]} as p from documents)))""")
+ select doc_id, p, {_NORMAL} as n from (select doc_id, {_cases(_PATHS)} as p from documents)))""")
 def path_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.read(spark, sf_dir, "documents").select("doc_id", _cases(_PATHS, "doc_id")[1].alias("p"))
+    docs = tables.read(spark, sf_dir, "documents").select("doc_id", _case(_PATHS).alias("p"))
     return docs.select("doc_id", paths.relative(F.col("p"), _ROOT).alias("r")).select("doc_id", "r.path", "r.lossy")
 
 
@@ -41,18 +45,18 @@ _WORDS = r"list_filter(regexp_split_to_array(translate(p, '=' || chr(10), '  '),
 
 @query(f"""select doc_id, case when contains(p, '{_ROOT}') then '$WORKSPACE' || substr(p, instr(p, '{_ROOT}') + {len(_ROOT)}) else p end as command,
  len(list_filter({_WORDS}, lambda w: case when contains(p, '{_ROOT}') then not starts_with(w, '{_ROOT}') else not starts_with(w, '/dev/') end)) > 0 as lossy
- from (select doc_id, {_cases(_COMMANDS, 'doc_id')[0]} as p from documents)""")
+ from (select doc_id, {_cases(_COMMANDS)} as p from documents)""")
 def command_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.read(spark, sf_dir, "documents").select("doc_id", _cases(_COMMANDS, "doc_id")[1].alias("p"))
+    docs = tables.read(spark, sf_dir, "documents").select("doc_id", _case(_COMMANDS).alias("p"))
     return docs.select("doc_id", paths.command(F.col("p"), _ROOT).alias("r")).select("doc_id", "r.command", "r.lossy")
 
 
 _NAMED = ", ".join(f"('{k}', '{v}')" for k, v in paths.TOOLS.items())
 
 
-@query(f"""select coalesce(c, 'UNKNOWN') as tool, count(*) as n from (select {_cases(_TOOLS, 'doc_id')[0]} as t from documents) left join (values {_NAMED}) m(s, c) on s = t group by 1""")
+@query(f"""select coalesce(c, 'UNKNOWN') as tool, count(*) as n from (select {_cases(_TOOLS)} as t from documents) left join (values {_NAMED}) m(s, c) on s = t group by 1""")
 def tool_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.read(spark, sf_dir, "documents").select(_cases(_TOOLS, "doc_id")[1].alias("t"))
+    docs = tables.read(spark, sf_dir, "documents").select(_case(_TOOLS).alias("t"))
     return docs.groupBy(F.coalesce(paths.tool(F.col("t")), F.lit("UNKNOWN")).alias("tool")).agg(F.count("*").alias("n"))
 
 
@@ -129,7 +133,7 @@ def sequence_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""select o_orderkey as episode, stored, rebuilt, case when d < least(stored, rebuilt) then d end as first_difference, stored = rebuilt and not d < stored as equal from (
  select o_orderkey, 3 + o_custkey % 5 as stored, 3 + o_orderkey % 5 as rebuilt, o_custkey % 9 as d from orders)""")
 def sequence_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def tokens(n: F.Column, changed: F.Column | None = None) -> F.Column:
+    def tokens(n: Column, changed: Column | None = None) -> Column:
         return F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: i if changed is None else F.when(i == changed, -1).otherwise(i))
 
     orders = tables.read(spark, sf_dir, "orders").select(
