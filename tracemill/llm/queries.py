@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, fingerprints, html_text, licenses, mixing, neardup, quality, substrings, warc
+from . import chat, decontamination, divergence, fingerprints, host_rules, html_text, licenses, mixing, neardup, quality, runs, substrings, warc
 from .sql import ORACLE_SQL  # noqa: F401
 
 
@@ -66,6 +66,22 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by rules of their own and by those of their source."""
+    found = host_rules.judge(table(spark, sf_dir, "documents"), "source")
+    return found.drop("n_lines").withColumn("host_rate", F.round("host_rate", 6))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source of every language against the others, and its most telling terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of words of all documents."""
+    return runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
 def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of op1_mixing is not drawn: sizes and targets."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -90,4 +106,7 @@ QUERIES = {
     "op8_neardup": op8_neardup,
     "op9_licenses": op9_licenses,
     "op10_html": op10_html,
+    "op11_host_rules": op11_host_rules,
+    "op12_divergence": op12_divergence,
+    "op13_runs": op13_runs,
 }

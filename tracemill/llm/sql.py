@@ -58,6 +58,59 @@ EDITED = """with t as (select doc_id, coalesce(text, '') as text, length(coalesc
  p as (select *, coalesce(lead(text) over (order by doc_id desc), first_value(text) over (order by doc_id desc)) as next from t)
 select doc_id, n as n_chars, sha256(substr(text, 1, n - n // 2) || substr(next, 1, n // 2)) as edited_sha256 from p"""
 
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+# A host's rate of failures under a rule is shrunk by a beta prior from moments of all hosts.
+HOST_RULES = rf"""with t as (select row_number() over () as r, doc_id, source as host, coalesce(text, '') as text from documents),
+ w as (select *, regexp_extract_all(text, {_WORD}) as w, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, {_WORD})) as l from t),
+ g as (select r, i, array_to_string(w[i : i + 7], ' ') as g from (select r, w, unnest(range(1, len(w) - 6)) as i from w)),
+ twice as (select r, g from g group by r, g having count(*) > 1),
+ again as (select r, count(distinct p) as n from (select g.r, unnest(range(i, i + 8)) as p from g join twice on g.r = twice.r and g.g = twice.g) group by r),
+ d as (select doc_id, host, len(w) as n_words, length(array_to_string(w, '')) as word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+  len(l) as n_lines, len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(n, 0) as n_repeat_words from w left join again on w.r = again.r),
+ f as (select *, n_words < 20 as short, 100 * n_repeat_words > 30 * n_words as repeats, 10 * n_symbols > n_words as symbols, 100 * n_dup_lines > 30 * n_lines as lines,
+  word_chars < 2 * n_words or word_chars > 12 * n_words as word_length from d),
+ h as (select host, count(*) as n, unnest(['short', 'repeats', 'symbols', 'lines', 'word_length']) as rule,
+  unnest([sum(short::int), sum(repeats::int), sum(symbols::int), sum(lines::int), sum(word_length::int)])::double as k from f group by host),
+ m as (select rule, count(*) - 1.0 as df, sum(n)::double as nn, sum(k) / sum(n) as mean, sum(k * k / n) - sum(n) * (sum(k) / sum(n)) * (sum(k) / sum(n)) as b, sum(n) - sum(n::double * n) / sum(n) as weight from h group by rule),
+ p as (select rule, mean, greatest(least(coalesce((b - mean * (1 - mean) * df) / nullif(mean * (1 - mean) * (weight - df), 0), 1 / (1 + nn)), 1), 1 / (1 + nn)) as share from m),
+ rates as (select host, max((k + mean * (1 - share) / share) / (n + (1 - share) / share)) as rate from h join p on h.rule = p.rule group by host)
+select doc_id, f.host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short or repeats as base_failed, round(rate, 6) as host_rate, not (short or repeats) and rate <= 0.5 as kept
+from f join rates on f.host is not distinct from rates.host"""
+
+DIVERGENCE = r"""with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+ w as (select lang, source, r, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+ kept as (select lang, term, count(*) as c from w group by all having count(distinct r) >= 3),
+ g as (select distinct lang, source from d),
+ n as (select w.lang, w.source, w.term, count(*) as c from w join kept k on w.lang = k.lang and w.term = k.term group by all),
+ v as (select lang, count(*) as v, sum(c) as n from kept group by lang),
+ total as (select g.lang, g.source, coalesce(sum(c), 0) as n from g left join n on g.lang = n.lang and g.source = n.source group by all),
+ p as (select t.lang, t.source, k.term, coalesce(n.c, 0) as c, 1 + 1000000000::hugeint * (coalesce(n.c, 0) + 1) // (t.n + v.v) as p, 1 + 1000000000::hugeint * (k.c + 1) // (v.n + v.v) as q
+  from total t join kept k on t.lang = k.lang join v on v.lang = t.lang left join n on n.lang = t.lang and n.source = t.source and n.term = k.term),
+ pair as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0)::bigint as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source left join p x on x.lang = a.lang and x.source = a.source left join p y on y.lang = b.lang and y.source = b.source and y.term = x.term group by all),
+ term as (select lang, source, 'term' as part, term as item, ((p - q) * (p - q) // q)::bigint as value from p where c > 0 and p > q)
+select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from (select * from pair union all select * from term)
+qualify part = 'pair' or rank <= 200"""
+
+# crc32 bit by bit; runs are islands of words that are equal q apart, each with its smallest q.
+RUNS = rf"""with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) as w,
+  xor(list_reduce([4294967295]::bigint[] || [ascii(c)::bigint for c in string_split(doc_id::varchar, '')],
+   lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::bigint[], lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) as h from documents),
+ a as (select *, len(w) as n, h % 10 = 0 and len(w) > 0 as plant, (h // 10) % greatest(len(w), 1) as a, 3 + (h // 10) % 8 as k from d),
+ b as (select r, doc_id, n, case when plant then [w[1 + case when i < a then i else a + (i - a) % (1 + (n - a) // k) end] for i in range(n)] else w end as w from a),
+ t as (select r, n, unnest(w) as x, unnest(range(n)) as i from b),
+ e as (select s.r, s.i, u.i - s.i as q, s.n from t s join t u on s.r = u.r and s.x = u.x and u.i > s.i and 3 * (u.i - s.i) <= s.n),
+ l as (select r, q, min(i) as s, count(*) + q as len from (select *, i - row_number() over (partition by r, q order by i) as island from e) group by r, q, island having count(*) + q >= greatest(24, 3 * q)),
+ m as (select r, s, len, min(q) as q from l group by r, s, len),
+ top as (select * from m qualify row_number() over (partition by r order by len::double / q desc, s, q) = 1),
+ told as (select r, count(*) as n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' order by s, q) as told from m group by r),
+ gone as (select distinct r, unnest(range(s + q, s + len)) as i from m),
+ left_over as (select t.r, string_agg(x, ' ' order by t.i) as kept from t anti join gone on t.r = gone.r and t.i = gone.i group by t.r)
+select b.doc_id, b.n as n_words, coalesce(n_runs, 0) as n_runs, s as start, len as length, q as period, 1000 * len // q as exponent_milli, sha256(coalesce(told, '')) as runs_sha256, sha256(coalesce(kept, '')) as collapsed_sha256
+from b left join top on b.r = top.r left join told on b.r = told.r left join left_over on b.r = left_over.r"""
+
 # Not op4: over every 50-byte string it takes DuckDB over a minute at the smallest checked size.
 # Of op1 and op3 SQL tells a part each, which queries of their own return.
-ORACLE_SQL = {"mixing_targets": TARGETS, "fingerprint_edits": EDITED, "op2_warc": WARC, "op5_chat": CHAT, "op7_decontamination": DECONTAMINATION, "op8_neardup": NEARDUP}
+ORACLE_SQL = {"mixing_targets": TARGETS, "fingerprint_edits": EDITED, "op2_warc": WARC, "op5_chat": CHAT, "op7_decontamination": DECONTAMINATION, "op8_neardup": NEARDUP, "op11_host_rules": HOST_RULES, "op12_divergence": DIVERGENCE, "op13_runs": RUNS}
