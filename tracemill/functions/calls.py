@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import canonical
+
 #: How a call is tagged.
 BLOCK = re.compile(r"<tool_call>(.*?)</tool_call>", re.S)
 _DECODER = json.JSONDecoder()
@@ -21,13 +23,13 @@ def _objects(text: str) -> Iterator[dict]:
     for block in tagged:
         try:
             yield json.loads(block[1])
-        except ValueError:
+        except (ValueError, RecursionError):
             continue
     bare = iter(m.start() for m in re.finditer(r"\{", BLOCK.sub(lambda m: " " * len(m[0]), text)))
     for start in bare:
         try:
             yield _DECODER.raw_decode(text, start)[0]
-        except ValueError:
+        except (ValueError, RecursionError):
             continue
 
 
@@ -41,7 +43,7 @@ def tool_calls(text: Column, allowed: tuple[str, ...]) -> Column:
             calls = []
             for x in _objects(said or ""):
                 if isinstance(x, dict) and x.get("name") in allowed and isinstance(x.get("arguments", {}), dict) and x.get("arguments"):
-                    calls.append((x["name"], json.dumps(x["arguments"], ensure_ascii=False, separators=(",", ":"))))
+                    calls.append((x["name"], canonical.whole(json.dumps(x["arguments"], ensure_ascii=False, separators=(",", ":")))))
             return calls
 
         return texts.map(one)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,10 +20,24 @@ WORKSPACE = "$WORKSPACE"
 REDACTED = "[REDACTED]"
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
+def whole(text: str) -> str:
+    """JSON text with halves of surrogate pairs, which no UTF-8 has, escaped."""
+    return _LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
+def dumped(value: object) -> str:
+    """Sorted keys, no blanks."""
+    return whole(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
+
+
 def _canonical(text: str | None) -> str | None:
+    # Nesting beyond what the reader takes counts as no JSON.
     try:
-        return None if text is None else json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
-    except ValueError:
+        return None if text is None else dumped(json.loads(text))
+    except (ValueError, RecursionError):
         return None
 
 
@@ -47,7 +62,7 @@ def _redacted(text: str) -> str:
                 held[key] = REDACTED
             elif isinstance(held[key], (dict, list)):
                 open_.append(held[key])
-    return json.dumps(top[0], sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return dumped(top[0])
 
 
 @F.pandas_udf(T.StringType())
@@ -57,7 +72,7 @@ def redacted_json(texts: pd.Series) -> pd.Series:
     def one(text: str | None) -> str | None:
         try:
             return None if text is None else _redacted(text)
-        except ValueError:
+        except (ValueError, RecursionError):
             return None
 
     return texts.map(one)
