@@ -34,7 +34,7 @@ from .storage import settle, small
 #: Documents of a language that a kept term is in, at least; ranks of terms that are returned.
 MOST_RARE, RANKS = 3, 200
 #: Terms that a task counts before it hands them on; counts in a slice of vectors; sources in a block; cells of one numpy step.
-TERMS, SLICE, BLOCK, CELLS = 1 << 18, 1 << 20, 64, 1 << 20
+TERMS, SLICE, BLOCK, CELLS = 1 << 18, 1 << 15, 64, 1 << 20
 #: Rows up to which the groups of languages and sources are broadcast; beyond, joins shuffle.
 BROADCAST_GROUPS = 100_000
 
