@@ -125,6 +125,28 @@ def test_main_text_only(spark):
     assert [r.text for r in html_text.extract(twice).collect()] == [got[1].text] * 2
 
 
+NAMES = "ad ads advert sponsored promo banner sidebar notice cookie-notice newsletter related share".split()
+
+
+def test_other_parts_within_an_article():
+    chain = html_text.learn(html_text.labelled_pages(within=html_text.WITHIN))
+
+    def read(html):
+        page = html_text.blocks(html)
+        return " ".join(b.text for b, y in zip(page, chain.decode(html_text.page_features(page)), strict=True) if y)
+
+    for name in NAMES:
+        for part in (f'<div class="{name}">Buy</div>', f'<div class="{name}"><p>Buy these now, all of them are cheap today.</p></div>', f'<aside class="{name}"><a href="/x">Buy</a></aside>'):
+            html = f"<html><body><nav><ul><li><a href=/x>Menu</a></ul></nav><article><h1>Head</h1><p>One two three four.</p>{part}<p>Five six seven.</p></article><footer>&copy; x</footer></body></html>"
+            assert read(html) == "Head One two three four. Five six seven.", part
+
+
+def test_hidden_parts_hide_what_closes_paragraphs():
+    for tag in sorted(html_text.HIDDEN_TAGS - {"head"}):
+        for inner in ("<p>no</p>", "<li>no", "<h2>no</h2>"):
+            assert [b.text for b in html_text.blocks(f"<p>One<{tag}>{inner}</{tag}></p><p>Two</p>")] == ["One", "Two"], (tag, inner)
+
+
 def test_viterbi_finds_the_best_path():
     import itertools
 

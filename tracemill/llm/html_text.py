@@ -32,9 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled pages to learn from, and rounds over them.
-PAGES, EPOCHS = 400, 12
+PAGES, EPOCHS = 600, 15
 #: Share of visits to a page, in training, that leave out the features of ancestors.
-UNNAMED = 0.4
+UNNAMED = 0.6
+#: Share of an article's blocks after which a page to learn from has another part within the article: more than pages have, so
+#: that every name of a part is met there.
+WITHIN = 0.3
 BUCKETS = 1 << 13
 
 # Fixed values of HTML.
@@ -55,14 +58,18 @@ WORDS = re.compile(r"[a-z]+")
 
 @dataclass
 class Block:
-    """A leaf block: its text, the hashed features of what it is in, its leaf tag, and a hash of its ancestry."""
+    """A leaf block: its text, the hashed features of what it is in, its leaf tag, a hash of its ancestry, and the features of the
+    innermost part of the page that it is in."""
 
     text: str
     inside: tuple[int, ...]
     leaf: str
     path: int
+    near: tuple[int, ...] = ()
     linked: int = 0
     label: int | None = None
+    #: In a labelled page: whether it is in another part within the main one.
+    within: bool = False
 
 
 def _hashed(name: str) -> int:
@@ -74,9 +81,13 @@ class _Open:
     tag: str
     inside: list[int]
     path: int
+    near: list[int]
 
 
-_SCOPE = frozenset("article aside body div footer form header li main nav section table td ul ol".split())
+#: What is a part of a page by its tag, and else by having a class, id or role.
+PARTS = frozenset("article aside dialog footer form header main nav section".split())
+#: What is open within keeps a paragraph around it open.
+_SCOPE = frozenset("article aside body div footer form header li main nav section table td ul ol".split()) | HIDDEN_TAGS
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
@@ -101,9 +112,9 @@ class _Reader:
         """Ends the block of the text so far."""
         text = " ".join("".join(self.parts).split())
         if text:
-            top = self.stack[-1] if self.stack else _Open("", [], 0)
+            top = self.stack[-1] if self.stack else _Open("", [], 0, [])
             # At most BUCKETS features, however deep.
-            self.blocks.append(Block(text, tuple(self.inside), top.tag, top.path, self.linked))
+            self.blocks.append(Block(text, tuple(self.inside), top.tag, top.path, tuple(top.near), self.linked))
         self.parts, self.linked = [], 0
 
     def open(self, tag: str, marks: list[str]) -> None:
@@ -111,7 +122,9 @@ class _Reader:
         self.inside.update(inside)
         self.hidden += tag in HIDDEN_TAGS
         self.places.setdefault(tag, []).append(len(self.stack))
-        self.stack.append(_Open(tag, inside, zlib.crc32(tag.encode(), self.stack[-1].path if self.stack else 0)))
+        top = self.stack[-1] if self.stack else _Open("", [], 0, [])
+        near = [_hashed(f"near={x}") for x in ([tag] if tag in PARTS else []) + sorted(set(marks))] if marks or tag in PARTS else top.near
+        self.stack.append(_Open(tag, inside, zlib.crc32(tag.encode(), top.path), near))
 
     def close(self, tag: str, down_to: frozenset[str] = frozenset()) -> None:
         """Closes the innermost such element and what is in it, if none of down_to is open within."""
@@ -176,7 +189,7 @@ def features(b: Block, before: Block | None, after: Block | None, i: int, n: int
     names += [f"end={b.text[-1] in '.!?:'}", f"sign={b.text[0] in '©®'}", f"place={0 if i == 0 else 2 if i == n - 1 else 1}"]
     for side, other in (("before", before), ("after", after)):
         names.append(f"{side}={'none' if other is None else other.path == b.path}")
-    return [*b.inside, *(_hashed(x) for x in names)]
+    return [*b.inside, *b.near, *(_hashed(x) for x in names)]
 
 
 def page_features(page: list[Block]) -> list[list[int]]:
@@ -232,7 +245,7 @@ class Chain:
         return own, pairs
 
 
-def learn(pages: list[list[Block]], epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-4) -> Chain:
+def learn(pages: list[list[Block]], epochs: int = EPOCHS, rate: float = 1.0, decay: float = 1e-4) -> Chain:
     """Weights of highest penalised likelihood, by gradient steps page after page with falling rates."""
     chain = Chain(np.zeros((BUCKETS, 2)), np.zeros((2, 2)))
     seen = np.full((BUCKETS, 2), 1e-2), np.full((2, 2), 1e-2)
@@ -241,8 +254,11 @@ def learn(pages: list[list[Block]], epochs: int = EPOCHS, rate: float = 0.3, dec
     for _ in range(epochs):
         order.shuffle(data)
         for page, rows, labels in data:
-            if order.random() < UNNAMED:  # as if its parts had names that were never seen
-                rows = [x[len(b.inside) :] for b, x in zip(page, rows, strict=True)]
+            if order.random() < UNNAMED:  # as if its parts had names that were never seen, but those of parts within the main one
+                main = [set(b.inside) for b in page if b.label]
+                around = set.intersection(*main) if main else set()
+                own = [[f for f in b.inside if f not in around] + [*b.near] if b.within else [] for b in page]
+                rows = [x + row[len(b.inside) + len(b.near) :] for b, x, row in zip(page, own, rows, strict=True)]
             own, pairs = chain.gradient(rows, labels)
             sizes = [len(x) for x in rows]
             at = np.concatenate(rows)
@@ -262,16 +278,18 @@ def learn(pages: list[list[Block]], epochs: int = EPOCHS, rate: float = 0.3, dec
 _SYLLABLES = "an be co da el fi go hu in jo ka le mi no or pa qu ra sen ti un ve wi ya zo ñe é ü".split()
 _MAIN = ("article", "main", 'div class="content"', 'div class="post-body"', 'div id="main"', 'div class="entry-content"', 'section class="article-text"')
 _OTHER = (
-    "nav", "footer", "header", "aside", 'div class="ad"', 'div class="ads banner"', 'div class="advert"', 'div class="sponsored promo"',
+    "nav", "footer", "header", "aside", 'div class="ad"', 'div class="ads"', 'div class="advert"', 'div class="sponsored"', 'div class="promo"', 'div class="banner"',
     'div class="menu"', 'div id="nav"', 'div class="sidebar"', 'div id="footer"', 'div id="header"', 'div class="cookie-notice"',
-    'div class="notice"', 'div class="banner" role="dialog"', 'div class="related"', 'div class="share social"', 'div class="newsletter"',
+    'div class="notice"', 'div class="consent" role="dialog"', 'div class="related"', 'div class="share"', 'div class="social"', 'div class="newsletter"',
     'div class="breadcrumb"', 'div class="widget"', "form", 'form class="search"', 'div class="login"', 'div class="popup"',
 )
+_NEUTRAL = "box inner block wrap row col item module region".split()
 _COMMENTS = ('div class="comments"', 'section id="comments"', 'div class="comment-list"', 'ol class="commentlist"', 'div class="replies comments"')
 
 
 def labelled_pages(
-    count: int = PAGES, seed: int = 7, main_parts: tuple[str, ...] = _MAIN, other_parts: tuple[str, ...] = _OTHER, comment_parts: tuple[str, ...] = _COMMENTS
+    count: int = PAGES, seed: int = 7, main_parts: tuple[str, ...] = _MAIN, other_parts: tuple[str, ...] = _OTHER, comment_parts: tuple[str, ...] = _COMMENTS,
+    within: float = 0.05,
 ) -> list[list[Block]]:
     """Pages written by rule, with labels: one main part of headings, paragraphs, lists and quotes, and
     other parts before, after and inside it. Words are drawn alike for all parts, so that what a part is,
@@ -293,8 +311,17 @@ def labelled_pages(
     def wrap(part: str, inner: str) -> str:
         return f"<{part}>{inner}</{part.split()[0]}>"
 
-    def other() -> str:
-        part, style = rnd.choice(other_parts), rnd.random()
+    def named(part: str) -> str:
+        """The part under some of its names, at times beside one that says nothing, and as another tag."""
+        found = re.fullmatch(r'(\w+) (class|id)="([^"]*)"(.*)', part)
+        if not found:
+            return part
+        tag, kind, names, rest = found.groups()
+        names = rnd.sample(names.split(), rnd.randint(1, len(names.split()))) + ([rnd.choice(_NEUTRAL)] if rnd.random() < 0.3 else [])
+        return f'{rnd.choice(("div", "section", "aside")) if tag == "div" and rnd.random() < 0.3 else tag} {kind}="{" ".join(names)}"{rest}'
+
+    def other(within: bool = False) -> str:
+        part, style = named(rnd.choice(other_parts)), rnd.uniform(0.3 if within else 0, 1)
         if style < 0.45:
             inner = wrap("ul", "".join(f'<li><a href="/x">{words(rnd.randint(1, 3))}</a></li>' for _ in range(rnd.randint(1, 7))))
         elif style < 0.7:
@@ -318,8 +345,8 @@ def labelled_pages(
             inner.append(wrap(tag, f"<b>{text}</b>" if rnd.random() < 0.1 else text))
             if rnd.random() < 0.06:
                 inner.append(wrap("ul", "".join(f"<li>{words(size())}</li>" for _ in range(rnd.randint(1, 4)))))
-            if rnd.random() < 0.05:
-                inner.append("\x00" + other() + "\x01")
+            if rnd.random() < within:
+                inner.append("\x00" + other(True) + "\x01")
         if rnd.random() < 0.15:
             inner.append("\x00" + comments() + "\x01")
         main = wrap(rnd.choice(main_parts), "".join(inner)) if inner else ""
@@ -339,14 +366,14 @@ def _labelled(html: str, label: int) -> list[Block]:
         if b.text in ("\x02", "\x03"):
             other = b.text == "\x02"
             continue
-        b.label = 0 if other else label
+        b.label, b.within = 0 if other else label, other
         out.append(b)
     return out
 
 
 def extract(pages: DataFrame, examples: list[list[Block]] | None = None) -> DataFrame:
     """Per page: page_id, url, text, n_chars. examples: labelled pages, by default those written by rule."""
-    chain = learn(labelled_pages() if examples is None else examples)
+    chain = learn(labelled_pages(within=WITHIN) if examples is None else examples)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
