@@ -529,4 +529,4 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.lit("EVENT").alias("code")).unionAll(issues.select("code")).groupBy("code").agg(F.count("*").alias("n"))
 
 
-from . import capture, evidence, exports, release, training  # noqa: E402,F401  (they register their queries)
+from . import capture, evidence, exports, release, streams, training  # noqa: E402,F401  (they register their queries)

@@ -2,7 +2,8 @@
 ones quarantined. No watermark: late events are taken forever.
 
 The store is partitioned by a hash of the id. A batch reads of it only the partitions that its own ids fall into,
-and of these only the id and digest columns, so a batch costs what its ids' partitions hold, not what was ever taken.
+and of these only the id and digest columns. A batch of very many ids falls into all of them and so reads those columns
+whole: for small batches onto a large store, `state` keeps digests as state instead.
 Which content of an id is first within a batch goes by `order`, then by digest: a micro-batch has no order of its own.
 """
 
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.scratch import settle
+
 #: Partitions of the store by id.
 PARTS = 64
 
@@ -39,12 +42,13 @@ def ingest_batch(batch: DataFrame, store: str, key: str, order: list[str], numbe
     first = named.groupBy(key).agg(F.min(F.struct(*order, "_digest"))["_digest"].alias("_first"))
     heads = first.join(known, key, "left").select(key, F.coalesce("_known", "_first").alias("_kept"), F.col("_known").isNotNull().alias("_old"))
     # Equal contents of an id are one row with their number before anything is joined.
-    per = named.groupBy(*batch.columns, "_digest", "_part").agg(F.count("*").alias("_n")).join(heads, key)
+    per = settle(named.groupBy(*batch.columns, "_digest", "_part").agg(F.count("*").alias("_n")).join(heads, key), "batch")
     new, conflict = ~F.col("_old") & (F.col("_digest") == F.col("_kept")), F.col("_digest") != F.col("_kept")
     kept = [*batch.columns, "_digest", "_part"]
     base = f"batch-{number:012d}"
     stamped = lambda df: df.withColumn("_batch", F.lit(number).cast("long"))
-    stamped(per.filter(new).select(*kept)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch", "_part").parquet(f"{store}/events")
+    # One task a partition of the store, so a batch adds as many files as it has partitions.
+    stamped(per.filter(new).select(*kept)).repartition("_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch", "_part").parquet(f"{store}/events")
     bad = per.filter(conflict).select(*batch.columns, "_digest", "_n", F.lit("CONFLICTING_EVENT_ID").alias("code"))
     blank = rows.filter(F.col(key).isNull()).select(*batch.columns, "_digest", F.lit(1).cast("long").alias("_n"), F.lit("BLANK_EVENT_ID").alias("code"))
     bad.unionByName(blank).write.mode("overwrite").parquet(f"{store}/quarantine/{base}")
