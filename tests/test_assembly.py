@@ -68,6 +68,15 @@ def test_conflicts_and_lost_contexts_are_quarantined(spark):
     assert sorted((r.event_id, r.code, r.n) for r in got.collect()) == [("a0TOOL_CALL", "CONFLICTING_EVENT_ID", 2), ("b0TOOL_CALL", "EPISODE_CONTEXT_MISSING", 1)]
 
 
+def test_episodes_of_several_runs_or_none_are_quarantined(spark):
+    rows = [row("runs", 0, "TOOL_CALL"), row("runs", 1, "TOOL_CALL", run_id="q"), row("none", 0, "TOOL_CALL", run_id=None), row("half", 0, "TOOL_CALL"), row("half", 1, "TOOL_CALL", run_id=None), row("good", 0, "TOOL_CALL")]
+    rows += [row("good", 1, "TOOL_CALL", run_id="r"), row("lost", 0, "TOOL_CALL"), row("lost", 1, "TOOL_CALL", run_id="q")]
+    log, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([("runs",), ("none",), ("half",), ("good",)], "episode_id string")
+    got = sorted((r.episode_id, r.code) for r in assembly.quarantine(log, known).collect())
+    assert got == [(e, "EPISODE_CONTRACT_INVALID") for e in ("half", "half")] + [("lost", "EPISODE_CONTEXT_MISSING")] * 2 + [(e, "EPISODE_CONTRACT_INVALID") for e in ("none", "runs", "runs")]
+    assert [r.episode_id for r in assembly.assemble(log, known, spark.createDataFrame([], "artifact_id string")).collect()] == ["good"]
+
+
 def test_paths_are_normal_as_the_standard_library_has_them(spark):
     said = ["", ".", "a//b/./c", "../a/../../b", "/a/../../b", "a/..", "/", "x/../..", "a/b/../../../c/d", "/ws/../ws/x", "..."]
     got = spark.createDataFrame([(p,) for p in said], "p string").select("p", paths.normal(F.col("p")).alias("n")).collect()

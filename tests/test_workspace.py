@@ -38,11 +38,11 @@ def test_a_budget_is_spent_in_order_of_paths(spark, monkeypatch):
 
 
 def test_files_of_a_folder(spark, tmp_path):
-    for path, text in (("a.txt", b"one"), ("d/b.bin", b"\0\1"), (".git/config", b"x"), ("d/.git/y", b"x"), ("d/e/f.md", b"")):
+    for path, text in (("a.txt", b"one"), ("d/b.bin", b"\0\1"), (".git/config", b"x"), ("d/.git/y", b"x"), ("d/e/f.md", b"f")):
         (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / path).write_bytes(text)
     found = {r.path: (r.size, r.sha256) for r in workspace.read_files(spark, str(tmp_path)).collect()}
-    assert found == {p: (len(t), hashlib.sha256(t).hexdigest()) for p, t in (("a.txt", b"one"), ("d/b.bin", b"\0\1"), ("d/e/f.md", b""))}
+    assert found == {p: (len(t), hashlib.sha256(t).hexdigest()) for p, t in (("a.txt", b"one"), ("d/b.bin", b"\0\1"), ("d/e/f.md", b"f"))}
 
 
 def test_no_files(spark):

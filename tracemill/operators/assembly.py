@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..sources.scratch import settle
 
 DECLARED = ("task_status", "execution_validity", "verifier_status", "score", "termination_reason", "evidence_event_ids")
 ORDER = ("sequence", "timestamp", "event_id")
@@ -30,11 +31,16 @@ def arrivals(events: DataFrame) -> DataFrame:
 
 
 def quarantine(events: DataFrame, contexts: DataFrame) -> DataFrame:
-    """event_id, episode_id, code, n: contents that differ from their id's first, and events without a context."""
-    seen = arrivals(events)
+    """event_id, episode_id, code, n: contents that differ from their id's first, events without a context, and the events of
+    episodes that have no run, or several: these are not assembled."""
+    seen = settle(arrivals(events), "arrivals")
     conflicts = seen.filter("not first").select("event_id", "episode_id", F.lit("CONFLICTING_EVENT_ID").alias("code"), "n")
     lost = seen.filter("first").join(contexts.select("episode_id"), "episode_id", "left_anti")
-    return conflicts.unionByName(lost.select("event_id", "episode_id", F.lit("EPISODE_CONTEXT_MISSING").alias("code"), F.lit(1).cast("long").alias("n")))
+    known = seen.filter("first").join(contexts.select("episode_id"), "episode_id", "left_semi")
+    mixed = known.groupBy("episode_id").agg(F.min("run_id").alias("a"), F.max("run_id").alias("b"), F.max(F.col("run_id").isNull()).alias("none")).filter("none or a <> b")
+    invalid = known.join(mixed.select("episode_id"), "episode_id", "left_semi")
+    one = lambda df, code: df.select("event_id", "episode_id", F.lit(code).alias("code"), F.lit(1).cast("long").alias("n"))
+    return conflicts.unionByName(one(lost, "EPISODE_CONTEXT_MISSING")).unionByName(one(invalid, "EPISODE_CONTRACT_INVALID"))
 
 
 def _listed(c: Column) -> Column:
@@ -44,7 +50,7 @@ def _listed(c: Column) -> Column:
 def assemble(events: DataFrame, contexts: DataFrame, artifacts: DataFrame) -> DataFrame:
     """Per episode with a context: its integrity with what it lacks, its terminal outcome, and the facts that
     certification needs. One grouping of the first arrivals by episode; contexts has episode_id, artifacts artifact_id."""
-    seen = arrivals(events)
+    seen = settle(arrivals(events), "arrivals")
     first = seen.filter("first").join(contexts.select("episode_id"), "episode_id", "left_semi")
     counts = seen.groupBy("episode_id").agg(F.sum(F.col("n") - F.col("first").cast("long")).alias("duplicates"))
     clashes = (
@@ -60,7 +66,7 @@ def assemble(events: DataFrame, contexts: DataFrame, artifacts: DataFrame) -> Da
     verifier = kind == "VERIFICATION_FINISHED"
     ends = F.struct(*ORDER, *DECLARED)
     per = first.groupBy("episode_id").agg(
-        F.count("*").alias("n_events"), F.count_distinct("sequence").alias("n_sequences"), F.max("sequence").alias("last"), F.count_distinct("run_id").alias("runs"),
+        F.count("*").alias("n_events"), F.count_distinct("sequence").alias("n_sequences"), F.max("sequence").alias("last"), (F.min("run_id") == F.max("run_id")).alias("one_run"), F.max(F.col("run_id").isNull()).alias("no_run"),
         F.collect_set("sequence").alias("sequences"), F.collect_set("span_id").alias("spans"),
         F.collect_set(F.when(F.col("parent_span_id").isNotNull(), F.struct("parent_span_id", "span_id"))).alias("parents"),
         F.min("timestamp").alias("started_at"), F.max("timestamp").alias("ended_at"),
@@ -90,7 +96,7 @@ def assemble(events: DataFrame, contexts: DataFrame, artifacts: DataFrame) -> Da
     told = whole.withColumn("holes", holes).withColumn("orphans", orphans).withColumn("missing", missing)
     corrupt = F.coalesce("conflict", F.lit(False)) | (F.col("n_events") > F.col("n_sequences")) | (F.col("terminals") > 1)
     partial = (F.size("holes") > 0) | (F.size("orphans") > 0) | (F.size("missing") > 0) | F.col("missing_artifacts").isNotNull()
-    return told.filter("runs = 1").select(
+    return told.filter("one_run and not no_run").select(
         "episode_id", F.when(corrupt, "CORRUPT").when(partial, "PARTIAL").otherwise("COMPLETE").alias("state"), "n_events", "duplicates",
         F.array_join("holes", ",").alias("sequence_gaps"), _listed(F.col("orphans")).alias("orphan_span_ids"), _listed(F.col("missing")).alias("missing_types"),
         F.coalesce("missing_artifacts", F.lit("")).alias("missing_artifacts"), declared("task_status").alias("task_status"), declared("execution_validity").alias("validity"),
@@ -160,7 +166,7 @@ def eligibility(certified: DataFrame, evidence: DataFrame) -> DataFrame:
     return out.withColumn("eligibility", status.when(F.col("sft"), "SFT_ELIGIBLE").when(F.col("preference"), "PREFERENCE_ELIGIBLE").otherwise("REJECTED"))
 
 
-PROFILES = ("HARNESS_ANALYSIS", "EVALUATION", "SFT", "PREFERENCE")
+PROFILES = ("HARNESS_ANALYSIS", "EVALUATION", "SFT", "PREFERENCE", "OFF_POLICY_RL", "ON_POLICY_RL")
 
 
 def decisions(eligible: DataFrame) -> DataFrame:
@@ -172,6 +178,8 @@ def decisions(eligible: DataFrame) -> DataFrame:
         "EVALUATION": F.when(F.col("certification") != "CERTIFIED", "INSUFFICIENT_EVIDENCE").when(F.col("validity") != "VALID", "REJECTED").when(~attested, "INSUFFICIENT_EVIDENCE").otherwise("ELIGIBLE"),
         "SFT": F.when(F.col("sft"), "ELIGIBLE").when(lacking, "INSUFFICIENT_EVIDENCE").otherwise("REJECTED"),
         "PREFERENCE": F.when(F.col("preference"), "ELIGIBLE").when(lacking, "INSUFFICIENT_EVIDENCE").otherwise("REJECTED"),
+        "OFF_POLICY_RL": F.when(F.col("off_policy"), "ELIGIBLE").when(lacking, "INSUFFICIENT_EVIDENCE").otherwise("REJECTED"),
+        "ON_POLICY_RL": F.when(F.col("on_policy"), "ELIGIBLE").when(lacking, "INSUFFICIENT_EVIDENCE").otherwise("REJECTED"),
     }
     each = F.array(*[F.struct(F.lit(p).alias("profile"), verdict[p].alias("verdict")) for p in PROFILES])
     return eligible.select("episode_id", F.explode(each).alias("d")).select("episode_id", "d.profile", "d.verdict")

@@ -181,20 +181,23 @@ def accumulation(examples: Column) -> Column:
 
 
 def episode_metrics(actions: DataFrame) -> DataFrame:
-    """Actions (episode, kind, failed, signature, at, latency_ms, tokens) -> an episode's measures; what was not observed is
-    null and named."""
+    """Actions (episode, kind, failed, signature, at, place, latency_ms, tokens) -> an episode's measures; what was not observed is
+    null and named. A call repeats if its signature is that of the call before it, by at and place; a loop is a run of repeats."""
     call = F.col("kind") == "TOOL_CALL"
+    order = Window.partitionBy("episode", call).orderBy("at", "place")
+    same = call & F.coalesce(F.lag("signature").over(order) == F.col("signature"), F.lit(False))
+    actions = actions.withColumn("repeat", same).withColumn("opens", F.col("repeat") & ~F.coalesce(F.lag("repeat").over(order), F.lit(False)))
     total = lambda k: F.sum(F.when(F.col("kind") == k, F.col("latency_ms")))
     per = actions.groupBy("episode").agg(
         ((F.unix_micros(F.max("at").cast("timestamp")) - F.unix_micros(F.min("at").cast("timestamp"))) / 1000.0).alias("duration_ms"),
         F.count(F.when(F.col("kind") == "MODEL_REQUEST", 1)).alias("turn_count"), F.count(F.when(F.col("kind") == "VERIFICATION_FINISHED", 1)).alias("verification_attempts"),
-        F.count(F.when(call, 1)).alias("calls"), F.count(F.when((F.col("kind") == "TOOL_RESULT") & F.col("failed"), 1)).alias("errors"), F.count_distinct(F.when(call, F.col("signature"))).alias("distinct"),
+        F.count(F.when(call, 1)).alias("calls"), F.count(F.when((F.col("kind") == "TOOL_RESULT") & F.col("failed"), 1)).alias("errors"), F.count(F.when(F.col("repeat"), 1)).alias("repeats"), F.count(F.when(F.col("opens"), 1)).alias("loops"),
         F.sum("tokens").alias("tokens"), total("MODEL_RESPONSE").alias("model_latency_ms"), total("TOOL_RESULT").alias("tool_latency_ms"), total("VERIFICATION_FINISHED").alias("verifier_latency_ms"),
     )
     seen = F.col("calls") > 0
     lacking = F.concat_ws(",", F.when(~seen, "tool_call_count"), F.when(~seen, "tool_error_count"), F.when(~seen, "duplicate_action_rate"), F.when(F.col("tokens").isNull(), "tokens"), F.lit("estimated_cost"))
     return per.select(
         "episode", "duration_ms", "turn_count", "verification_attempts", F.when(seen, F.col("calls")).alias("tool_call_count"), F.when(seen, F.col("errors")).alias("tool_error_count"),
-        F.when(seen, F.col("calls") - F.col("distinct")).alias("duplicate_action_count"), F.when(seen, F.round((F.col("calls") - F.col("distinct")) / F.col("calls"), 6)).alias("duplicate_action_rate"),
+        F.when(seen, F.col("repeats")).alias("duplicate_action_count"), F.when(seen, F.round(F.col("repeats") / F.col("calls"), 6)).alias("duplicate_action_rate"), F.when(seen, F.col("loops")).alias("loop_count"),
         "tokens", "model_latency_ms", "tool_latency_ms", "verifier_latency_ms", lacking.alias("not_observable"),
     )

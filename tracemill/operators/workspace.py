@@ -21,7 +21,7 @@ MOST_FILES, MOST_BYTES = 10_000, 64 << 20
 
 def read_files(spark: SparkSession, root: str) -> DataFrame:
     """workspace (root), path (below it), size, sha256 and content of the files below a folder, without what lies in .git.
-    Spark's sources don't see names that begin with . or _, so nor does this."""
+    Spark's sources don't see files without bytes, nor names that begin with . or _, so nor does this."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     below = F.substring_index("path", re.sub(r"^\w+:(//[^/]*)?", "", root).rstrip("/") + "/", -1)
     found = files.select(F.lit(root).alias("workspace"), below.alias("path"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), "content")

@@ -15,7 +15,7 @@ _KINDS = (
 _LISTED = ", ".join(f"'{k}'" for k in _KINDS)
 
 TRACE = f"""base as (select *, l_partkey * 31 + l_suppkey * 7 + l_linenumber as k from lineitem),
- log as (select l_orderkey as episode_id, l_orderkey::varchar || '-' || l_linenumber::varchar as event_id, l_linenumber - 1 as sequence, l_shipdate as ts,
+ log as (select l_orderkey as episode_id, case when k % 41 = 0 then 'other' when k % 41 > 1 then 'run' end as run_id, l_orderkey::varchar || '-' || l_linenumber::varchar as event_id, l_linenumber - 1 as sequence, l_shipdate as ts,
  k % 5 as span, case when k % 3 = 0 then k % 7 end as parent, [{_LISTED}][(k % 10)::int + 1] as kind, ['SUCCEEDED', 'FAILED', 'ERROR', 'TIMEOUT'][((k // 10) % 4)::int + 1] as status,
  case (k // 40) % 3 when 0 then true when 1 then false end as passed, case (k // 10) % 3 when 0 then 'SUCCESS' when 1 then 'FAILURE' end as task_status,
  case (k // 30) % 3 when 0 then 'VALID' when 1 then 'INFRA_INVALID' end as validity, case (k // 90) % 3 when 0 then 'PASSED' when 1 then 'FAILED' end as verifier_status,
@@ -24,7 +24,8 @@ TRACE = f"""base as (select *, l_partkey * 31 + l_suppkey * 7 + l_linenumber as
  row(l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice) as arrival, row(l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate, l_discount) as content from base),
  firsts as (select *, row_number() over (partition by event_id order by arrival, content) as n, first_value(content) over (partition by event_id order by arrival, content) as head,
  first_value(episode_id) over (partition by event_id order by arrival, content) as head_episode from log),
- ok as (select f.* from firsts f where n = 1 and episode_id in (select o_orderkey from orders where o_orderkey % 11 <> 0)),
+ accepted as (select f.* from firsts f where n = 1 and episode_id in (select o_orderkey from orders where o_orderkey % 11 <> 0)),
+ ok as (select * from accepted where episode_id in (select episode_id from accepted group by 1 having count(distinct run_id) = 1 and count(run_id) = count(*))),
  dups as (select episode_id, count(*) filter (n > 1) as duplicates, coalesce(bool_or(content <> head), false) as conflict from firsts group by 1),
  holes as (select e.episode_id, string_agg(g.x::varchar, ',' order by g.x) as gaps from (select episode_id, max(sequence) as last from ok group by 1) e,
  lateral (select unnest(range(0, e.last)) as x) g where not exists (select 1 from ok o where o.episode_id = e.episode_id and o.sequence = g.x) group by 1),
@@ -62,7 +63,7 @@ def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = lambda n: F.concat_ws("-", F.col("l_orderkey").cast("string"), n.cast("string"))
     score = F.when(F.col("k") % 4 == 0, F.col("l_discount"))
     return lines.withColumn("k", k).select(
-        F.col("l_orderkey").alias("episode_id"), F.lit("run").alias("run_id"), event(F.col("l_linenumber")).alias("event_id"), (F.col("l_linenumber") - 1).cast("long").alias("sequence"),
+        F.col("l_orderkey").alias("episode_id"), F.when(F.col("k") % 41 == 0, "other").when(F.col("k") % 41 > 1, "run").alias("run_id"), event(F.col("l_linenumber")).alias("event_id"), (F.col("l_linenumber") - 1).cast("long").alias("sequence"),
         F.col("l_shipdate").alias("timestamp"), (F.col("k") % 5).alias("span_id"), F.when(F.col("k") % 3 == 0, F.col("k") % 7).alias("parent_span_id"),
         pick(_KINDS, F.col("k") % 10).alias("event_type"), pick(("SUCCEEDED", "FAILED", "ERROR", "TIMEOUT"), over(10) % 4).alias("status"),
         F.when(over(40) % 3 == 0, True).when(over(40) % 3 == 1, False).alias("passed"), F.when(over(10) % 3 == 0, "SUCCESS").when(over(10) % 3 == 1, "FAILURE").alias("task_status"),
@@ -90,7 +91,8 @@ def assemble_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {TRACE} select event_id, episode_id, 'CONFLICTING_EVENT_ID' as code, count(*) as n from firsts where content <> head group by event_id, episode_id, content
- union all select event_id, episode_id, 'EPISODE_CONTEXT_MISSING', 1 from firsts where n = 1 and episode_id not in (select o_orderkey from orders where o_orderkey % 11 <> 0)""")
+ union all select event_id, episode_id, 'EPISODE_CONTEXT_MISSING', 1 from firsts where n = 1 and episode_id not in (select o_orderkey from orders where o_orderkey % 11 <> 0)
+ union all select event_id, episode_id, 'EPISODE_CONTRACT_INVALID', 1 from accepted where episode_id not in (select episode_id from ok)""")
 def assembly_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembly.quarantine(trace(spark, sf_dir), _contexts(spark, sf_dir))
 
@@ -156,6 +158,8 @@ def training_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with {_ELIGIBLE} select episode_id, 'HARNESS_ANALYSIS' as profile, case when state = 'CORRUPT' then 'REJECTED' else 'ELIGIBLE' end as verdict from eligible
  union all select episode_id, 'EVALUATION', case when not ok then 'INSUFFICIENT_EVIDENCE' when validity <> 'VALID' then 'REJECTED' when not trusted then 'INSUFFICIENT_EVIDENCE' else 'ELIGIBLE' end from eligible
  union all select episode_id, 'SFT', case when sft then 'ELIGIBLE' when certification = 'INSUFFICIENT_EVIDENCE' then certification else 'REJECTED' end from eligible
- union all select episode_id, 'PREFERENCE', case when preference then 'ELIGIBLE' when certification = 'INSUFFICIENT_EVIDENCE' then certification else 'REJECTED' end from eligible""")
+ union all select episode_id, 'PREFERENCE', case when preference then 'ELIGIBLE' when certification = 'INSUFFICIENT_EVIDENCE' then certification else 'REJECTED' end from eligible
+ union all select episode_id, 'OFF_POLICY_RL', case when off_policy then 'ELIGIBLE' when certification = 'INSUFFICIENT_EVIDENCE' then certification else 'REJECTED' end from eligible
+ union all select episode_id, 'ON_POLICY_RL', case when on_policy then 'ELIGIBLE' when certification = 'INSUFFICIENT_EVIDENCE' then certification else 'REJECTED' end from eligible""")
 def consumer_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembly.decisions(_eligible(spark, sf_dir))

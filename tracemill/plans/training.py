@@ -260,18 +260,20 @@ def partial_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""with t as (select l_orderkey as episode, l_shipdate as happened, (l_partkey * 31 + l_suppkey * 7 + l_linenumber) as k, l_partkey, l_suppkey, l_quantity from lineitem),
  a as (select *, ['MODEL_REQUEST', 'MODEL_RESPONSE', 'TOOL_CALL', 'TOOL_RESULT', 'VERIFICATION_STARTED', 'VERIFICATION_FINISHED', 'EPISODE_FINISHED', 'SANDBOX_STARTED', 'SANDBOX_FINISHED', 'HARNESS_DECISION'][(k % 10)::int + 1] as kind from t),
+ b as (select *, coalesce(kind = 'TOOL_CALL' and lag(l_suppkey % 3) over o = l_suppkey % 3, false) as repeated from a window o as (partition by episode, kind = 'TOOL_CALL' order by happened, l_partkey * 1000000 + l_suppkey)),
+ o as (select *, repeated and not coalesce(lag(repeated) over (partition by episode, kind = 'TOOL_CALL' order by happened, l_partkey * 1000000 + l_suppkey), false) as opens from b),
  p as (select episode, (epoch_us(max(happened)) - epoch_us(min(happened))) / 1000.0 as duration_ms, count(*) filter (kind = 'MODEL_REQUEST') as turn_count, count(*) filter (kind = 'VERIFICATION_FINISHED') as verification_attempts,
- count(*) filter (kind = 'TOOL_CALL') as c, count(*) filter (kind = 'TOOL_RESULT' and (k // 10) % 4 > 0) as e, count(distinct l_suppkey % 3) filter (kind = 'TOOL_CALL') as d, sum(case when kind = 'MODEL_RESPONSE' then l_partkey end)::bigint as tokens,
- sum(l_quantity) filter (kind = 'MODEL_RESPONSE') as model_latency_ms, sum(l_quantity) filter (kind = 'TOOL_RESULT') as tool_latency_ms, sum(l_quantity) filter (kind = 'VERIFICATION_FINISHED') as verifier_latency_ms from a group by 1)
- select episode, duration_ms, turn_count, verification_attempts, case when c > 0 then c end as tool_call_count, case when c > 0 then e end as tool_error_count, case when c > 0 then c - d end as duplicate_action_count,
- case when c > 0 then round((c - d) / c, 6) end as duplicate_action_rate, tokens, model_latency_ms, tool_latency_ms, verifier_latency_ms,
+ count(*) filter (kind = 'TOOL_CALL') as c, count(*) filter (kind = 'TOOL_RESULT' and (k // 10) % 4 > 0) as e, count(*) filter (repeated) as d, count(*) filter (opens) as loops, sum(case when kind = 'MODEL_RESPONSE' then l_partkey end)::bigint as tokens,
+ sum(l_quantity) filter (kind = 'MODEL_RESPONSE') as model_latency_ms, sum(l_quantity) filter (kind = 'TOOL_RESULT') as tool_latency_ms, sum(l_quantity) filter (kind = 'VERIFICATION_FINISHED') as verifier_latency_ms from o group by 1)
+ select episode, duration_ms, turn_count, verification_attempts, case when c > 0 then c end as tool_call_count, case when c > 0 then e end as tool_error_count, case when c > 0 then d end as duplicate_action_count,
+ case when c > 0 then round(d / c, 6) end as duplicate_action_rate, case when c > 0 then loops end as loop_count, tokens, model_latency_ms, tool_latency_ms, verifier_latency_ms,
  concat_ws(',', case when c = 0 then 'tool_call_count,tool_error_count,duplicate_action_rate' end, case when tokens is null then 'tokens' end, 'estimated_cost') as not_observable from p""")
 def episode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = tables.read(spark, sf_dir, "lineitem")
     k = F.col("l_partkey") * 31 + F.col("l_suppkey") * 7 + F.col("l_linenumber")
     kind = F.element_at(F.array(*[F.lit(x) for x in _KINDS]), (k % 10).cast("int") + 1)
     actions = lines.select(
-        F.col("l_orderkey").alias("episode"), kind.alias("kind"), (F.floor(k / 10) % 4 > 0).alias("failed"), (F.col("l_suppkey") % 3).alias("signature"), F.col("l_shipdate").alias("at"),
+        F.col("l_orderkey").alias("episode"), kind.alias("kind"), (F.floor(k / 10) % 4 > 0).alias("failed"), (F.col("l_suppkey") % 3).alias("signature"), F.col("l_shipdate").alias("at"), (F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")).alias("place"),
         F.col("l_quantity").alias("latency_ms"), F.when(kind == "MODEL_RESPONSE", F.col("l_partkey")).alias("tokens"),
     )
     return training.episode_metrics(actions)
