@@ -11,8 +11,10 @@ best template, if the cosine is STATEMENT or more (FILE for a whole text; of equ
 Per file the names of all its units are kept. Its own license is that of the license text that is all of the
 file or of a header (TEXT or more), else the best one; a reservation of rights only where nothing else is said.
 
-What states a license has one of its TELLING words: texts, and then units, without any are not scored. Few have
-one, and only their tokens are dealt out, joined with the templates' weights, and added up by unit.
+Texts, and then units, are scored only if they hold a word of telling(): of each template all words but some that
+together have less of its length than the least score. What holds none of the others has a cosine below that with every
+template, so nothing is lost. Only the tokens of those that do are dealt out, joined with the templates' weights, and added up by unit.
+Templates that common words alone make up that far are held against other whole texts inside their rows.
 
 A file is a license file if its name says so and it has a license, or if its whole text has a cosine of
 FILE. Other files without a license take that of the license file in the nearest directory above (of
@@ -29,6 +31,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,11 +108,9 @@ TEXTS = [
      "source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this "
      "software dedicate any and all copyright interest in the software to the public domain."),
 ]
-#: Words by which licenses are told; every template has one, and so has what states it.
-TELLING = (
-    "2-clause 3-clause affero apache bsd by-nc by-nd by-sa cc cc0 copyright gnu gpl license licensed licence lgpl mozilla permission permissions permitted redistribute "
-    "obtaining redistribution redistributions reserved rights software sublicense unencumbered warranties"
-).split()
+#: Words that many texts have, of several languages. They only steer which words texts are looked through for: whatever they
+#: are, no unit that reaches its least score is passed over.
+COMMON = frozenset("the and of in to with that for is by are or do no this a on be as not it which from at an under".split())
 #: What a comment line begins with.
 MARK = r"[ \t]*(?://+!?|/\*+!?|\*+/?|#+|--+|;+|%+|<!--|\"\"\")"
 MARKS = rf"(?m)^(?:{MARK})?[ \t\r]*"
@@ -133,6 +134,55 @@ def _vectors(templates: list[tuple[str, str]], by_sentence: bool = False) -> tup
     return out, idf, math.log(1 + len(pieces)) + least
 
 
+def telling(vectors: list[tuple[int, str, dict[str, float]]], least: float) -> tuple[set[str], list[tuple[int, str, dict[str, float]]]]:
+    """(words, rest): whatever has a cosine of `least` or more with a template that is not in rest holds one of the words, and
+    with one in rest, if it holds none, has it by COMMON words only. Of each template words are left out, common ones first,
+    whose squares add up to less than that of `least`: by Cauchy and Schwarz these alone give no more than their length."""
+    out, rest, most = set(), [], (least - 1e-5) ** 2  # scores are rounded to six places
+    for template in vectors:
+        v, left, over = template[2], 0.0, False
+        for t in sorted(v, key=lambda t: (t not in COMMON, v[t], t)):
+            if left + v[t] ** 2 < most:
+                left += v[t] ** 2
+            elif t in COMMON:
+                over = True
+            else:
+                out.add(t)
+        if over:
+            out |= set(v) - COMMON
+            rest.append(template)
+    return out, rest
+
+
+def _common_scores(files: DataFrame, k: int, of_set: tuple, rest: list) -> DataFrame:
+    """key, path, kind, set, name and score of the whole texts that reach FILE with a template of rest; files hold no word of
+    telling(), so of these templates they have COMMON words only. A text's tokens are sorted in its row, where equal ones stand
+    side by side, so no token leaves it."""
+    _, idf, other = of_set
+    words = sorted({t for _, _, v in rest for t in v if t in COMMON})
+    tokens = F.regexp_extract_all(F.lower("text"), F.lit(f"({TOKEN})"), F.lit(1))
+    rows = files.select("key", "path", tokens.alias("tokens")).withColumn("held", F.array_intersect(F.array(*map(F.lit, words)), "tokens"))
+    share = lambda v: reduce(Column.__add__, [F.when(F.array_contains("held", t), x * x).otherwise(0.0) for t, x in v.items() if t in COMMON], F.lit(0.0))
+    rows = rows.filter(reduce(Column.__or__, [share(v) >= (FILE - 1e-5) ** 2 for _, _, v in rest]))
+    rows = rows.withColumn("tokens", F.array_sort("tokens"))
+    starts = F.filter(F.sequence(F.lit(0), F.size("tokens") - 1), lambda i: ~F.get("tokens", i).eqNullSafe(F.get("tokens", i - 1)))
+    rows = rows.withColumn("starts", starts)
+    counts = F.transform("starts", lambda x, i: F.struct(F.get("tokens", x).alias("t"), (F.coalesce(F.get("starts", i + 1), F.size("tokens")) - x).cast("double").alias("n")))
+    rows = rows.select("key", "path", counts.alias("counts"))
+    known = F.filter("counts", lambda c: c["t"].isin(*sorted(idf)))
+    rows = rows.select("key", "path", F.aggregate("counts", F.lit(0.0), lambda a, c: a + c["n"] * c["n"]).alias("all"), known.alias("known"))
+    weight = F.create_map(*[F.lit(x) for t in sorted(idf) for x in (t, float(idf[t]))])
+    total = F.aggregate("known", F.lit(0.0), lambda a, c: a + c["n"] * c["n"] * (F.pow(F.element_at(weight, c["t"]), F.lit(2.0)) - other * other))
+    dots = []
+    for _, name, v in rest:
+        own = F.create_map(*[F.lit(x) for t in sorted(v) for x in (t, float(v[t] * idf[t]))])
+        dots.append(F.struct(F.lit(name).alias("name"), F.aggregate("known", F.lit(0.0), lambda a, c: a + c["n"] * F.coalesce(F.try_element_at(own, c["t"]), F.lit(0.0))).alias("dot")))  # noqa: B023
+    rows = rows.select("key", "path", F.sqrt(F.col("all") * other * other + total).alias("norm"), F.array(*dots).alias("dots"))
+    best = F.array_min(F.transform("dots", lambda d: F.struct((-F.round(d["dot"] / F.col("norm"), 6)).alias("minus"), d["name"].alias("name"))))
+    scored = rows.select("key", "path", F.lit("whole").alias("kind"), F.lit(k).alias("set"), best["name"].alias("name"), (-best["minus"]).alias("score"))
+    return scored.filter(F.col("score") >= FILE)
+
+
 def _scores(units: DataFrame, sets: list) -> DataFrame:
     """units (uid, kind, unit) with set, name and score of each set's best template, where that is enough."""
     spark = units.sparkSession
@@ -171,7 +221,7 @@ def _pattern(tokens: list[str]) -> str:
     by: dict[str, list[str]] = {}
     for t in tokens:
         by.setdefault(t[0], []).append(re.escape(t[1:]))
-    return r"(?i)(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(by.items())) + r")(?![a-z0-9])"
+    return r"(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(by.items())) + r")(?![a-z0-9])"
 
 
 def scan(files: DataFrame, key: str, templates: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -180,9 +230,14 @@ def scan(files: DataFrame, key: str, templates: list[tuple[str, str]] | None = N
     plain = files.select(F.col(key).alias("key"), "path", "text")
     long = NOTICES + TEXTS
     sets = [_vectors(templates)] if templates else [_vectors(TEMPLATES), _vectors(long, True)]
-    telling = _pattern(TELLING)
-    found = settle(plain.filter(F.col("text").rlike(telling)))
-    headers = found.select("key", "path", F.explode(_headers(F.col("text"))).alias("unit")).filter(F.col("unit").rlike(telling))
+    statements, files_ = ([telling(vectors, least) for vectors, _, _ in sets] for least in (STATEMENT, FILE))
+    # What common words state of a unit that is no whole text needs a template that is all of these.
+    stated = set().union(*(words for words, _ in statements), *(v for _, rest in statements for _, _, v in rest))
+    whole = stated.union(*(words for words, _ in files_))
+    states, is_one = (F.lower("unit").rlike(_pattern(sorted(stated)))), (F.lower("text").rlike(_pattern(sorted(whole))))
+    found = settle(plain.filter(is_one))
+    apart = [_common_scores(plain.filter(~is_one), k, of_set, rest) for k, (of_set, (_, rest)) in enumerate(zip(sets, files_, strict=True)) if rest]
+    headers = found.select("key", "path", F.explode(_headers(F.col("text"))).alias("unit")).filter(states)
     lines = F.filter(F.split("unit", r"\s*\n\s*"), lambda x: x != "")
     titles = F.array(*[F.array_join(F.slice(lines, 1, n), " ") for n in (2, 3)])
     sentences = F.array_distinct(F.concat(titles, F.split(F.regexp_replace("unit", r"\s*\n\s*", " "), r"(?<=[.!?;:])\s+")))
@@ -190,10 +245,10 @@ def scan(files: DataFrame, key: str, templates: list[tuple[str, str]] | None = N
         headers.select("key", "path", F.lit("header").alias("kind"), "unit")
         .unionByName(headers.select("key", "path", F.lit("statement").alias("kind"), F.explode(sentences).alias("unit")))
         .unionByName(found.select("key", "path", F.lit("statement").alias("kind"), F.explode(F.split("text", CUT)).alias("unit")))
-        .filter(F.col("unit").rlike(telling))
+        .filter(states)
         .unionByName(found.select("key", "path", F.lit("whole").alias("kind"), F.col("text").alias("unit")))
     )
-    hits = _scores(settle(units.withColumn("uid", F.monotonically_increasing_id())), sets)
+    hits = reduce(DataFrame.unionByName, apart, _scores(settle(units.withColumn("uid", F.monotonically_increasing_id())), sets))
     texts = sorted({name for name, _ in TEXTS})
     told = (F.col("set") == 1) & F.col("kind").isin("whole", "header") & (F.col("score") >= TEXT) & F.col("name").isin(*texts)
     hits = hits.withColumn("order", F.when(told, F.when(F.col("kind") == "whole", 0).otherwise(1)).when(F.col("name") == "Proprietary", 3).otherwise(2))
