@@ -50,6 +50,8 @@ FILE_BYTES = 64 << 20
 #: Contexts of one anchor beyond which they are sent string by string.
 HOT = 4096
 SEND, MANY = 1, 2
+#: Strings that are compared at a time.
+STRINGS = 1 << 17
 #: In place of the anchor's place: that a piece is a string of its own.
 STRING = 255
 #: Bits of an anchor's hash beyond those that tell all anchors apart by number.
@@ -276,6 +278,30 @@ class Pieces:
     hash: np.ndarray
 
 
+def _strings(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    rows = np.lib.stride_tricks.as_strided(data, shape=(len(data) - LENGTH + 1, LENGTH), strides=(1, 1))
+    return np.ascontiguousarray(rows[at])
+
+
+def _distinct(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the strings at `at`: where each distinct one is first, and which of these each is. Some are compared at a time, and
+    then those that are left."""
+
+    def unique(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        _, first, inverse = np.unique(_strings(data, places).view(np.dtype((np.void, LENGTH))).ravel(), return_index=True, return_inverse=True)
+        return first, inverse
+
+    firsts, inverses, left = [], [], 0
+    for a in range(0, len(at), STRINGS):
+        first, inverse = unique(at[a : a + STRINGS])
+        firsts.append(first + a)
+        inverses.append(inverse + left)
+        left += len(first)
+    firsts = np.concatenate(firsts)
+    again, inverse = unique(at[firsts])
+    return firsts[again], inverse[np.concatenate(inverses)]
+
+
 def _pieces(own: Anchors, flags: np.ndarray) -> tuple[Pieces, np.ndarray, tuple[np.ndarray, ...]]:
     """The pieces to send; the contexts that are a piece each; and, of the others, for each string its
     context, its start and its piece."""
@@ -290,10 +316,9 @@ def _pieces(own: Anchors, flags: np.ndarray) -> tuple[Pieces, np.ndarray, tuple[
     which = np.repeat(np.arange(len(many)), counts)
     at = own.low[runs][which] + np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
     if len(at):
-        rows = np.lib.stride_tricks.as_strided(own.data, shape=(len(own.data) - LENGTH + 1, LENGTH), strides=(1, 1))
-        whole = np.ascontiguousarray(rows[at])
-        _, first, inverse = np.unique(whole.view(np.dtype((np.void, LENGTH))).ravel(), return_index=True, return_inverse=True)
-        flat = bytehash.Prefix(whole[first].ravel())
+        first, inverse = _distinct(own.data, at)
+        whole = _strings(own.data, at[first])
+        flat = bytehash.Prefix(whole.ravel())
         begins = np.arange(len(first)) * LENGTH
         digest = bytehash.mixed(flat.of(begins, begins + LENGTH))
         start = np.concatenate((start, at[first]))
@@ -309,9 +334,18 @@ def _pieces(own: Anchors, flags: np.ndarray) -> tuple[Pieces, np.ndarray, tuple[
 
 
 def _take(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    size = end - start
-    shift = np.repeat(start - (np.cumsum(size) - size), size)
-    return data[np.arange(len(shift)) + shift]
+    """The ranges' bytes one after the other, some at a time: their places take eight times their own room."""
+    ends = np.cumsum(end - start)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, dtype=data.dtype)
+    a = 0
+    while a < len(ends):
+        done = int(ends[a - 1]) if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + bytehash.PIECE, side="right")))
+        size = end[a:b] - start[a:b]
+        shift = np.repeat(start[a:b] - (np.cumsum(size) - size), size)
+        out[done : int(ends[b - 1])] = data[np.arange(len(shift)) + shift]
+        a = b
+    return out
 
 
 def _by_bucket_name(replies: pa.Table, name: str) -> dict[int, bytes]:
