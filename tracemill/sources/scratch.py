@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -24,3 +25,12 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows up to which a table of groups is broadcast; beyond, joins shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def hinted(df: DataFrame) -> DataFrame:
+    """df with a hint to broadcast it, if it has few rows; counts no further."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df

@@ -1,4 +1,4 @@
-"""A log kept in folders by run: written once, read by run or whole, compacted beside it."""
+"""A log kept in folders by run: written once, read by run or whole; `generations` compacts and recovers one of raw lines."""
 
 from __future__ import annotations
 
