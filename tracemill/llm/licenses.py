@@ -154,6 +154,11 @@ def telling(vectors: list[tuple[int, str, dict[str, float]]], least: float) -> t
     return out, rest
 
 
+def _once(rows: DataFrame, name: str, value: Column, *kept: str | Column) -> DataFrame:
+    """kept, and value under a name that no filter is rewritten across, so each row works it out once."""
+    return rows.select(*kept, F.explode(F.array(value)).alias(name))
+
+
 def _common_scores(files: DataFrame, k: int, of_set: tuple, rest: list) -> DataFrame:
     """key, path, kind, set, name and score of the whole texts that reach FILE with a template of rest; files hold no word of
     telling(), so of these templates they have COMMON words only. A text's tokens are sorted in its row, where equal ones stand
@@ -161,16 +166,17 @@ def _common_scores(files: DataFrame, k: int, of_set: tuple, rest: list) -> DataF
     _, idf, other = of_set
     words = sorted({t for _, _, v in rest for t in v if t in COMMON})
     tokens = F.regexp_extract_all(F.lower("text"), F.lit(f"({TOKEN})"), F.lit(1))
-    rows = files.select("key", "path", tokens.alias("tokens")).withColumn("held", F.array_intersect(F.array(*map(F.lit, words)), "tokens"))
+    rows = _once(files, "tokens", tokens, "key", "path")
+    rows = _once(rows, "held", F.array_intersect(F.array(*map(F.lit, words)), "tokens"), "key", "path", "tokens")
     share = lambda v: reduce(Column.__add__, [F.when(F.array_contains("held", t), x * x).otherwise(0.0) for t, x in v.items() if t in COMMON], F.lit(0.0))
     rows = rows.filter(reduce(Column.__or__, [share(v) >= (FILE - 1e-5) ** 2 for _, _, v in rest]))
-    rows = rows.withColumn("tokens", F.array_sort("tokens"))
+    rows = _once(rows, "tokens", F.array_sort("tokens"), "key", "path")
     starts = F.filter(F.sequence(F.lit(0), F.size("tokens") - 1), lambda i: ~F.get("tokens", i).eqNullSafe(F.get("tokens", i - 1)))
-    rows = rows.withColumn("starts", starts)
+    rows = _once(rows, "starts", starts, "key", "path", "tokens")
     counts = F.transform("starts", lambda x, i: F.struct(F.get("tokens", x).alias("t"), (F.coalesce(F.get("starts", i + 1), F.size("tokens")) - x).cast("double").alias("n")))
-    rows = rows.select("key", "path", counts.alias("counts"))
+    rows = _once(rows, "counts", counts, "key", "path")
     known = F.filter("counts", lambda c: c["t"].isin(*sorted(idf)))
-    rows = rows.select("key", "path", F.aggregate("counts", F.lit(0.0), lambda a, c: a + c["n"] * c["n"]).alias("all"), known.alias("known"))
+    rows = _once(rows, "known", known, "key", "path", F.aggregate("counts", F.lit(0.0), lambda a, c: a + c["n"] * c["n"]).alias("all"))
     weight = F.create_map(*[F.lit(x) for t in sorted(idf) for x in (t, float(idf[t]))])
     total = F.aggregate("known", F.lit(0.0), lambda a, c: a + c["n"] * c["n"] * (F.pow(F.element_at(weight, c["t"]), F.lit(2.0)) - other * other))
     dots = []
