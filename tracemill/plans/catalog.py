@@ -271,59 +271,55 @@ def curriculum_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- decisions
 
 
-_AXES = {
-    "integrity": "('COMPLETE'), ('PARTIAL'), ('CORRUPT')",
-    "attested": "('PASSED'), ('FAILED'), ('ERROR'), ('TIMEOUT'), (null)",
-    "task": "('SUCCESS'), ('FAILURE'), ('UNKNOWN')",
-    "validity": "('VALID'), ('INFRA_INVALID'), ('UNKNOWN')",
-    "scored": "(true), (false)",
+#: What a line item stands for in the matrices of rules: values of each input by digits of a number of its own.
+_K = "l_partkey * 31 + l_suppkey * 7 + l_linenumber"
+_INPUTS: dict[str, tuple[int, tuple]] = {
+    "integrity": (1, schemas.INTEGRITY), "attested": (3, (*schemas.ATTESTED, None)), "task": (15, schemas.TASK_STATUS), "validity": (45, schemas.VALIDITY), "scored": (135, (True, False)),
 }
+_AXES = list(_INPUTS)
 
 
-def _matrix(spark: SparkSession) -> DataFrame:
-    """Every combination of the rule's inputs, a fixed 270 rows."""
+def _picked(inputs: dict[str, tuple[int, tuple]], k: str) -> str:
+    said = lambda v: "null" if v is None else f"'{v}'" if isinstance(v, str) else str(v).lower()
+    return ", ".join(f"[{', '.join(map(said, values))}][(({k}) // {n} % {len(values)})::int + 1] as {name}" for name, (n, values) in inputs.items())
 
-    def axis(values, name: str, kind: str) -> DataFrame:
-        return spark.range(1).select(F.explode(F.array(*[F.lit(v).cast(kind) for v in values])).alias(name))
 
-    return (
-        axis(schemas.INTEGRITY, "integrity", "string").crossJoin(axis((*schemas.ATTESTED, None), "attested", "string"))
-        .crossJoin(axis(schemas.TASK_STATUS, "task", "string")).crossJoin(axis(schemas.VALIDITY, "validity", "string"))
-        .crossJoin(axis((True, False), "scored", "boolean"))
-    )
+def _matrix(rows: DataFrame, inputs: dict[str, tuple[int, tuple]], k: str) -> DataFrame:
+    """How many rows there are of every combination of a rule's inputs."""
+    pick = lambda n, values: F.element_at(F.array(*[F.lit(v) for v in values]), F.expr(f"int(({k}) div {n} % {len(values)})") + 1)
+    return rows.select(*[pick(n, values).alias(name) for name, (n, values) in inputs.items()]).groupBy(*inputs).agg(F.count("*").alias("n"))
 
 
 _CERTIFIED = f"""select *, case when integrity = 'CORRUPT' or (attested = 'PASSED' and (task <> 'SUCCESS' or validity <> 'VALID'))
  or (attested = 'FAILED' and (task = 'SUCCESS' or validity <> 'VALID')) or (attested in ('ERROR', 'TIMEOUT') and (task = 'SUCCESS' or scored)) then 'REJECTED'
  when integrity = 'PARTIAL' or (attested is null and task = 'SUCCESS' and validity = 'VALID') then 'INSUFFICIENT_EVIDENCE' else 'CERTIFIED' end as status
- from {', '.join(f'(values {v}) {k}({k})' for k, v in _AXES.items())}"""
+ from (select {', '.join(_AXES)}, count(*) as n from (select {_picked(_INPUTS, _K)} from lineitem) group by all)"""
 
 
 @query(_CERTIFIED)
 def certify_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = rules.certification(*[F.col(c) for c in _AXES])
-    return _matrix(spark).withColumn("status", status)
+    return _matrix(tables.read(spark, sf_dir, "lineitem"), _INPUTS, _K).withColumn("status", status)
 
 
-@query(f"""select integrity, attested, task, validity, scored, coalesce(status = 'CERTIFIED' and attested = 'PASSED' and task = 'SUCCESS' and validity = 'VALID', false) as sft
+@query(f"""select integrity, attested, task, validity, scored, n, coalesce(status = 'CERTIFIED' and attested = 'PASSED' and task = 'SUCCESS' and validity = 'VALID', false) as sft
  from ({_CERTIFIED})""")
 def eligibility_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     ruled = certify_matrix(spark, sf_dir)
-    return ruled.select(*_AXES, rules.sft_eligible(F.col("status"), F.col("attested"), F.col("task"), F.col("validity"), F.lit(True)).alias("sft"))
+    return ruled.select(*_AXES, "n", rules.sft_eligible(F.col("status"), F.col("attested"), F.col("task"), F.col("validity"), F.lit(True)).alias("sft"))
+
+
+_RECOVERY: dict[str, tuple[int, tuple]] = {
+    "code": (1, ("FILE_NOT_FOUND", "TIMEOUT", None, "FILE_NOT_FOUND")), "path": (4, ("a/b.py", None)), "cached": (8, (True, False)), "candidates": (16, (0, 1, 2)), "budget": (48, (0, 1)),
+}
 
 
-@query("""select code, path, cached, candidates, budget, case when code is distinct from 'FILE_NOT_FOUND' then 'NO_ACTION' when path is null then 'TERMINATE'
+@query(f"""select code, path, cached, candidates, budget, n, case when code is distinct from 'FILE_NOT_FOUND' then 'NO_ACTION' when path is null then 'TERMINATE'
  when not cached and budget <= 0 then 'TERMINATE' when not cached then 'DISCOVER' when candidates = 1 then 'READ' else 'TERMINATE' end as action
- from (values ('FILE_NOT_FOUND'), ('TIMEOUT'), (null)) c(code), (values ('a/b.py'), (null)) p(path), (values (true), (false)) k(cached), (values (0), (1), (2)) n(candidates), (values (0), (1)) b(budget)""")
+ from (select {', '.join(_RECOVERY)}, count(*) as n from (select {_picked(_RECOVERY, "event_id")} from events) group by all)""")
 def recovery_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def axis(name: str, kind: str, *values) -> DataFrame:
-        return spark.range(1).select(F.explode(F.array(*[F.lit(v).cast(kind) for v in values])).alias(name))
-
-    every = (
-        axis("code", "string", "FILE_NOT_FOUND", "TIMEOUT", None).crossJoin(axis("path", "string", "a/b.py", None)).crossJoin(axis("cached", "boolean", True, False))
-        .crossJoin(axis("candidates", "int", 0, 1, 2)).crossJoin(axis("budget", "int", 0, 1))
-    )
-    return every.withColumn("action", rules.recovery_action(*[F.col(c) for c in ("code", "path", "cached", "candidates", "budget")]))
+    every = _matrix(tables.read(spark, sf_dir, "events"), _RECOVERY, "event_id")
+    return every.withColumn("action", rules.recovery_action(*[F.col(c) for c in _RECOVERY]))
 
 
 # ---- reports

@@ -123,6 +123,7 @@ _FOUND = ("ls {\"path\":\"a b\"};read {\"n\":1}", "", "read {\"q\":{\"name\":\"l
 
 @query(f"""select doc_id, [{', '.join(repr(x) for x in _FOUND)}][(doc_id % {len(_FOUND)})::int + 1] as calls from documents""")
 def text_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.element_at(F.array(*[F.lit(x) for x in _SAID]), (F.col("doc_id") % len(_SAID)).cast("int") + 1)
+    """Calls after the texts of documents, which have braces of their own but no calls."""
+    said = F.concat(F.coalesce("text", F.lit("")), F.lit(" "), F.element_at(F.array(*[F.lit(x) for x in _SAID]), (F.col("doc_id") % len(_SAID)).cast("int") + 1))
     found = tables.read(spark, sf_dir, "documents").select("doc_id", calls.tool_calls(said, ("ls", "read")).alias("c"))
     return found.select("doc_id", F.array_join(F.transform("c", lambda x: F.concat_ws(" ", x["name"], x["arguments"])), ";").alias("calls"))
