@@ -525,4 +525,4 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.lit("EVENT").alias("code")).unionAll(issues.select("code")).groupBy("code").agg(F.count("*").alias("n"))
 
 
-from . import agents, capture, evidence, exports, generations, recovery, release, streams, training, workspace  # noqa: E402,F401  (they register their queries)
+from . import agents, capture, evidence, exports, generations, pairing, recovery, release, streams, training, workspace  # noqa: E402,F401  (they register their queries)
