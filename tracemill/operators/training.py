@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranks import percentiles
+
 
 def first_reason(rules: list[tuple[str, Column]]) -> Column:
     """The code of the first rule that does not hold (a null counts as not holding); empty if all do."""
@@ -89,10 +91,10 @@ def first_difference(a: Column, b: Column) -> Column:
 def drift(tokens: DataFrame, by: str, mean_limit: float = 0.05, p99_limit: float = 0.5) -> DataFrame:
     """Tokens with a and b (log-probabilities) and mask -> by group: mean, max and quantiles of the absolute difference over
     masked-in tokens, and whether it is within limits."""
-    gap = F.abs(F.col("a") - F.col("b"))
-    per = tokens.filter("mask > 0").groupBy(by).agg(
-        F.count("*").alias("n"), F.avg(gap).alias("mean"), F.max(gap).alias("max"), *[F.percentile(gap, F.lit(q)).alias(f"p{round(q * 100)}") for q in (0.5, 0.9, 0.95, 0.99)]
-    )
+    gaps = tokens.filter("mask > 0").select(by, F.abs(F.col("a") - F.col("b")).alias("gap"))
+    per = gaps.groupBy(F.col(by).alias("_by")).agg(F.count("*").alias("n"), F.avg("gap").alias("mean"), F.max("gap").alias("max"))
+    ranks = percentiles(gaps, by, "gap", {f"p{round(q * 100)}": q for q in (0.5, 0.9, 0.95, 0.99)})
+    per = per.join(ranks, F.col("_by").eqNullSafe(F.col(by)), "left").select(F.col("_by").alias(by), "n", "mean", "max", "p50", "p90", "p95", "p99")
     ok = (F.col("mean") <= mean_limit) & (F.col("p99") <= p99_limit)
     return per.withColumn("within", ok).withColumns({c: F.round(c, 6) for c in ("mean", "max", "p50", "p90", "p95", "p99")})
 

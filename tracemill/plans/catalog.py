@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import canonical
+from ..functions import canonical, ranks
 from ..operators import actions, groups, reports, rules, sequences
 from ..sources import tables
 
@@ -384,7 +384,8 @@ def _latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""select p as "group", round(quantile_cont(d, 0.5), 6) as p50, round(quantile_cont(d, 0.95), 6) as p95, round(quantile_cont(d, 0.99), 6) as p99 from ({_LATENCY}) group by 1""")
 def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _latencies(spark, sf_dir).groupBy("group").agg(*[F.round(F.percentile("d", F.lit(q)), 6).alias(n) for n, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))])
+    found = ranks.percentiles(_latencies(spark, sf_dir), "group", "d", {"p50": 0.5, "p95": 0.95, "p99": 0.99})
+    return found.withColumns({c: F.round(c, 6) for c in ("p50", "p95", "p99")})
 
 
 @query("""select o_orderpriority as pair, round(avg(o_totalprice) filter (o_custkey % 2 = 1) - avg(o_totalprice) filter (o_custkey % 2 = 0), 4) as delta,

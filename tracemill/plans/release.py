@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import calls
+from ..functions import calls, ranks
 from ..operators import release
 from ..sources import tables
 from .catalog import query
@@ -90,9 +90,10 @@ def bootstrap_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""select event_type, count(*) as n, round(avg(value), 6) as mean, round(quantile_cont(value, 0.95), 6) as p95, round(quantile_cont(value, 0.99), 6) as p99, max(value) as max from events group by 1""")
 def ingest_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = F.col("value")
-    quantiles = [F.round(F.percentile(v, F.lit(q)), 6).alias(n) for q, n in ((0.95, "p95"), (0.99, "p99"))]
-    return tables.timeline(spark, sf_dir).groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.avg(v), 6).alias("mean"), *quantiles, F.max(v).alias("max"))
+    rows = tables.timeline(spark, sf_dir).select("event_type", "value")
+    per = rows.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.max("value").alias("max"))
+    found = ranks.percentiles(rows, "event_type", "value", {"p95": 0.95, "p99": 0.99})
+    return per.join(found, "event_type", "left").withColumns({c: F.round(c, 6) for c in ("p95", "p99")})
 
 
 @query("""select doc_id from documents where doc_id % 7 <> 0 and doc_id % 4 = doc_id % 3 and doc_id % 4 > 0 and length(text) between 80 and 3500""")
