@@ -111,6 +111,8 @@ TEXTS = [
 #: Words that many texts have, of several languages. They only steer which words texts are looked through for: whatever they
 #: are, no unit that reaches its least score is passed over.
 COMMON = frozenset("the and of in to with that for is by are or do no this a on be as not it which from at an under".split())
+#: Words that texts of one language often have, and telling ones of another: they count with a common word of that beside them.
+PAIRED = frozenset(("mit",))
 #: What a comment line begins with.
 MARK = r"[ \t]*(?://+!?|/\*+!?|\*+/?|#+|--+|;+|%+|<!--|\"\"\")"
 MARKS = rf"(?m)^(?:{MARK})?[ \t\r]*"
@@ -134,24 +136,56 @@ def _vectors(templates: list[tuple[str, str]], by_sentence: bool = False) -> tup
     return out, idf, math.log(1 + len(pieces)) + least
 
 
-def telling(vectors: list[tuple[int, str, dict[str, float]]], least: float) -> tuple[set[str], list[tuple[int, str, dict[str, float]]]]:
-    """(words, rest): whatever has a cosine of `least` or more with a template that is not in rest holds one of the words, and
-    with one in rest, if it holds none, has it by COMMON words only. Of each template words are left out, common ones first,
-    whose squares add up to less than that of `least`: by Cauchy and Schwarz these alone give no more than their length."""
-    out, rest, most = set(), [], (least - 1e-5) ** 2  # scores are rounded to six places
+Vectors = list[tuple[int, str, dict[str, float]]]
+
+
+def telling(vectors: Vectors, least: float) -> tuple[set[str], dict[str, set[str]], Vectors]:
+    """(words, pairs, rest): whatever has a cosine of `least` or more with a template that is not in rest holds one of the words,
+    or a word of pairs and one of those that it needs beside it; with one in rest, if it holds neither, it has it by COMMON and
+    PAIRED words only. Of each template words are left out, common ones first, whose squares add up to less than that of `least`: by Cauchy and
+    Schwarz these alone give no more than their length. A word of PAIRED needs one of the common ones that don't fit beside it."""
+    out, pairs, rest, most = set(), {}, [], (least - 1e-5) ** 2  # scores are rounded to six places
     for template in vectors:
-        v, left, over = template[2], 0.0, False
-        for t in sorted(v, key=lambda t: (t not in COMMON, v[t], t)):
+        v = template[2]
+        common = sorted((t for t in v if t in COMMON), key=lambda t: (v[t], t))
+        left = sum(v[t] ** 2 for t in common)
+        if left >= most:
+            out |= set(v) - COMMON
+            rest.append(template)
+            continue
+        paired = [t for t in v if t in PAIRED and left + v[t] ** 2 >= most]
+        if paired and v[paired[0]] ** 2 >= most:
+            out |= set(v) - COMMON - PAIRED
+            rest.append(template)
+            continue
+        if paired:
+            beside, sum_ = set(), v[paired[0]] ** 2
+            for t in common:
+                sum_ += v[t] ** 2
+                beside |= {t} if sum_ >= most else set()
+            pairs[paired[0]] = pairs.get(paired[0], set()) | beside
+            out |= set(v) - COMMON - {paired[0]}
+            continue
+        for t in sorted(set(v) - COMMON, key=lambda t: (t not in PAIRED, v[t], t)):
             if left + v[t] ** 2 < most:
                 left += v[t] ** 2
-            elif t in COMMON:
-                over = True
             else:
                 out.add(t)
-        if over:
-            out |= set(v) - COMMON
-            rest.append(template)
-    return out, rest
+    return out, pairs, rest
+
+
+def _joined(told: list[tuple[set[str], dict[str, set[str]], Vectors]]) -> dict[str, set[str]]:
+    out: dict[str, set[str]] = {}
+    for _, pairs, _ in told:
+        for t, beside in pairs.items():
+            out[t] = out.get(t, set()) | beside
+    return out
+
+
+def _holds(text: Column, words: set[str], pairs: dict[str, set[str]]) -> Column:
+    """Whether a lower-case text holds one of the words, or a pair."""
+    both = [text.rlike(_pattern([t])) & text.rlike(_pattern(sorted(beside))) for t, beside in sorted(pairs.items()) if beside and t not in words]
+    return reduce(Column.__or__, both, text.rlike(_pattern(sorted(words))))
 
 
 def _once(rows: DataFrame, name: str, value: Column, *kept: str | Column) -> DataFrame:
@@ -161,14 +195,14 @@ def _once(rows: DataFrame, name: str, value: Column, *kept: str | Column) -> Dat
 
 def _common_scores(files: DataFrame, k: int, of_set: tuple, rest: list) -> DataFrame:
     """key, path, kind, set, name and score of the whole texts that reach FILE with a template of rest; files hold no word of
-    telling(), so of these templates they have COMMON words only. A text's tokens are sorted in its row, where equal ones stand
+    telling(), so of these templates they have COMMON and PAIRED words only. A text's tokens are sorted in its row, where equal ones stand
     side by side, so no token leaves it."""
     _, idf, other = of_set
-    words = sorted({t for _, _, v in rest for t in v if t in COMMON})
+    words = sorted({t for _, _, v in rest for t in v if t in COMMON | PAIRED})
     tokens = F.regexp_extract_all(F.lower("text"), F.lit(f"({TOKEN})"), F.lit(1))
     rows = _once(files, "tokens", tokens, "key", "path")
     rows = _once(rows, "held", F.array_intersect(F.array(*map(F.lit, words)), "tokens"), "key", "path", "tokens")
-    share = lambda v: reduce(Column.__add__, [F.when(F.array_contains("held", t), x * x).otherwise(0.0) for t, x in v.items() if t in COMMON], F.lit(0.0))
+    share = lambda v: reduce(Column.__add__, [F.when(F.array_contains("held", t), x * x).otherwise(0.0) for t, x in v.items() if t in COMMON | PAIRED], F.lit(0.0))
     rows = rows.filter(reduce(Column.__or__, [share(v) >= (FILE - 1e-5) ** 2 for _, _, v in rest]))
     rows = _once(rows, "tokens", F.array_sort("tokens"), "key", "path")
     starts = F.filter(F.sequence(F.lit(0), F.size("tokens") - 1), lambda i: ~F.get("tokens", i).eqNullSafe(F.get("tokens", i - 1)))
@@ -237,12 +271,12 @@ def scan(files: DataFrame, key: str, templates: list[tuple[str, str]] | None = N
     long = NOTICES + TEXTS
     sets = [_vectors(templates)] if templates else [_vectors(TEMPLATES), _vectors(long, True)]
     statements, files_ = ([telling(vectors, least) for vectors, _, _ in sets] for least in (STATEMENT, FILE))
-    # What common words state of a unit that is no whole text needs a template that is all of these.
-    stated = set().union(*(words for words, _ in statements), *(v for _, rest in statements for _, _, v in rest))
-    whole = stated.union(*(words for words, _ in files_))
-    states, is_one = (F.lower("unit").rlike(_pattern(sorted(stated)))), (F.lower("text").rlike(_pattern(sorted(whole))))
+    # Of a unit that is no whole text, what common words alone state needs a template that is all of these.
+    stated = set().union(*(words for words, _, _ in statements), *(v for *_, rest in statements for _, _, v in rest))
+    whole = stated.union(*(words for words, _, _ in files_))
+    states, is_one = _holds(F.lower("unit"), stated, _joined(statements)), _holds(F.lower("text"), whole, _joined(statements + files_))
     found = settle(plain.filter(is_one))
-    apart = [_common_scores(plain.filter(~is_one), k, of_set, rest) for k, (of_set, (_, rest)) in enumerate(zip(sets, files_, strict=True)) if rest]
+    apart = [_common_scores(plain.filter(~is_one), k, of_set, rest) for k, (of_set, (*_, rest)) in enumerate(zip(sets, files_, strict=True)) if rest]
     headers = found.select("key", "path", F.explode(_headers(F.col("text"))).alias("unit")).filter(states)
     lines = F.filter(F.split("unit", r"\s*\n\s*"), lambda x: x != "")
     titles = F.array(*[F.array_join(F.slice(lines, 1, n), " ") for n in (2, 3)])
