@@ -130,3 +130,9 @@ def test_odd_json_ends_no_query(spark):
     got = df.select(canonical.canonical_json("t").alias("c"), canonical.redacted_json("t").alias("r"), calls.tool_calls(F.col("t"), ("f",)).alias("f")).collect()
     assert [r.c for r in got] == [None, '{"a":"\\ud800"}', None, '{"arguments":{"x":"\\udc00"},"name":"f"}', None]
     assert [len(r.f) for r in got] == [0, 0, 0, 1, 0] and got[3].f[0].arguments == '{"x":"\\udc00"}'
+
+
+def test_a_site_has_markers_of_its_own(spark):
+    df = spark.createDataFrame([("at 10.1.2.3 in /home/u",), ("$WORKSPACE 10.1.2.3",), ("none",), (None,)], "t string")
+    markers = (*canonical.HOST_MARKERS, "10.1.")
+    assert [r.m for r in df.select(canonical.host_markers(F.col("t"), markers).alias("m")).collect()] == [" /home/ 10.1.", "", "", ""]

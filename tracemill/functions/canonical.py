@@ -15,7 +15,7 @@ SECRET_KEYS = frozenset(
     "authorization api_key apikey cookie password proxy_authorization secret token access_token refresh_token thinking_signature text_signature thinkingsignature textsignature thinking".split()
 )
 #: What a path of the host begins with; a text that has the workspace's name is taken as cleaned.
-HOST_MARKERS = ("/home/", "/homePLUS", "/Users/", "/root/", "/tmp/", "100.65.", "agent-data-plane/swebench")
+HOST_MARKERS = ("/home/", "/homePLUS", "/Users/", "/root/", "/tmp/")
 WORKSPACE = "$WORKSPACE"
 REDACTED = "[REDACTED]"
 
@@ -78,9 +78,10 @@ def redacted_json(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
-def host_markers(text: Column) -> Column:
-    """The host markers that a text has, each after a blank; none if it has the workspace's name."""
-    found = F.concat(*[F.when(text.contains(m), F.lit(f" {m}")).otherwise("") for m in HOST_MARKERS])
+def host_markers(text: Column, markers: tuple[str, ...] = HOST_MARKERS) -> Column:
+    """The host markers that a text has, each after a blank; none if it has the workspace's name. A site names its own addresses and
+    folders beside the general ones."""
+    found = F.concat(*[F.when(text.contains(m), F.lit(f" {m}")).otherwise("") for m in markers])
     return F.when(text.contains(WORKSPACE), "").otherwise(found)
 
 
