@@ -88,3 +88,11 @@ def test_sequences_need_their_history(spark):
     got = {r.episode: r for r in training.sequences(spark.createDataFrame(calls, "episode string, position int, prompt array<bigint>, response array<bigint>")).collect()}
     assert (got["a"].tokens, got["a"].mask, got["a"].rounds, got["a"].trainable) == ([3, 9, 9, 4, 5], [1, 0, 0, 1, 1], 1, True)
     assert got["b"].tokens is None and not got["b"].trainable
+
+
+def test_lists_of_ids_go_by_their_texts(spark):
+    numbers = SCHEMA.replace("span_id string, parent_span_id string", "span_id long, parent_span_id long").replace("artifact_refs array<string>", "artifact_refs array<long>")
+    rows = [row("e", 0, "EPISODE_FINISHED", 90, parent_span_id=7, artifact_refs=[90, 300]), row("e", 1, "TOOL_CALL", 300, parent_span_id=7, artifact_refs=[5])]
+    none = spark.createDataFrame([], "artifact_id long")
+    got = assembly.assemble(spark.createDataFrame(rows, numbers), spark.createDataFrame([("e",)], "episode_id string"), none).first()
+    assert (got.missing_artifacts, got.orphan_span_ids) == ("300,5,90", "300,90")

@@ -44,7 +44,8 @@ def quarantine(events: DataFrame, contexts: DataFrame) -> DataFrame:
 
 
 def _listed(c: Column) -> Column:
-    return F.array_join(F.array_sort(c), ",")
+    """Ids joined by commas, in the order of their texts whatever their type."""
+    return F.array_join(F.array_sort(c.cast("array<string>")), ",")
 
 
 def assemble(events: DataFrame, contexts: DataFrame, artifacts: DataFrame) -> DataFrame:
