@@ -21,10 +21,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame, name: str = "table") -> DataFrame:
-    """Writes df once and returns the written table: a lost executor costs its tasks, and no later branch computes df again."""
+    """Writes df once and returns the written table: a lost executor costs its tasks, and no later branch computes df again.
+
+    Joins with it shuffle unless a side is hinted to be broadcast (`hinted` counts first): the size of compressed files says
+    little about rows, and ten MB of them are millions that Spark would hold in the driver.
+    """
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).hint("merge")
 
 
 #: Rows up to which a table of groups is broadcast; beyond, joins shuffle.
