@@ -96,3 +96,11 @@ def test_lists_of_ids_go_by_their_texts(spark):
     none = spark.createDataFrame([], "artifact_id long")
     got = assembly.assemble(spark.createDataFrame(rows, numbers), spark.createDataFrame([("e",)], "episode_id string"), none).first()
     assert (got.missing_artifacts, got.orphan_span_ids) == ("300,5,90", "300,90")
+
+
+def test_an_id_in_several_episodes_counts_where_it_came(spark):
+    rows = [row(e, 0, "TOOL_CALL") for e in "abc"] + [row(e, 1, "TOOL_CALL", event_id=i, digest=d, arrival=n) for e, i, d, n in (("a", "x", "1", 0), ("b", "x", "1", 1), ("b", "x", "1", 2), ("b", "y", "1", 0), ("c", "y", "2", 1))]
+    log, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(e,) for e in "abc"], "episode_id string")
+    got = {r.episode_id: (r.n_events, r.duplicates, r.state) for r in assembly.assemble(log, known, spark.createDataFrame([], "artifact_id string")).collect()}
+    assert got == {"a": (2, 0, "PARTIAL"), "b": (2, 2, "CORRUPT"), "c": (1, 1, "CORRUPT")}
+    assert [(r.event_id, r.episode_id, r.n) for r in assembly.quarantine(log, known).collect()] == [("y", "c", 1)]

@@ -11,32 +11,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..sources.scratch import settle
+from ..sources.scratch import hinted, settle
 
 DECLARED = ("task_status", "execution_validity", "verifier_status", "score", "termination_reason", "evidence_event_ids")
 ORDER = ("sequence", "timestamp", "event_id")
 
 
-def arrivals(events: DataFrame) -> DataFrame:
-    """A row for each event_id and content: n arrivals, whether it is the id's first content, and the event.
+def firsts(events: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """A row for each event_id, of its first content: digest, episode_id and columns; many (other contents came too), crossed (in
+    several episodes).
 
-    Two groupings that combine map-side, no window over an id's arrivals: an id may have very many.
+    One grouping that combines map-side, no window over an id's arrivals: an id may have very many. Only what is named in columns is
+    shuffled; ties of arrival go by digest, then episode and columns.
     """
-    rest = [c for c in events.columns if c not in ("event_id", "digest", "arrival")]
-    per = events.groupBy("event_id", "digest").agg(F.count("*").alias("n"), F.min(F.struct("arrival", *rest)).alias("e"))
-    head = per.groupBy("event_id").agg(F.min(F.struct("e.arrival", "digest", "e.episode_id")).alias("head"))
-    return per.join(head, "event_id").select(
-        "event_id", "digest", "n", (F.col("digest") == F.col("head.digest")).alias("first"), F.col("head.episode_id").alias("head_episode"), "e.*"
+    named = events.filter("event_id is not null").select("event_id", F.struct("arrival", "digest", "episode_id", *[c.alias(n) for n, c in columns.items()]).alias("e"))
+    digest, episode = F.col("e.digest"), F.col("e.episode_id")
+    per = named.groupBy("event_id").agg(
+        F.min("e").alias("e"), (F.min(digest) < F.max(digest)).alias("many"),
+        ((F.min(episode) < F.max(episode)) | (F.count(episode) < F.count(F.lit(1)))).alias("crossed"),
     )
+    return settle(per.select("event_id", "many", "crossed", *[f"e.{c}" for c in ("digest", "episode_id", *columns)]), "firsts")
 
 
 def quarantine(events: DataFrame, contexts: DataFrame) -> DataFrame:
     """event_id, episode_id, code, n: contents that differ from their id's first, events without a context, and the events of
     episodes that have no run, or several: these are not assembled."""
-    seen = settle(arrivals(events), "arrivals")
-    conflicts = seen.filter("not first").select("event_id", "episode_id", F.lit("CONFLICTING_EVENT_ID").alias("code"), "n")
-    lost = seen.filter("first").join(contexts.select("episode_id"), "episode_id", "left_anti")
-    known = seen.filter("first").join(contexts.select("episode_id"), "episode_id", "left_semi")
+    first = firsts(events, {"run_id": F.col("run_id")})
+    heads = first.filter("many").select("event_id", F.col("digest").alias("_head"))
+    conflicts = events.groupBy("event_id", "digest", "episode_id").agg(F.count(F.lit(1)).alias("n")).join(heads, "event_id").filter("digest <> _head").select("event_id", "episode_id", F.lit("CONFLICTING_EVENT_ID").alias("code"), "n")
+    told = settle(first.select("event_id", "episode_id", "run_id").join(contexts.select("episode_id").distinct().withColumn("known", F.lit(True)), "episode_id", "left"), "told")
+    lost, known = told.filter("known is null"), told.filter("known")
     mixed = known.groupBy("episode_id").agg(F.min("run_id").alias("a"), F.max("run_id").alias("b"), F.max(F.col("run_id").isNull()).alias("none")).filter("none or a <> b")
     invalid = known.join(mixed.select("episode_id"), "episode_id", "left_semi")
     one = lambda df, code: df.select("event_id", "episode_id", F.lit(code).alias("code"), F.lit(1).cast("long").alias("n"))
@@ -50,34 +54,39 @@ def _listed(c: Column) -> Column:
 
 def assemble(events: DataFrame, contexts: DataFrame, artifacts: DataFrame) -> DataFrame:
     """Per episode with a context: its integrity with what it lacks, its terminal outcome, and the facts that
-    certification needs. One grouping of the first arrivals by episode; contexts has episode_id, artifacts artifact_id."""
-    seen = settle(arrivals(events), "arrivals")
-    first = seen.filter("first").join(contexts.select("episode_id"), "episode_id", "left_semi")
-    counts = seen.groupBy("episode_id").agg(F.sum(F.col("n") - F.col("first").cast("long")).alias("duplicates"))
-    clashes = (
-        seen.filter("not first").select(F.explode(F.array("episode_id", "head_episode")).alias("episode_id")).distinct().withColumn("conflict", F.lit(True))
-    )
-    wanted = first.select("episode_id", F.explode("artifact_refs").alias("artifact_id")).distinct()
-    absent = wanted.join(artifacts.select("artifact_id"), "artifact_id", "left_anti").groupBy("episode_id").agg(_listed(F.collect_set("artifact_id")).alias("missing_artifacts"))
-
+    certification needs. One grouping of the first arrivals by episode; duplicates are an episode's
+    arrivals that are not its first contents; contexts has episode_id, artifacts artifact_id."""
     kind = F.col("event_type")
+    ending, verifier = kind == "EPISODE_FINISHED", kind == "VERIFICATION_FINISHED"
+    # What only terminal events and verifications have is null elsewhere, so it is not shuffled with every event.
+    held = {c: F.col(c) for c in ("run_id", "sequence", "timestamp", "span_id", "parent_span_id", "event_type", "artifact_refs")}
+    held |= {"verdict": F.when(verifier, attestation(F.col("status"), F.col("passed"))), "declared": F.when(ending, F.struct(*DECLARED))}
+    kept = firsts(events, held)
+    arrived = events.filter("event_id is not null").groupBy("episode_id").agg(F.count(F.lit(1)).alias("arrived"))
+    # An id of several episodes: each episode that one of its other contents is in clashes too.
+    crossed = hinted(settle(kept.filter("many and crossed").select("event_id", F.col("digest").alias("_head")), "crossed"))
+    others = events.select("event_id", "episode_id", "digest").join(crossed, "event_id").filter("digest <> _head").select("episode_id")
+    clashes = kept.filter("many").select("episode_id").unionByName(others).distinct().withColumn("conflict", F.lit(True))
+    # Firsts of an episode are dealt by it once, for what follows.
+    first = kept.join(contexts.select("episode_id"), "episode_id", "left_semi")
+    wanted = kept.filter(F.size("artifact_refs") > 0).select("episode_id", F.explode("artifact_refs").alias("artifact_id")).distinct()
+    absent = wanted.join(hinted(artifacts.select("artifact_id").distinct()), "artifact_id", "left_anti").groupBy("episode_id").agg(_listed(F.collect_set("artifact_id")).alias("missing_artifacts"))
+
     spans = lambda k: F.collect_set(F.when(kind == k, F.col("span_id")))
     count = lambda k: F.count(F.when(kind == k, 1))
-    verdict = attestation(F.col("status"), F.col("passed"))
-    verifier = kind == "VERIFICATION_FINISHED"
-    ends = F.struct(*ORDER, *DECLARED)
+    ends = F.struct(*ORDER, *[F.col(f"declared.{c}").alias(c) for c in DECLARED])
     per = first.groupBy("episode_id").agg(
-        F.count("*").alias("n_events"), F.count_distinct("sequence").alias("n_sequences"), F.max("sequence").alias("last"), (F.min("run_id") == F.max("run_id")).alias("one_run"), F.max(F.col("run_id").isNull()).alias("no_run"),
+        F.count("*").alias("n_events"), F.max("sequence").alias("last"), (F.min("run_id") == F.max("run_id")).alias("one_run"), F.max(F.col("run_id").isNull()).alias("no_run"),
         F.collect_set("sequence").alias("sequences"), F.collect_set("span_id").alias("spans"),
         F.collect_set(F.when(F.col("parent_span_id").isNotNull(), F.struct("parent_span_id", "span_id"))).alias("parents"),
         F.min("timestamp").alias("started_at"), F.max("timestamp").alias("ended_at"),
         F.array(*[F.when(F.size(F.array_except(spans(a), spans(b))) > 0, F.lit(b)) for a, b in schemas.SPAN_PAIRS], F.when(count("EPISODE_FINISHED") == 0, F.lit("EPISODE_FINISHED"))).alias("types"),
-        count("EPISODE_FINISHED").alias("terminals"), F.max(F.when(kind == "EPISODE_FINISHED", ends)).alias("terminal"),
+        count("EPISODE_FINISHED").alias("terminals"), F.max(F.when(ending, ends)).alias("terminal"),
         count("MODEL_REQUEST").alias("requests"), count("MODEL_RESPONSE").alias("responses"), count("TOOL_CALL").alias("calls"), F.count(F.when(verifier, 1)).alias("verifiers"),
         F.collect_set(F.when(verifier, F.col("event_id"))).alias("verifier_ids"),
-        F.max(F.when(verifier & verdict.isNotNull(), F.struct(*ORDER, verdict.alias("v"))))["v"].alias("attested"),
-    )
-    whole = per.join(counts, "episode_id").join(clashes, "episode_id", "left").join(absent, "episode_id", "left")
+        F.max(F.when(F.col("verdict").isNotNull(), F.struct(*ORDER, F.col("verdict").alias("v"))))["v"].alias("attested"),
+    ).withColumn("n_sequences", F.size("sequences"))
+    whole = per.join(arrived, "episode_id").withColumn("duplicates", F.col("arrived") - F.col("n_events")).join(clashes, "episode_id", "left").join(absent, "episode_id", "left")
     # Numbers between 0 and the last that are not there: as many as the holes, not as the last number.
     held = F.array_sort("sequences")
     holes = F.flatten(

@@ -72,7 +72,7 @@ def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("k") % 5 == 0, "  ").when(F.col("k") % 5 > 1, "MODEL_STOP").alias("termination_reason"),
         F.when(F.col("k") % 3 > 0, F.array(event(F.col("k") % 4 + 1))).otherwise(F.array().cast("array<string>")).alias("evidence_event_ids"),
         F.when(F.col("k") % 6 == 0, F.array("l_suppkey")).otherwise(F.array().cast("array<bigint>")).alias("artifact_refs"),
-        F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", F.struct(*content).alias("c")).alias("arrival"), F.sha2(F.to_json(F.struct(*content)), 256).alias("digest"),
+        F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount").alias("arrival"), F.unhex(F.sha2(F.to_json(F.struct(*content)), 256)).alias("digest"),
     )
 
 
