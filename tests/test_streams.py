@@ -30,3 +30,13 @@ def test_three_batches_a_restart_and_blank_ids(spark, tmp_path):
     again = state.ingest(spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder), store, "id", F.col("n"))
     again.awaitTermination()
     assert spark.read.parquet(f"{store}/rows").count() == len(got)
+
+
+def test_ids_that_share_a_bucket_keep_their_own_contents(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state, "BUCKETS", 1)
+    folder, store = str(tmp_path / "in"), str(tmp_path / "store")
+    for rows in ([(f"i{k}", k, "x") for k in range(50)] + [(None, 1, "p")], [(f"i{k}", k, "x" if k % 2 else "y") for k in range(60)]):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        state.ingest(spark.readStream.schema(SCHEMA).parquet(folder), store, "id", F.col("n")).awaitTermination()
+    got = {(r.status, r["count"], r.n) for r in state.read(spark, store, SCHEMA).groupBy("status").agg(F.count("*").alias("count"), F.sum("n").alias("n")).collect()}
+    assert got == {("APPENDED", 60, 60), ("DUPLICATE", 25, 25), ("CONFLICT", 25, 25), ("BLANK_EVENT_ID", 1, 1)}

@@ -1,7 +1,9 @@
 """Streaming ingest whose memory of an id is state: the digest of its first content, in RocksDB, without a watermark.
 
-A batch costs what is in it, whatever was taken before: an id's state is one key of its partition's store. The
-rows of an id are sorted by nothing and held by content, so an id that repeats very often is a few rows. What is kept,
+Ids share BUCKETS by hash, and a bucket's state is a list that is read and added to at once: a call of the state store
+for each id took most of the time. So a batch costs what is in it, and of what was taken before only the digests of the
+buckets it falls into; a store of n ids has n / BUCKETS in one. The rows of an id are sorted by nothing and held by
+content, so an id that repeats very often is a few rows. What is kept,
 repeated or in conflict goes to one table by status, whose files a restart neither loses nor doubles.
 """
 
@@ -17,34 +19,39 @@ from pyspark.sql.streaming import StatefulProcessor
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 APPENDED, DUPLICATE, CONFLICT, BLANK = "APPENDED", "DUPLICATE", "CONFLICT", "BLANK_EVENT_ID"
 
+#: Lists of ids that the state is kept in; a store keeps the number it began with.
+BUCKETS = 1 << 14
+
 _Told = Row("id", "status", "digest", "content", "n")
 
 
 class FirstContent(StatefulProcessor):
-    """Keeps the first content of an id. Of the contents of one batch the one of least place, then digest, is first."""
+    """Keeps the first content of each id of a bucket. Of the contents of one batch the one of least place, then digest, is first."""
 
     def init(self, handle) -> None:
-        self.kept = handle.getValueState("kept", "digest string")
+        self.kept = handle.getListState("kept", "id string, digest binary")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        seen: dict[str, list] = {}
-        for _, content, place, digest in rows:
-            x = seen.setdefault(digest, [place, content, 0])
+        seen: dict[str | None, dict[str, list]] = {}
+        for _, id_, content, place, digest in rows:
+            x = seen.setdefault(id_, {}).setdefault(digest, [place, content, 0])
             x[0] = min(x[0], place)
             x[2] += 1
-        found = [(place, digest, content, n) for digest, (place, content, n) in seen.items()]
-        if key[0] is None:
-            yield from (_Told(None, BLANK, digest, content, n) for _, digest, content, n in found)
-            return
-        old = self.kept.get()
-        if old is None:
-            _, old, content, n = min(found)
-            self.kept.update((old,))
-            yield _Told(key[0], APPENDED, old, content, 1)
-            found = [(p, d, c, k - (d == old)) for p, d, c, k in found]
-        else:
-            old = old[0]
-        yield from (_Told(key[0], DUPLICATE if digest == old else CONFLICT, digest, content, n) for _, digest, content, n in found if n)
+        known, new = {i: bytes(d).hex() for i, d in self.kept.get() if i in seen}, []
+        for id_, contents in seen.items():
+            found = [(place, digest, content, n) for digest, (place, content, n) in contents.items()]
+            if id_ is None:
+                yield from (_Told(None, BLANK, digest, content, n) for _, digest, content, n in found)
+                continue
+            old = known.get(id_)
+            if old is None:
+                _, old, content, n = min(found)
+                new.append((id_, bytes.fromhex(old)))
+                yield _Told(id_, APPENDED, old, content, 1)
+                found = [(p, d, c, k - (d == old)) for p, d, c, k in found]
+            yield from (_Told(id_, DUPLICATE if digest == old else CONFLICT, digest, content, n) for _, digest, content, n in found if n)
+        if new:
+            self.kept.appendList(new)
 
     def close(self) -> None:
         pass
@@ -55,7 +62,8 @@ def classified(source: DataFrame, key: str, place: Column) -> DataFrame:
     a batch, and one for what was appended. place is what sorts the contents that an id has in one batch."""
     content = F.to_json(F.struct(*[F.col(c) for c in source.columns if c != key]), {"ignoreNullFields": "false"})
     rows = source.select(F.col(key).cast("string").alias("id"), content.alias("content"), place.alias("place")).withColumn("digest", F.sha2("content", 256))
-    return rows.groupBy("id").transformWithState(FirstContent(), "id string, status string, digest string, content string, n long", "append", "none")
+    bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int")
+    return rows.select(bucket.alias("bucket"), "*").groupBy("bucket").transformWithState(FirstContent(), "id string, status string, digest string, content string, n long", "append", "none")
 
 
 def ingest(source: DataFrame, store: str, key: str, place: Column):
