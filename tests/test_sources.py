@@ -75,3 +75,12 @@ def test_stream_keeps_first_drops_repeats_and_quarantines_conflicts(spark, tmp_p
     again = spark.createDataFrame([(1, 1, "a"), (2, 1, "late"), (3, 0, "c")], schema)
     ingest_batch(again, store, "event_id", ["ts"], 1)
     assert sorted((r.event_id, r.v) for r in spark.read.parquet(f"{store}/events").collect()) == kept
+
+
+def test_digests_of_a_store_are_bytes(spark, tmp_path):
+    store = str(tmp_path / "store")
+    for number, value in enumerate(("a", "b")):
+        ingest_batch(spark.createDataFrame([(1, 1, value), (1, 1, value)], "event_id int, ts int, v string"), store, "event_id", ["ts"], number)
+    kept = spark.read.parquet(f"{store}/events").collect()
+    assert [(r.v, len(bytes(r["_digest"]))) for r in kept] == [("a", 32)]
+    assert tuple(spark.read.parquet(f"{store}/counts/*").agg(F.sum("appended"), F.sum("duplicates"), F.sum("conflicts")).first()) == (1, 1, 2)

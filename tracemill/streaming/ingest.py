@@ -33,18 +33,21 @@ def ingest_batch(batch: DataFrame, store: str, key: str, order: list[str], numbe
     and, with a code, events without an id below store, and one row of counts. A batch that is replayed overwrites
     its own files, so it adds nothing."""
     spark = batch.sparkSession
-    content = F.sha2(F.to_json(F.struct(*[F.col(c) for c in batch.columns])), 256)
-    rows = batch.withColumn("_digest", content).withColumn("_part", F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int"))
+    # Digests are bytes, half of what their text takes wherever rows are shuffled or kept; a row's part follows from its id.
+    content = F.unhex(F.sha2(F.to_json(F.struct(*[F.col(c) for c in batch.columns])), 256))
+    part = F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
+    rows = batch.withColumn("_digest", content)
     named = rows.filter(F.col(key).isNotNull())
-    parts = [r["_part"] for r in named.select("_part").distinct().collect()]  # PARTS at most
-    schema = T.StructType([batch.schema[key], T.StructField("_digest", T.StringType()), T.StructField("_batch", T.LongType()), T.StructField("_part", T.IntegerType())])
+    parts = [r["_part"] for r in named.select(part.alias("_part")).distinct().collect()]  # PARTS at most
+    schema = T.StructType([batch.schema[key], T.StructField("_digest", T.BinaryType()), T.StructField("_batch", T.LongType()), T.StructField("_part", T.IntegerType())])
     known = _table(spark, f"{store}/events", schema).filter(F.col("_part").isin(*parts or [-1]) & (F.col("_batch") != number)).select(key, F.col("_digest").alias("_known"))
     first = named.groupBy(key).agg(F.min(F.struct(*order, "_digest"))["_digest"].alias("_first"))
     heads = first.join(known, key, "left").select(key, F.coalesce("_known", "_first").alias("_kept"), F.col("_known").isNotNull().alias("_old"))
+    same = F.col("_digest") == F.col("_kept")
     # Equal contents of an id are one row with their number before anything is joined.
-    per = settle(named.groupBy(*batch.columns, "_digest", "_part").agg(F.count("*").alias("_n")).join(heads, key), "batch")
-    new, conflict = ~F.col("_old") & (F.col("_digest") == F.col("_kept")), F.col("_digest") != F.col("_kept")
-    kept = [*batch.columns, "_digest", "_part"]
+    per = settle(named.groupBy(*batch.columns, "_digest").agg(F.count("*").alias("_n")).join(heads, key).withColumns({"_new": ~F.col("_old") & same, "_conflict": ~same}).drop("_kept", "_old"), "batch")
+    new, conflict = F.col("_new"), F.col("_conflict")
+    kept = [*batch.columns, "_digest", part.alias("_part")]
     base = f"batch-{number:012d}"
     stamped = lambda df: df.withColumn("_batch", F.lit(number).cast("long"))
     # One task a partition of the store, so a batch adds as many files as it has partitions.
