@@ -48,3 +48,10 @@ def test_views_and_their_reasons(spark):
     assert views["z"].sft_reasons == ["INTEGRITY", "VALIDITY", "TASK_STATUS", "OBSERVATION_OWNERSHIP", "ACTION_OWNERSHIP"] and "MODEL_TOKEN_IDS" in views["z"].rl_reasons
     empty = agents.training_views(spark.createDataFrame([], AGENTS), spark.createDataFrame([], RELATIONS), spark.createDataFrame([], FACTS))
     assert empty.collect() == []
+
+
+def test_no_side_of_a_join_is_broadcast_by_its_size(spark):
+    relations = spark.createDataFrame([("a", P, "x", "y", "1"), ("a", R, "y", "r", "1"), ("a", C, "y", "x", "1")], RELATIONS)
+    views = agents.training_views(spark.createDataFrame([("a", "x", "p"), ("a", "y", "q")], AGENTS), relations, spark.createDataFrame([("a", "COMPLETE", "VALID", "SUCCESS", "p", ["MODEL_TOKEN_IDS"])], FACTS))
+    views.collect()
+    assert "Broadcast" not in views._jdf.queryExecution().executedPlan().toString()

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import settle
+from ..sources.scratch import settle, shuffled
 
 #: Kinds of relations, and what a field or a graph may be.
 PARENT, MESSAGE, TOOL, REWARD, CREDIT = KINDS = ("PARENT_CHILD", "MESSAGE_ROUTE", "TOOL_OWNERSHIP", "REWARD_OWNERSHIP", "CREDIT_ASSIGNMENT")
@@ -69,7 +69,7 @@ def graph(agents: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame
         single = settle(agents.select(*KEY).join(_single(agents, relations, kind), KEY, "full"), "single")
         inside = agents.select(*KEY).join(single, KEY, "left")
         chains = closure(inside.select(*KEY, "up"))
-        members = members.join(chains.select(*KEY, F.col("root").alias(f"{name}_root"), F.col("depth").alias(f"{name}_depth"), F.col("cyclic").alias(f"{name}_cyclic")), KEY).join(inside.select(*KEY, F.col("unknown").isNotNull().alias(f"{name}_told")), KEY)
+        members = members.join(chains.select(*KEY, F.col("root").alias(f"{name}_root"), F.col("depth").alias(f"{name}_depth"), F.col("cyclic").alias(f"{name}_cyclic")), KEY).join(shuffled(inside.select(*KEY, F.col("unknown").isNotNull().alias(f"{name}_told"))), KEY)
         lost = single.join(agents.select(*KEY, F.lit(True).alias("is")), KEY, "left")
         wrong[name] = lost.groupBy("episode").agg(F.max(F.coalesce("unknown", F.lit(False)) | F.coalesce("several", F.lit(False)) | F.col("is").isNull()).alias(f"{name}_wrong"))
     known = agents.select("episode", F.col("agent").alias("source"), F.lit(True).alias("_s")), agents.select("episode", F.col("agent").alias("target"), F.lit(True).alias("_t"))
@@ -80,7 +80,7 @@ def graph(agents: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame
         F.max(kind == MESSAGE).alias("sends"), F.max(kind == TOOL).alias("acts"), F.max((kind == REWARD) & F.col("evidence").isNotNull()).alias("rewarded")
     )
     told = facts.filter((kind == MESSAGE) & F.col("_t")).groupBy("episode", F.col("target").alias("agent")).agg(F.lit(True).alias("receives"))
-    members = members.join(owned, KEY, "left").join(told, KEY, "left").na.fill(False, ["sends", "acts", "rewarded", "receives"])
+    members = settle(members.join(shuffled(owned), KEY, "left").join(shuffled(told), KEY, "left").na.fill(False, ["sends", "acts", "rewarded", "receives"]), "members")
     owner = members.filter("rewarded").select("episode", F.col("agent").alias("credit_root"), F.lit(True).alias("_paid"))
     members = settle(members.join(owner, ["episode", "credit_root"], "left").withColumn("credited", F.coalesce("_paid", F.lit(False))).drop("_paid"), "members")
     tools = relations.filter(kind == TOOL).groupBy("episode", "target").agg((F.count_distinct("source") > 1).alias("shared")).groupBy("episode").agg(F.max("shared").alias("tool_shared"))
@@ -94,7 +94,7 @@ def graph(agents: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame
         F.count(F.lit(1)).alias("n_agents"), F.max(F.col("policy").isNull()).alias("unnamed"), F.count(F.when(F.col("parent_depth") == 0, 1)).alias("roots"),
         F.max("parent_cyclic").alias("parent_cyclic"), F.max("credit_cyclic").alias("credit_cyclic"), F.min("credited").alias("all_credited"),
     )
-    every = of_members.join(per, "episode", "left").join(tools, "episode", "left").join(wrong["parent"], "episode", "left").join(wrong["credit"], "episode", "left")
+    every = of_members.join(per, "episode", "left").join(tools, "episode", "left").join(shuffled(wrong["parent"]), "episode", "left").join(shuffled(wrong["credit"]), "episode", "left")
     n = lambda k: F.col(f"n_{k}")
     fields = {
         "agent_identity": F.when(F.col("unnamed"), INSUFFICIENT).otherwise(OBSERVED),
@@ -121,7 +121,7 @@ def training_views(agents: DataFrame, relations: DataFrame, episodes: DataFrame)
     episodes has episode, integrity, validity, task_status, target_policy and capabilities. An agent observes if a message leads to it
     or if it is a root of parents that are told, and acts if it owns a tool or sends a message."""
     graphs, members = graph(agents, relations)
-    rows = members.join(graphs.select("episode", F.col("status").alias("graph_status"), "parent_child"), "episode").join(episodes, "episode", "left")
+    rows = members.join(graphs.select("episode", F.col("status").alias("graph_status"), "parent_child"), "episode").join(shuffled(episodes), "episode", "left")
     sees = F.col("receives") | ((F.col("parent_depth") == 0) & (F.col("parent_child") == OBSERVED))
     acts = F.col("acts") | F.col("sends")
     has = lambda c: F.coalesce(F.array_contains("capabilities", c), F.lit(False))

@@ -31,6 +31,11 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).hint("merge")
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """df with the hint that written tables carry: a hint ends where its table is joined, so what is joined again needs it anew."""
+    return df.hint("merge")
+
+
 #: Rows up to which a table of groups is broadcast; beyond, joins shuffle.
 BROADCAST_ROWS = 200_000
 
