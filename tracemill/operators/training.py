@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranks import percentiles
+from ..sources.scratch import hinted, settle
 
 
 def first_reason(rules: list[tuple[str, Column]]) -> Column:
@@ -116,8 +117,20 @@ def admitted(members: DataFrame, decisions: DataFrame, bundles: DataFrame, artif
     return joined.withColumn("reason", reason).select(*members.columns, "reason")
 
 
+def admitted_only(members: DataFrame, decisions: DataFrame, bundles: DataFrame, artifacts: DataFrame, same_episode: Column | None = None, same_bundle: Column | None = None, bound: Column | None = None) -> DataFrame:
+    """The members to whom `admitted` gives no reason. What breaks a rule is left out where that rule can be told, so it is not
+    shuffled to the next table; a side of few rows is broadcast."""
+    c, plain = F.col, lambda given, usual: usual if given is None else given
+    named = members.filter(c("group").isNotNull() & c("policy").isNotNull())
+    bundled = named.join(hinted(bundles), named["bundle"] == bundles["bundle_sum"]).filter(plain(same_bundle, c("bundle_episode") == c("episode")) & plain(bound, F.array_contains("bound", c("artifact")))).select(*members.columns)
+    eligible, completed = hinted(decisions.filter("verdict = 'ELIGIBLE'")), hinted(artifacts.filter("status = 'COMPLETED'"))
+    decided = bundled.join(eligible, c("certification") == c("decision")).filter(plain(same_episode, c("decision_episode") == c("episode"))).select(*members.columns)
+    return decided.join(completed, c("artifact") == c("artifact_sum")).select(*members.columns)
+
+
 def batch_gate(members: DataFrame, least: int = 4) -> DataFrame:
     """Admitted members (group, episode, policy, reward) -> one row: whether they make a batch, and why not."""
+    members = settle(members.select("group", "episode", "policy", "reward"), "batch")
     groups = members.groupBy("group").agg(F.count_distinct("episode").alias("size"))
     small = groups.agg(F.count(F.when(F.col("size") < least, 1)).alias("undersized"), F.count("*").alias("groups"))
     whole = members.agg(F.count_distinct("policy").alias("policies"), F.count_distinct("reward").alias("rewards"), F.count("*").alias("members"))

@@ -163,7 +163,8 @@ _MEMBERS = """m as (select l_orderkey::varchar || '/' || l_linenumber::varchar a
  when grp is null or policy is null then 'NO_GROUP_OR_POLICY' else '' end as reason from m left join d on certification = decision left join b on bundle = bundle_sum left join a on artifact = artifact_sum)"""
 
 
-def _admitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _cited(spark: SparkSession, sf_dir: str) -> tuple:
+    """Members, what they cite, and how these are compared."""
     lines, c = tables.read(spark, sf_dir, "lineitem"), F.col
     members = lines.select(
         F.concat_ws("/", c("l_orderkey").cast("string"), c("l_linenumber").cast("string")).alias("member"), c("l_orderkey").alias("episode"), c("l_orderkey").alias("artifact"), c("l_partkey").alias("certification"), c("l_suppkey").alias("bundle"),
@@ -174,21 +175,19 @@ def _admitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundles = tables.read(spark, sf_dir, "supplier").filter("s_suppkey % 6 > 0").select(c("s_suppkey").alias("bundle_sum"), (c("s_suppkey") % 2).alias("bundle_class"), F.array(c("s_suppkey") % 5, (c("s_suppkey") + 1) % 5).alias("bound_class"))
     artifacts = tables.read(spark, sf_dir, "orders").filter("o_orderkey % 13 > 0").select(c("o_orderkey").alias("artifact_sum"), F.when(c("o_orderstatus") != "P", "COMPLETED").otherwise("FAILED").alias("status"))
     told = bundles.select("bundle_sum", c("bundle_class").alias("bundle_episode"), c("bound_class").alias("bound"))
-    return training.admitted(
-        members, decisions, told, artifacts, c("decision_episode") == c("episode") % 3, c("bundle_episode") == c("episode") % 2, F.array_contains("bound", c("artifact") % 5)
-    )
+    return members, decisions, told, artifacts, c("decision_episode") == c("episode") % 3, c("bundle_episode") == c("episode") % 2, F.array_contains("bound", c("artifact") % 5)
 
 
 @query(f"with {_MEMBERS} select member, episode, reason, count(*) as n from j group by 1, 2, 3")
 def admission_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _admitted(spark, sf_dir).groupBy("member", "episode", "reason").agg(F.count("*").alias("n"))
+    return training.admitted(*_cited(spark, sf_dir)).groupBy("member", "episode", "reason").agg(F.count("*").alias("n"))
 
 
 @query(f"""with {_MEMBERS}, t as (select * from j where reason = ''), g as (select count(*) filter (size < 4) as undersized, count(*) as groups from (select grp, count(distinct episode) as size from t group by 1)),
  w as (select count(distinct policy) as policies, count(distinct reward) as rewards, count(*) as members from t)
  select policies, rewards, members, undersized, groups, case when members = 0 then 'EMPTY' when policies <> 1 then 'MIXED_POLICIES' when undersized > 0 then 'UNDERSIZED_GROUPS' when rewards < 2 then 'NO_REWARD_VARIANCE' else '' end as reason from w, g""")
 def admission_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.batch_gate(_admitted(spark, sf_dir).filter("reason = ''"))
+    return training.batch_gate(training.admitted_only(*_cited(spark, sf_dir)))
 
 
 @query("""with b as (select o_custkey as task, max(o_orderstatus) as harness, min(o_orderpriority) as snapshot, max((o_orderstatus = 'F')::int) as solved from orders where o_orderkey % 2 = 0 group by 1),
