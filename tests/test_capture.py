@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracemill.functions import calls, canonical, prefix
-from tracemill.functions.walk import keys_at, walk
+from tracemill.functions.walk import keys_at, nests, walk
 from tracemill.operators import capture
 
 OUTCOME = "session string, task_status string, execution_validity string, verifier_status string, score double, termination_reason string"
@@ -144,3 +144,20 @@ def test_sessions_alone_are_those_of_the_conversion(spark):
     got = sorted(capture.sessions(df, none).collect())
     assert got == sorted(capture.convert(df, none)[2].collect())
     assert [(r.session, r.capabilities, r.backend_errors, r.backend_failed) for r in got] == [("a", ["MODEL_IO", "MODEL_TOKEN_USAGE", "TOOL_IO"], 0, False), ("b", ["MODEL_IO", "RETRY_DECISIONS", "TERMINATION_DECISIONS"], 1, True)]
+
+
+def test_histories_and_running_sums_broadcast_nothing_and_deal_a_chunk_once(spark):
+    said = [("a", i, json.dumps(message("user", content="u") if i % 2 else message("assistant", content="x"))) for i in range(6)]
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(capture.request_messages(spark.createDataFrame(said, "session string, line long, raw string")))
+    rows = spark.createDataFrame([(k, i, 1) for k in ("a", None) for i in range(9)], "k string, at long, x long").hint("merge")
+    # One for the rows, one for the sums of chunks and one for these by key; joining them deals only the last again.
+    assert plan(prefix.running(rows, "k", "at", {"s": F.col("x")})).count("Exchange hashpartitioning") <= 4
+
+
+def test_walks_keep_only_what_may_hold_a_key(spark):
+    rows = [(1, '{"a":{"b":[{"c":1}]},"secret":{"x":{"token":[1]}},"d":"token"}'), (2, '{"a":{"b":{"c":{"e":2}}}}'), (3, '[{"\\u0054oken":1},{"API-KEY":{"y":1}}]')]
+    df = spark.createDataFrame(rows, "id long, t string").select("id", F.try_parse_json("t").alias("v"))
+    assert {(r.id, r.path) for r in keys_at(df, "v", canonical.SECRET_KEYS).collect()} == {(1, "$.secret"), (1, "$.secret.x.token"), (3, "$[0].Token"), (3, "$[1]['API-KEY']")}
+    below = walk(df, "v", nests() & F.to_json("value").contains('"c"'))
+    assert {r.path for r in below.filter("id = 1").collect()} == {"$", "$.a", "$.a.b", "$.a.b[0]"} and walk(df.filter("id = 2"), "v", nests() & F.to_json("value").contains("none")).isEmpty()
