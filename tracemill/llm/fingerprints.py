@@ -223,17 +223,21 @@ PAIRS = {"near_edited": ("own", "new"), "near_next": ("own", "other")}
 PRINTS = {"fingerprint": "own", "edited_fingerprint": "new"}
 
 
-def fingerprints(documents: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    spark = documents.sparkSession
+def edits(documents: DataFrame) -> DataFrame:
+    """Per document, before anything is sketched: range, doc_id, n_chars, edited (its edited text), edited_sha256, own and other."""
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), n - half), F.col("next").substr(F.lit(1), half))
+    found = with_next(documents).select("range", "doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "own", "other")
+    return found.withColumn("edited_sha256", F.sha2("edited", 256))
+
+
+def fingerprints(documents: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    spark = documents.sparkSession
     whole = ["doc_id", "n_chars", "edited_sha256"]
     told = (
-        with_next(documents)
-        .select("range", "doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "own", "other")
-        .select("range", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "other", digests(F.col("edited")).alias("new"))
+        edits(documents).select("range", *whole, "own", "other", digests(F.col("edited")).alias("new"))
         .select("*", F.monotonically_increasing_id().alias("row"))
     )
     # In buckets of ranges, of as many documents as a task groups at ease: groupings by range and row then shuffle nothing.

@@ -90,7 +90,7 @@ def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of op3_fingerprints is no sketch: lengths and digests of the edited texts."""
-    return op3_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+    return fingerprints.edits(table(spark, sf_dir, "documents")).select("doc_id", "n_chars", "edited_sha256")
 
 
 QUERIES = {
