@@ -53,3 +53,25 @@ def test_a_manifest_that_is_lost_is_rebuilt(spark, tmp_path):
     assert {r.state for r in g.recover(spark, path, SCHEMA, ["id"], ["at"]).collect()} == {"REBUILT"}
     assert sorted((r.id, r.at, r.text) for r in g.read_compacted(spark, path, SCHEMA).collect()) == [("a", 1, "x"), ("b", 2, None)]
     assert g.read_all(spark, path, SCHEMA, ["id"]).count() == 3
+
+
+def test_raw_lines_are_compressed_and_a_hot_part_is_compacted_in_slices(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(g, "SLICE_LINES", 100, raising=False)
+    monkeypatch.setattr(g, "FILE_LINES", 400, raising=False)
+    path = str(tmp_path / "store")
+    rows = [(1, str(i % 500), i, "text") for i in range(1000)] + [(2, "x", 1, None)]
+    g.append(spark.createDataFrame(rows, "run long, id string, at long, text string").coalesce(1), path, F.lit(0))
+    # Lines that came uncompressed are lines of the same part.
+    more = spark.createDataFrame([(1, 0, '{"id":"7","at":5000,"text":null}')], "run long, part int, value string")
+    more.write.mode("append").partitionBy("run", "part").text(f"{path}/raw")
+    hot = list((tmp_path / "store" / "raw" / "run=1").rglob("*.txt.gz"))
+    assert len(hot) == 3 and sum(f.stat().st_size for f in hot) < 1000 * 10
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        report = g.recover(spark, path, SCHEMA, ["id"], ["at"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {(r.run, r.part): (r.state, r.lines, r.events) for r in report} == {(1, 0): ("REBUILT", 1001, 500), (2, 0): ("REBUILT", 1, 1)}
+    got = [(r.run, r.id, r.at, r.text) for r in g.read_compacted(spark, path, SCHEMA).collect()]
+    assert sorted(got) == sorted([(1, str(i), 5000, None) if i == 7 else (1, str(i), 500 + i, "text") for i in range(500)] + [(2, "x", 1, None)])
+    assert len(list((tmp_path / "store" / "compacted").rglob("run=1/part=0/*.parquet"))) > 1
