@@ -1,11 +1,13 @@
-"""Batches of an ingest: crowded ids, slices, contents of one digest, and what a batch shuffles."""
+"""Batches of an ingest: crowded ids, slices, contents of one digest, what a batch shuffles; what a store by state keeps."""
 
 from datetime import datetime
+from hashlib import sha256
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tracemill.streaming import ingest
+from tracemill.streaming import ingest, state
 
 SCHEMA = "id string, ts long, v string"
 
@@ -46,3 +48,44 @@ def test_rows_of_a_batch_are_shuffled_once(spark):
     assert sorted((r.id, r["_n"], r["_new"]) for r in found.collect()) == sorted((str(i), 1, i != 3) for i in range(20))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.split("Initial Plan")[0].count("Exchange ") == 1 and "Join" not in plan
+
+
+class _Lists:
+    """A handle whose one list is kept here."""
+
+    def __init__(self):
+        self.entries = []
+
+    def getListState(self, name, schema):
+        return self
+
+    def get(self):
+        return iter(self.entries)
+
+    def appendList(self, entries):
+        self.entries += entries
+
+
+def test_ids_of_a_bucket_are_few_entries_of_its_state(monkeypatch):
+    lists, kept = _Lists(), state.FirstContent()
+    kept.init(lists)
+    frame = lambda rows: pd.DataFrame(rows, columns=["id", "content", "place"])
+    told = lambda rows: sorted(tuple(r) for f in kept.handleInputRows(None, iter([frame(rows[:3]), frame(rows[3:])]), None) for r in f.itertuples(index=False))
+    assert told([(f'"i{k}ü', "{}", k) for k in range(50)] + [("a", "y", 2), ("a", "x", 1), ("a", "y", 0)]) == sorted([*[(f'"i{k}ü', state.APPENDED, "{}", 1) for k in range(50)], ("a", state.APPENDED, "y", 1), ("a", state.DUPLICATE, "y", 1), ("a", state.CONFLICT, "x", 1)])
+    assert len(lists.entries) == 1
+    monkeypatch.setattr(state, "ENTRY", 2)
+    assert told([(f"n{k}", "{}", 0) for k in range(5)] + [("a", "x", 0), ('"i7ü', "{}", 0)]) == sorted([*[(f"n{k}", state.APPENDED, "{}", 1) for k in range(5)], ("a", state.CONFLICT, "x", 1), ('"i7ü', state.DUPLICATE, "{}", 1)])
+    assert len(lists.entries) == 4 and told([("n4", "z", 0)]) == [("n4", state.CONFLICT, "z", 1)]
+
+
+def test_a_store_by_state_is_written_without_digests(spark, tmp_path):
+    folder, store = str(tmp_path / "in"), str(tmp_path / "store")
+    spark.createDataFrame([("a", 1, "x"), ("a", 2, "x"), ("b", 1, "x")], SCHEMA).write.parquet(folder)
+    query = state.ingest(spark.readStream.schema(SCHEMA).parquet(folder), store, "id", F.col("ts"))
+    query.awaitTermination()
+    assert query._jsq.explainInternal(False).count("Exchange ") == 1
+    rows = spark.read.parquet(f"{store}/rows")
+    assert sorted(rows.columns) == ["content", "id", "n", "status"]
+    contents = {(r.id, r.status): r.content for r in rows.collect()}
+    read = state.read(spark, store, spark.createDataFrame([], SCHEMA).schema).collect()
+    assert {(r.id, r.status): r.digest for r in read} == {k: sha256(c.encode()).hexdigest() for k, c in contents.items()} and len(read) == 3

@@ -27,16 +27,16 @@ def arrivals(lines: DataFrame) -> list[DataFrame]:
  c as (select l_orderkey, l_linenumber, count(*) as n, count(*) filter (content = kept) as same from k group by all)
 select l_orderkey as episode, count(*) as appended, sum(same - 1)::bigint as duplicates, sum(n - same)::bigint as conflicts from c group by 1""")
 def stateful_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The line items taken by one stream in three batches, restarted after the second: per order what was appended, repeated and
+    """The line items taken by one stream in three batches, restarted after each: per order what was appended, repeated and
     in conflict."""
     lines = tables.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *LINE)
-    folder, store, files = shared_folder(spark, "arrivals"), shared_folder(spark, "state"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder, store = shared_folder(spark, "arrivals"), shared_folder(spark, "state")
     named = F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id")
-    for batch, rows in enumerate(arrivals(lines)):
-        rows.select(named, "*").repartition(files).write.mode("append").parquet(folder)
-        if batch:
-            source = spark.readStream.schema(f"id string, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in lines.schema)}").option("maxFilesPerTrigger", files).parquet(folder)
-            state.ingest(source, store, "id", F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")).awaitTermination()
+    for rows in arrivals(lines):
+        # A run takes all files that it has not taken yet as one batch, so they are written as they come.
+        rows.select(named, "*").write.mode("append").option("compression", "zstd").parquet(folder)
+        source = spark.readStream.schema(f"id string, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in lines.schema)}").parquet(folder)
+        state.ingest(source, store, "id", F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")).awaitTermination()
     count = lambda status: F.coalesce(F.sum(F.when(F.col("status") == status, F.col("n"))), F.lit(0))
     kinds = ((state.APPENDED, "appended"), (state.DUPLICATE, "duplicates"), (state.CONFLICT, "conflicts"))
     return spark.read.parquet(f"{store}/rows").groupBy(F.split("id", "/")[0].cast("long").alias("episode")).agg(*[count(s).alias(n) for s, n in kinds])
