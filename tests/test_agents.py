@@ -1,5 +1,7 @@
 """Graphs of agents by hand: chains, cycles, strangers, several parents, shared tools, credit."""
 
+import random
+
 from tracemill.operators import agents
 
 AGENTS = "episode string, agent string, policy string"
@@ -55,3 +57,36 @@ def test_no_side_of_a_join_is_broadcast_by_its_size(spark):
     views = agents.training_views(spark.createDataFrame([("a", "x", "p"), ("a", "y", "q")], AGENTS), relations, spark.createDataFrame([("a", "COMPLETE", "VALID", "SUCCESS", "p", ["MODEL_TOKEN_IDS"])], FACTS))
     views.collect()
     assert "Broadcast" not in views._jdf.queryExecution().executedPlan().toString()
+
+
+def some_graphs(seed=4):
+    """Episodes of up to six agents, with every kind of relation between agents, strangers and nobody."""
+    draw = random.Random(seed)
+    members = [(f"e{e}", f"a{a}", draw.choice("pq")) for e in range(150) for a in range(draw.randint(1, 6))]
+    names = [*(f"a{a}" for a in range(6)), *(f"a{a}" for a in range(4)), None]
+    relations = [(f"e{e}", draw.choice(agents.KINDS), draw.choice(names), draw.choice([*names, "t1", "t2"]), draw.choice(["1", "1", None])) for e in range(150) for _ in range(draw.randint(0, 5))]
+    for e in range(100, 150):  # Chains, with a cycle now and then
+        relations += [(f"e{e}", kind, f"a{a - 1 if draw.random() < 0.9 else draw.randint(0, 5)}", f"a{a}", "1") for kind in (P, C) for a in range(1, 6)]
+    facts = [(f"e{e}", draw.choice(["COMPLETE", None]), "VALID", draw.choice(["SUCCESS", "FAILURE"]), "p", ["MODEL_TOKEN_IDS"]) for e in range(0, 150, 2)]
+    return [m if i % 40 else (*m[:2], None) for i, m in enumerate(members)] + [("e0", None, "p"), (None, "a0", "p")], relations + [(None, P, "a0", "a1", "1")], facts
+
+
+def test_few_and_many_agents_are_solved_alike(spark, monkeypatch):
+    members, relations, facts = some_graphs()
+    inputs = spark.createDataFrame(members, AGENTS), spark.createDataFrame(relations, RELATIONS)
+    found = []
+    for few in (64, 2):
+        monkeypatch.setattr(agents, "FEW", few)
+        graphs, held = agents.graph(*inputs)
+        views = agents.training_views(*inputs, spark.createDataFrame(facts, FACTS))
+        found.append([sorted(map(repr, df.select(*sorted(df.columns)).collect())) for df in (graphs, held, views)])
+    assert found[0] == found[1]
+    statuses = {r.status for r in graphs.collect()}
+    assert statuses == {agents.OBSERVED, agents.INSUFFICIENT, agents.NOT_OBSERVABLE, agents.INVALID} and held.filter("credited").count() and held.filter("parent_depth > 1").count()
+
+
+def test_few_agents_take_few_shuffles(spark):
+    members, relations, facts = some_graphs()
+    views = agents.training_views(spark.createDataFrame(members, AGENTS), spark.createDataFrame(relations, RELATIONS), spark.createDataFrame(facts, FACTS))
+    views.collect()
+    assert views._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange ") == 2
