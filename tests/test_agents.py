@@ -90,3 +90,10 @@ def test_few_agents_take_few_shuffles(spark):
     views = agents.training_views(spark.createDataFrame(members, AGENTS), spark.createDataFrame(relations, RELATIONS), spark.createDataFrame(facts, FACTS))
     views.collect()
     assert views._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange ") == 2
+
+
+def test_graphs_alone_write_no_members(spark):
+    members, relations, _ = some_graphs()
+    graphs, _ = agents.graph(spark.createDataFrame(members, AGENTS), spark.createDataFrame(relations, RELATIONS))
+    assert "members" not in graphs.columns and all("/said-" in f for f in graphs.inputFiles())
+    assert graphs.count() == 150
